@@ -75,16 +75,19 @@ def update_from(
         F.struct(*[F.col(v).alias(t) for t, v in values.items()]).alias("_new"),
     )
     last = first_per_key(named, [key], [F.desc(f"_order{i}") for i in range(len(order))]).select(key, "_new")
-    on = [key]
+    on = {key: key}
     if first_only:
         # the first target per key is an aggregate, so a key with many targets needs no big window
         firsts = target.groupBy(key).agg(F.min(F.struct(*first_only)).alias("_first"))
-        last = last.join(firsts, key).select(key, "_new", *[F.col(f"_first.{c}").alias(c) for c in first_only])
-        on = [key, *first_only]
-    joined = target.join(last, on, "left")
-    hit = F.col("_new").isNotNull()
-    changed = {t: F.when(hit, F.col(f"_new.{t}")).otherwise(F.col(t)) for t in values}
-    return joined.withColumns(changed).select(*target.columns)
+        last = last.join(firsts, key)
+        on |= {c: f"_first.{c}" for c in first_only}
+    slim = last.select("_new", *[F.col(c).alias(f"_key{i}") for i, c in enumerate(on.values())])
+    terms = [F.col(f"_left.{key}") == F.col("_right._key0")]
+    terms += [F.col(f"_left.{c}").eqNullSafe(F.col(f"_right._key{i}")) for i, c in enumerate(on) if i]
+    joined = target.alias("_left").join(slim.alias("_right"), reduce(Column.__and__, terms), "left")
+    hit = F.col("_right._new").isNotNull()
+    changed = {t: F.when(hit, F.col(f"_right._new.{t}")).otherwise(F.col(f"_left.{t}")).alias(t) for t in values}
+    return joined.select(*[changed.get(c, F.col(f"_left.{c}")) for c in target.columns])
 
 
 def array_hits(df: DataFrame, row_key: str, ids: str, dim: DataFrame, dim_key: str, child: Column) -> DataFrame:
