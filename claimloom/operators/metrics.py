@@ -18,13 +18,14 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
     error = F.col(label) - F.col(prediction)
     sums = df.groupBy(*by).agg(
         F.count(error).alias("n"),
-        F.avg(F.abs(error)).cast("double").alias("mae"),
+        F.sum(F.abs(error)).cast("double").alias("_absolute"),
         F.sum(error * error).cast("double").alias("_squares"),
         F.var_pop(F.col(label)).alias("_variance"),
     )
     mse = F.col("_squares") / F.col("n")
     r2 = F.when(F.col("_variance") > 0, 1 - mse / F.col("_variance"))
-    return sums.select(*by, "n", "mae", mse.alias("mse"), F.sqrt(mse).alias("rmse"), r2.alias("r2"))
+    mae = F.col("_absolute") / F.col("n")
+    return sums.select(*by, "n", mae.alias("mae"), mse.alias("mse"), F.sqrt(mse).alias("rmse"), r2.alias("r2"))
 
 
 def accuracy(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
