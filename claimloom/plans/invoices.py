@@ -68,6 +68,15 @@ def publish_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(monthly_rollup(spark, sf_dir), "country_code", "invoice_fee", LOAD_DATE)
 
 
+def payable_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published rows per country and month of payment, summed straight from the invoice lines."""
+    lines = views.payable_lines(spark, sf_dir).filter(F.col("payment_date") > AFTER)
+    months = months_of(lines, ["country_code"], "payment_date", "invoice_fee")
+    return published(
+        months.withColumn("invoice_fee", F.col("invoice_fee").cast("decimal(28,2)")), "country_code", "invoice_fee", LOAD_DATE
+    )
+
+
 def forecast_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = weekly_invoice_fee(spark, sf_dir)
     return forecast(
