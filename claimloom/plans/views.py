@@ -224,7 +224,7 @@ select concat('d', cast(doc_id as string)) as ID,
   cast(null as timestamp) as UploadedAt, cast(null as timestamp) as ProcessedAt,
   cast(case when n_chars > 2000 then 1 else null end as int) as RetryCount,
   {no_codes} as FailureStatusCode,
-  case when lang = 'es' then '{}' else text end as JsonData, cast(null as {string}) as PolicyName
+  case when lang = 'es' then concat(chr(123), chr(125)) else text end as JsonData, cast(null as {string}) as PolicyName
 from {documents}
 """
 
@@ -232,7 +232,7 @@ from {documents}
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source documents; the type follows the language, Spanish ones have no type and an empty payload."""
     text = DOCUMENTS.replace("{no_codes}", "cast(null as array<string>)").replace("{string}", "string")
-    return spark.sql(text.replace("'{}'", "concat('{', '}')"), documents=table(spark, sf_dir, "documents"))
+    return spark.sql(text, documents=table(spark, sf_dir, "documents"))
 
 
 def documents_sql() -> str:
