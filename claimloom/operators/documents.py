@@ -14,17 +14,20 @@ from claimloom.config.schemas import CHILD_DOCUMENT, FORM_NUMBER, META_DATA, SPL
 from claimloom.functions.text import base_id, document_kind
 from claimloom.operators.curate import split_valid
 from claimloom.operators.lookups import (
+    apply_updates,
     array_hits,
     exploded_ids,
     first_per_key,
     lookup_first,
     lookup_first_in_array,
-    resolve_children,
+    resolved_arrays,
     update_from,
 )
+from claimloom.session import stored
 
 USE_CASE = "policy lookup"
 MERGED_TAG = "Merged Document"
+RECORD_ORDER = ["filePath", "jsonId"]  # which record of an id counts as the first one
 LIST_BITS = 14  # a split list holds at most 2**14 parts per row
 
 TARGET_COLUMNS = [
@@ -206,39 +209,33 @@ def update_child_documents(
     """Children and form numbers on the first record of each declaration document.
 
     If several policies share a declaration document the last policy wins, so arrays are resolved
-    for the winners only; the misses are reported for every policy.
+    for the winners only; the misses are reported for every policy. The target is read several
+    times and should be a stored table.
     """
     linked = policies_with_declaration(policies, declarations)
-    by_id = first_per_key(target, ["documentId"], ["filePath", "jsonId"])
-    child = F.struct("documentId", F.lit(True).alias("isActive"), "documentTag", "filePath", "jsonId")
-    has_form = F.length("formNumber.formNumber") > 0
-    form = F.when(has_form, F.col("formNumber"))
-
-    last = first_per_key(exploded_ids(linked, "dec_ids", "dec_id"), ["dec_id"], [F.desc("policy_id")])
-    with_children, _ = resolve_children(last, "dec_id", "applied", by_id, "documentId", child, "children")
-    resolved, _ = resolve_children(with_children, "dec_id", "form_ids", by_id, "documentId", form, "forms")
-    values = {"childDocumentIds": "children", "extractedFormNumbers": "forms"}
-    source = resolved.withColumn("_target", F.array("dec_id"))
-    order = ["filePath", "jsonId"]
-    updated = update_from(target, source, "documentId", "_target", values, ["policy_id"], first_only=order)
-
-    no_child = array_hits(linked, "policy_id", "applied", by_id, "documentId", child)
-    no_form = array_hits(linked, "policy_id", "form_ids", by_id, "documentId", form)
-    misses = [
-        _misses(no_child, "applied endorsement not found"),
-        _misses(no_form, "form number not found"),
-        linked.filter(F.col("applied").isNull()).select(
-            F.lit("Child_documents").alias("stage"),
-            F.col("policy_id").alias("id"),
-            F.lit("no applied endorsements").alias("reason"),
+    by_id = first_per_key(target, ["documentId"], RECORD_ORDER)
+    arrays = {"childDocumentIds": "applied", "extractedFormNumbers": "form_ids"}
+    children = {
+        "childDocumentIds": F.struct(
+            "documentId", F.lit(True).alias("isActive"), "documentTag", "filePath", "jsonId"
         ),
-    ]
-    return updated, misses[0].unionByName(misses[1]).unionByName(misses[2])
-
-
-def _misses(hits: DataFrame, reason: str) -> DataFrame:
-    missing = hits.filter(F.col("child").isNull())
-    return missing.select(F.lit("Child_documents").alias("stage"), "id", F.lit(reason).alias("reason"))
+        "extractedFormNumbers": F.when(F.length("formNumber.formNumber") > 0, F.col("formNumber")),
+    }
+    last = first_per_key(exploded_ids(linked, "dec_ids", "dec_id"), ["dec_id"], [F.desc("policy_id")])
+    resolved = resolved_arrays(last, "dec_id", arrays, by_id, "documentId", children)
+    updates = resolved.withColumnRenamed("dec_id", "documentId")
+    updated = apply_updates(target, updates, "documentId", list(arrays), first_only=RECORD_ORDER)
+
+    hits = array_hits(linked, "policy_id", arrays, by_id, "documentId", children)
+    no_child = (F.col("out") == "childDocumentIds") & F.col("childDocumentIds").isNull()
+    no_form = (F.col("out") == "extractedFormNumbers") & F.col("extractedFormNumbers").isNull()
+    reason = F.when(no_child, "applied endorsement not found").when(no_form, "form number not found")
+    misses = hits.select(F.col("id"), reason.alias("reason")).filter(F.col("reason").isNotNull())
+    unlisted = linked.filter(F.col("applied").isNull()).select(
+        F.col("policy_id").alias("id"), F.lit("no applied endorsements").alias("reason")
+    )
+    stage = F.lit("Child_documents").alias("stage")
+    return updated, misses.unionByName(unlisted).select(stage, "id", "reason")
 
 
 def part_records(docs: DataFrame) -> DataFrame:
@@ -320,10 +317,13 @@ def migrate_all(
     prompts: DataFrame,
     created: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All stages in order; leases are added last and so never receive declaration data."""
+    """All stages in order; leases are added last and so never receive declaration data.
+
+    The records are stored once before the children are resolved against them.
+    """
     migrated, payloads, no_type = migrate_documents(docs, clients, policies, declarations, prompts, created=created)
     declared, no_ids = migrate_declarations(migrated, declarations)
-    linked, misses = update_child_documents(declared, policies, declarations)
+    linked, misses = update_child_documents(stored(declared, "declared"), policies, declarations)
     lease_docs, lease_payloads, no_lease = migrate_leases(leases, clients, prompts, created)
     rejects = no_type.unionByName(no_ids).unionByName(misses).unionByName(no_lease)
     return {

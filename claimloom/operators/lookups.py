@@ -54,62 +54,98 @@ def lookup_first_in_array(
     return lookup_first(df, exploded_ids(dim, ids, "_id_of_row"), {key: "_id_of_row"}, values, order)
 
 
-def update_from(
-    target: DataFrame,
-    source: DataFrame,
-    key: str,
-    ids: str,
-    values: Mapping[str, str],
-    order: Sequence[str],
-    first_only: Sequence[str] | None = None,
-) -> DataFrame:
-    """Set columns of all targets whose key is in the id array of a source row.
-
-    If several source rows name an id, the last one by ``order`` wins; a null it carries is set too.
-    ``values`` maps target columns to source columns. With ``first_only`` (columns that order the
-    target rows and are unique per key) only the first target row of each key is changed.
-    """
+def last_updates(source: DataFrame, key: str, ids: str, values: Mapping[str, str], order: Sequence[str]) -> DataFrame:
+    """One row ``(key, new values)`` per id in the arrays of the source; the last source row wins."""
     named = exploded_ids(source, ids, "_target_id").select(
         F.col("_target_id").alias(key),
         *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
-        F.struct(*[F.col(v).alias(t) for t, v in values.items()]).alias("_new"),
+        *[F.col(v).alias(t) for t, v in values.items()],
     )
-    last = first_per_key(named, [key], [F.desc(f"_order{i}") for i in range(len(order))]).select(key, "_new")
+    last = first_per_key(named, [key], [F.desc(f"_order{i}") for i in range(len(order))])
+    return last.select(key, *values)
+
+
+def apply_updates(
+    target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str], first_only: Sequence[str] | None = None
+) -> DataFrame:
+    """Target with columns set from ``updates`` (unique per key) where the key occurs, nulls included.
+
+    With ``first_only`` (columns that order the target rows and are unique per key) only the first
+    target row of each key is changed.
+    """
+    new = F.struct(*[F.col(c) for c in columns]).alias("_new")
     on = {key: key}
     if first_only:
         # the first target per key is an aggregate, so a key with many targets needs no big window
         firsts = target.groupBy(key).agg(F.min(F.struct(*first_only)).alias("_first"))
-        last = last.join(firsts, key)
+        updates = updates.join(firsts, key)
         on |= {c: f"_first.{c}" for c in first_only}
-    slim = last.select("_new", *[F.col(c).alias(f"_key{i}") for i, c in enumerate(on.values())])
+    slim = updates.select(new, *[F.col(c).alias(f"_key{i}") for i, c in enumerate(on.values())])
     terms = [F.col(f"_left.{key}") == F.col("_right._key0")]
     terms += [F.col(f"_left.{c}").eqNullSafe(F.col(f"_right._key{i}")) for i, c in enumerate(on) if i]
     joined = target.alias("_left").join(slim.alias("_right"), reduce(Column.__and__, terms), "left")
     hit = F.col("_right._new").isNotNull()
-    changed = {t: F.when(hit, F.col(f"_right._new.{t}")).otherwise(F.col(f"_left.{t}")).alias(t) for t in values}
+    changed = {t: F.when(hit, F.col(f"_right._new.{t}")).otherwise(F.col(f"_left.{t}")).alias(t) for t in columns}
     return joined.select(*[changed.get(c, F.col(f"_left.{c}")) for c in target.columns])
 
 
-def array_hits(df: DataFrame, row_key: str, ids: str, dim: DataFrame, dim_key: str, child: Column) -> DataFrame:
-    """One row ``(row_key, pos, id, child)`` per array entry; ``child`` is null if ``dim`` has no such id."""
-    entries = df.select(row_key, F.posexplode(ids).alias("pos", "id"))
-    children = dim.select(F.col(dim_key).alias("id"), child.alias("child"))
-    return entries.join(children, "id", "left").select(row_key, "pos", "id", "child")
+def update_from(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    ids: str,
+    values: Mapping[str, str],
+    order: Sequence[str],
+    first_only: Sequence[str] | None = None,
+) -> DataFrame:
+    """Set columns of all targets whose key is in the id array of a source row.
+
+    If several source rows name an id, the last one by ``order`` wins; a null it carries is set too.
+    ``values`` maps target columns to source columns; ``first_only`` as in ``apply_updates``.
+    """
+    return apply_updates(target, last_updates(source, key, ids, values, order), key, list(values), first_only)
+
+
+def _tagged_ids(out: str, ids: str) -> Column:
+    return F.transform(ids, lambda x, i: F.struct(F.lit(out).alias("out"), i.alias("pos"), x.alias("id")))
+
+
+def array_hits(
+    df: DataFrame, row_key: str, arrays: Mapping[str, str], dim: DataFrame, dim_key: str, children: Mapping[str, Column]
+) -> DataFrame:
+    """One row per array entry: ``(row_key, out, pos, id)`` and a struct per output of ``dim``.
+
+    ``arrays`` maps an output name to its id array, ``children`` to the struct made from ``dim``
+    (null if there is no such row). A row without any id keeps one entry with a null position.
+    """
+    nothing = F.array().cast("array<struct<out:string,pos:int,id:string>>")
+    tagged = [F.coalesce(_tagged_ids(out, ids), nothing) for out, ids in arrays.items()]
+    entries = df.select(row_key, F.explode_outer(F.concat(*tagged)).alias("_entry")).select(row_key, "_entry.*")
+    found = dim.select(F.col(dim_key).alias("id"), *[c.alias(out) for out, c in children.items()])
+    return entries.join(found, "id", "left")
+
+
+def resolved_arrays(
+    df: DataFrame, row_key: str, arrays: Mapping[str, str], dim: DataFrame, dim_key: str, children: Mapping[str, Column]
+) -> DataFrame:
+    """``row_key`` and one array of structs per output, in the order of the id arrays, misses left out.
+
+    ``row_key`` and ``dim_key`` are unique. All arrays are resolved by one join; a regrouped array
+    is never longer than the array of its own row.
+    """
+    hits = array_hits(df, row_key, arrays, dim, dim_key, children)
+    lists = []
+    for out in arrays:
+        entry = F.when((F.col("out") == out) & F.col(out).isNotNull(), F.struct("pos", F.col(out).alias("child")))
+        lists.append(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["child"]).alias(out))
+    return hits.groupBy(row_key).agg(*lists)
 
 
 def resolve_children(
     df: DataFrame, row_key: str, ids: str, dim: DataFrame, dim_key: str, child: Column, out: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Replace each id of an array by a struct of ``dim`` in array order.
-
-    Returns the frame with the new column and the misses ``(row_key, id)``. ``row_key`` and
-    ``dim_key`` are unique. The regrouped array is never longer than the array of its own row.
-    """
-    hits = array_hits(df, row_key, ids, dim, dim_key, child)
-    listed = F.sort_array(F.collect_list(F.when(F.col("child").isNotNull(), F.struct("pos", "child"))))
-    resolved = hits.groupBy(row_key).agg(F.transform(listed, lambda e: e["child"]).alias(out))
-    kept = [c for c in df.columns if c != out]
-    joined = df.select(*kept).join(resolved, row_key, "left")
-    empty = F.array().cast(resolved.schema[out].dataType)
-    full = joined.withColumn(out, F.coalesce(F.col(out), empty))
-    return full, hits.filter(F.col("child").isNull()).select(row_key, "id")
+    """Add an array column with a struct of ``dim`` per id, and the misses ``(row_key, id)``."""
+    wanted = (row_key, {out: ids}, dim, dim_key, {out: child})
+    full = df.join(resolved_arrays(df, *wanted), row_key)
+    misses = array_hits(df, *wanted).filter(F.col(out).isNull() & F.col("pos").isNotNull())
+    return full, misses.select(row_key, "id")

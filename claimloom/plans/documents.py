@@ -10,7 +10,7 @@ from claimloom.functions.text import document_kind as kind_of
 from claimloom.operators import documents as migration
 from claimloom.operators.lookups import lookup_first, lookup_first_in_array, resolve_children as resolve, update_from
 from claimloom.plans import views
-from claimloom.session import work_path
+from claimloom.session import stored, work_path
 from claimloom.sources.readers import read_documents
 from claimloom.sources.sinks import write_documents
 
@@ -120,7 +120,7 @@ def resolve_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 def child_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Children and form numbers of the declaration documents."""
     target, _ = migration.update_child_documents(
-        migrated(spark, sf_dir)[0], views.policies(spark, sf_dir), views.declarations(spark, sf_dir)
+        stored(migrated(spark, sf_dir)[0], "migrated"), views.policies(spark, sf_dir), views.declarations(spark, sf_dir)
     )
     return target.select(
         "documentId",
@@ -131,7 +131,7 @@ def child_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def child_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, misses = migration.update_child_documents(
-        migrated(spark, sf_dir)[0], views.policies(spark, sf_dir), views.declarations(spark, sf_dir)
+        stored(migrated(spark, sf_dir)[0], "migrated"), views.policies(spark, sf_dir), views.declarations(spark, sf_dir)
     )
     return misses.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
 
@@ -228,10 +228,11 @@ ORACLE = {
     "lookup_array_key": f"""with {DOCS}, {DECS}, {DEC_IDS}, f as (select ref, arg_min("DeclarationNumber", _id) as number from dec_ids group by ref)
         select "ID", number as "uniqueId" from docs left join f on ref = "ID\"""",
     "document_kind": f'with {DOCS} select "ID", {KIND} as kind from docs',
-    "split_payload": f"""with {DOCS} select "ID", {JSON_ID} as "jsonId", case when {JSON_ID} is not null then length("JsonData") end as size
+    "split_payload": f"""with {DOCS} select "ID", {JSON_ID} as "jsonId", case when {JSON_ID} is not null then cast(length("JsonData") as integer) end as size
         from docs""",
     "to_document": f"with {TARGET} select {FLAT} from target",
-    "document_files": f'with {DOCS} select "ID", "DocumentType", "FormNumber", "RetryCount", length("JsonData") as size from docs',
+    "document_files": f"""with {DOCS} select "ID", "DocumentType", "FormNumber", "RetryCount",
+        cast(length("JsonData") as integer) as size from docs""",
     "rejects": f"""with {DOCS}, {DECS} select 'Documents' as stage, "ID" as id, 'no document type' as reason from docs
         where "DocumentType" is null union all select 'Declaration', _id, 'no declaration documents' from decs
         where "DeclarationDocumentID" is null""",

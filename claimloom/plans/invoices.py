@@ -30,14 +30,14 @@ LOAD_DATE = "2002-01-15"
 
 
 def weekly_invoice_fee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = views.payable_lines(spark, sf_dir)
+    lines = views.payable_lines(spark, sf_dir, AFTER)
     series = weekly_series(lines, ["country_code"], "payment_date", "invoice_fee", AFTER, "week_end")
     return series.withColumn("invoice_fee", F.col("invoice_fee").cast("decimal(28,2)"))
 
 
 def weekly_invoice_fee_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A series per nation, brand and product, so that many weeks are empty."""
-    lines = views.payable_lines(spark, sf_dir)
+    lines = views.payable_lines(spark, sf_dir, AFTER)
     series = weekly_series(lines, ["n_name", "p_brand", "p_type"], "payment_date", "invoice_fee", AFTER, "week_end")
     return series.withColumn("invoice_fee", F.col("invoice_fee").cast("decimal(28,2)"))
 
@@ -70,7 +70,7 @@ def publish_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payable_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published rows per country and month of payment, summed straight from the invoice lines."""
-    lines = views.payable_lines(spark, sf_dir).filter(F.col("payment_date") > AFTER)
+    lines = views.payable_lines(spark, sf_dir, AFTER)
     months = months_of(lines, ["country_code"], "payment_date", "invoice_fee")
     return published(
         months.withColumn("invoice_fee", F.col("invoice_fee").cast("decimal(28,2)")), "country_code", "invoice_fee", LOAD_DATE
@@ -287,7 +287,7 @@ ORACLE = {
         '{"event_type":"' || event_type || '","k":' || json_extract_string(props, '$.k') || '}' as record from events""",
     "url_parts": r"""select page_id, string_split(url, '/')[3] as host, string_split(url, '/')[4] as lang,
         regexp_replace(string_split(url, '/')[-1], '\.[^.]*$', '') as stem from pages""",
-    "warehouse_query": """select r_name, o_orderstatus, count(*) as n_orders, sum(cast(o_totalprice as decimal(18,2))) as total
-        from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+    "warehouse_query": """select r_name, o_orderstatus, count(*) as n_orders,
+        cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(28,2)) as total from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
         join region on n_regionkey = r_regionkey group by all""",
 }

@@ -258,10 +258,11 @@ ORACLE = {
         from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)
         select folder, 'out/forecasts/' || folder || '/forecast-' || max(day) || '.csv' as path from files
         where o_orderstatus <> 'P' group by folder""",
-    "fan_out": """select zone, event_type, count(*) as n, sum(cast(value as decimal(18,2))) as total from events,
+    "fan_out": """select zone, event_type, count(*) as n, cast(sum(cast(value as decimal(18,2))) as decimal(28,2)) as total
+        from events,
         (values ('raw'), ('second')) z(zone) group by all""",
     "runs_long": f"""with {RUNS_SQL}
-        select experiment, run, 'metrics' as kind, 'eval_rmse' as name, cast(number + 1 as varchar) as value, 0 as step from runs
+        select experiment, run, 'metrics' as kind, 'eval_rmse' as name, cast(number + 1 as varchar) as value, cast(0 as bigint) as step from runs
         union all select experiment, run, 'metrics', 'eval_rmse', cast(number as varchar), 1 from runs
         union all select experiment, run, 'params', 'lr', cast(c_custkey as varchar), null from runs
         union all select experiment, run, 'params', 'momentum', c_mktsegment, null from runs

@@ -53,7 +53,7 @@ def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice lines arrive per region; the forecast of each arriving region is refreshed."""
     source, out, state = (work_path(spark, n) for n in ("invoices", "forecasts", "state"))
-    lines = views.payable_lines(spark, sf_dir).select(
+    lines = views.payable_lines(spark, sf_dir, AFTER).select(
         F.col("country_code").alias("region"), F.col("payment_date").alias("day"), F.col("invoice_fee").alias("y")
     )
     lines.write.partitionBy("region").parquet(source)

@@ -184,7 +184,7 @@ def flags_sql(vocabulary: dict[str, list[str]], sep: str) -> str:
 
 
 CLAIMS_SQL = f"claims as ({views.claims_sql()})"
-DEMAND_SQL = """daily as (select p_brand as item, cast(l_shipdate as date) as day, sum(cast(l_quantity as decimal(18,2))) as demand,
+DEMAND_SQL = """daily as (select p_brand as item, cast(l_shipdate as date) as day, cast(sum(cast(l_quantity as decimal(18,2))) as decimal(28,2)) as demand,
   max(case when p_type = 'PROMO' then 1 else 0 end) as promo from lineitem join part on l_partkey = p_partkey group by all),
 rows as (select item, day, demand, promo, cast(dayofweek(day) in (0, 6) as bigint) as weekend,
   cast(strftime(day, '%m-%d') in ('01-01', '12-25') as integer) as holiday,
