@@ -238,8 +238,8 @@ def update_child_documents(
     return updated, misses.unionByName(unlisted).select(stage, "id", "reason")
 
 
-def part_records(docs: DataFrame) -> DataFrame:
-    """Documents that are parts (``<base>_<n>``) as ``(base, id, part)``."""
+def part_records(docs: DataFrame, order: list[str]) -> DataFrame:
+    """Documents that are parts (``<base>_<n>``) as ``(base, <order>, part)``."""
     part = F.struct(
         F.col("ID").alias("documentId"),
         F.col("Status").alias("processStatus"),
@@ -248,7 +248,8 @@ def part_records(docs: DataFrame) -> DataFrame:
         F.col("DocumentType").alias("documentTag"),
         form_number().alias("formNumber"),
     ).cast(SPLIT_DOCUMENT)
-    return docs.select(base_id(F.col("ID")).alias("base"), "ID", part.alias("part")).filter(F.col("base").isNotNull())
+    records = docs.select(base_id(F.col("ID")).alias("base"), *order, part.alias("part"))
+    return records.filter(F.col("base").isNotNull())
 
 
 def part_lists(parts: DataFrame, order: list[str], bits: int = LIST_BITS) -> DataFrame:
@@ -279,10 +280,7 @@ def merge_parts(docs: DataFrame, order: list[str] | None = None, bits: int = LIS
     ``order`` are columns that give the order of the parts, the id by default.
     """
     order = order or ["ID"]
-    records = part_records(docs)
-    if order != ["ID"]:
-        records = records.join(docs.select("ID", *order), "ID")
-    lists = part_lists(records, order, bits)
+    lists = part_lists(part_records(docs, order), order, bits)
     bases = docs.filter(~F.col("ID").contains("_"))
     joined = first_per_key(bases, ["ID"], ["DocumentPath", "UploadedAt"]).join(lists, F.col("ID") == F.col("base"))
     return joined.select(

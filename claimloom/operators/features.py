@@ -23,6 +23,12 @@ def normalise_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: normalise_category(F.col(c)) for c in columns})
 
 
+def split_label(df: DataFrame) -> tuple[list[str], str]:
+    """Feature columns and label column of a table whose last column is the label."""
+    *columns, label = df.columns
+    return columns, label
+
+
 def learn_vocabulary(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> dict[str, list[str]]:
     """Sorted distinct answers of each column, found in one pass.
 

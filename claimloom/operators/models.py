@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.text import DAY_COUNTS, confidence
 from claimloom.operators.features import MISSING, row_hash
+from claimloom.session import stored
 
 # Boosting defaults of the triage training.
 BOOSTING = {"maxDepth": 3, "maxIter": 10, "stepSize": 0.3, "seed": 42}
@@ -75,15 +76,33 @@ def feature_stages(columns: Sequence[str], clean: bool = True) -> list:
     ]
 
 
+ROWS_PER_TASK = 10_000
+
+
+def training_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns a training needs, stored once and spread over the cores.
+
+    Training passes over its input many times and costs far more per byte than a scan, so a table
+    with fewer partitions than cores is spread out, down to ``ROWS_PER_TASK``; a large one keeps the
+    partitions of its files. The count comes from the file footers.
+    """
+    table = stored(df.select(*[F.col(f"`{c}`") for c in columns]), "training")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(min(cores, 1 + table.count() // ROWS_PER_TASK))
+
+
 def train(df: DataFrame, columns: Sequence[str], label: str, classifier, clean: bool = True) -> PipelineModel:
     """Fit features, label names and a classifier that reads ``features`` and ``label_id``."""
+    df = training_table(df, [*columns, label])
     names = StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(df)
     decode = IndexToString(inputCol="prediction", outputCol="recommendedServiceCode", labels=names.labels)
     return Pipeline(stages=[*feature_stages(columns, clean), names, classifier, decode]).fit(df)
 
 
 def train_multiclass(
-    df: DataFrame, columns: Sequence[str], label: str, clean: bool = True, parallelism: int = 4, **params
+    df: DataFrame, columns: Sequence[str], label: str, clean: bool = True, parallelism: int = 8, **params
 ) -> PipelineModel:
     """Boosted trees for any number of classes: one ensemble per class, the strongest wins."""
     trees = GBTClassifier(labelCol="label_id", **{**BOOSTING, **params})
@@ -131,12 +150,13 @@ def grid_search(
 
     Features and label codes are fitted once, the folds share them.
     """
+    chosen = [F.col(f"`{c}`") for c in [*columns, label]]
+    df = df.select(*chosen, F.pmod(row_hash(keys, seed), F.lit(folds)).cast("int").alias("fold"))
+    df = training_table(df, df.columns)
     names = StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(df)
     prepared = Pipeline(stages=[*feature_stages(columns, clean), names]).fit(df)
     trees = GBTClassifier(labelCol="label_id", seed=seed)
-    points = prepared.transform(df).select(
-        "features", "label_id", F.pmod(row_hash(keys, seed), F.lit(folds)).cast("int").alias("fold")
-    )
+    points = prepared.transform(df).select("features", "label_id", "fold")
     search = CrossValidator(
         estimator=trees,
         estimatorParamMaps=param_maps(trees, grid),
@@ -163,7 +183,7 @@ def train_demand(df: DataFrame, columns: Sequence[str], label: str, **params) ->
     """Random-forest regression of the daily demand."""
     assemble = VectorAssembler(inputCols=list(columns), outputCol="features")
     forest = RandomForestRegressor(labelCol=label, **{**FOREST, **params})
-    return Pipeline(stages=[assemble, forest]).fit(df)
+    return Pipeline(stages=[assemble, forest]).fit(training_table(df, [*columns, label]))
 
 
 def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:

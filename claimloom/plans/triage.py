@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.config.schemas import TEXT_CLAIM
 from claimloom.config.vocabulary import CODE_VOCABULARY, TEXT_VOCABULARY
 from claimloom.functions import text
 from claimloom.operators import features, metrics, models, series
 from claimloom.plans import views
-from claimloom.session import work_path
+from claimloom.session import stored, work_path
+from claimloom.sources.readers import read_training
 
 TEXT_COLUMNS = list(TEXT_VOCABULARY)
 CODE_COLUMNS = list(CODE_VOCABULARY)
@@ -40,6 +42,14 @@ def normalise_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.normalise_columns(views.claims(spark, sf_dir), columns).select("claim_id", *columns)
 
 
+def training_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims as CSV files of a folder, read back as training rows."""
+    path = work_path(spark, "training")
+    claims = views.claims(spark, sf_dir).select("claim_id", *TEXT_COLUMNS, "labels")
+    claims.write.options(header=True, escape='"').csv(path)
+    return read_training(spark, path, f"claim_id bigint, {TEXT_CLAIM}, labels string")
+
+
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, _ = features.label_index(views.claims(spark, sf_dir).select("claim_id", "labels"), "labels")
     return coded
@@ -58,7 +68,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def triage_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on one side, stored, loaded and used on the other side."""
-    split = features.stratified_split(views.claims(spark, sf_dir), "labels", ["claim_id"])
+    split = stored(features.stratified_split(views.claims(spark, sf_dir), "labels", ["claim_id"]), "split")
     model = models.train_multiclass(split.filter(~F.col("is_test")), TEXT_COLUMNS, "labels")
     path = work_path(spark, "model")
     models.save_model(model, path)
@@ -119,7 +129,7 @@ def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demand_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = features.hash_split(demand_rows(spark, sf_dir), ["item", "day"], test=0.3)
+    split = stored(features.hash_split(demand_rows(spark, sf_dir), ["item", "day"], test=0.3), "split")
     model = models.train_demand(split.filter(~F.col("is_test")), models.DEMAND_COLUMNS, "demand")
     return metrics.regression_metrics(model.transform(split.filter("is_test")), "demand", "prediction")
 
@@ -156,6 +166,7 @@ QUERIES = {
     "one_hot_coded": one_hot_coded,
     "feature_tokens": feature_tokens,
     "normalise_category": normalise_category,
+    "training_files": training_files,
     "label_index": label_index,
     "hash_split": hash_split,
     "stratified_split": stratified_split,
@@ -210,6 +221,7 @@ ORACLE = {
     ),
     "normalise_category": f"""with {CLAIMS_SQL} select claim_id, {", ".join(f'{clean_sql(c)} as "{c}"' for c in ("Status", "Materials", "Rooms"))}
         from claims""",
+    "training_files": f"""with {CLAIMS_SQL} select * from claims""",
     "label_index": f"""with {CLAIMS_SQL} select claim_id, labels, cast(dense_rank() over (order by labels) - 1 as integer) as label_id
         from claims""",
     "stratified_split": f"""with {CLAIMS_SQL} select labels, count(*) as n, cast(round(count(*) * 0.25) as bigint) as n_test

@@ -50,7 +50,11 @@ def read_table(spark: SparkSession, spec: TableSpec, url: str, predicate: str |
 
 
 def read_csv_strings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Quoted CSV with header and line breaks inside fields; every column is text."""
+    """Quoted CSV with header and line breaks inside fields; every column is text.
+
+    Such a file cannot be split, so one file is one task: keep files small when writing them
+    (``export_csv_by(rows_per_file=...)``).
+    """
     options = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
     return spark.read.options(**options).csv(paths, inferSchema=False)
 
@@ -59,7 +63,7 @@ def read_training(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Union of all CSV files of a folder, columns matched by position; no file is an error."""
     if not list_files(spark, folder, ".csv"):
         raise ValueError(f"there are no csv files in {folder}")
-    return spark.read.schema(schema).options(header=True, pathGlobFilter="*.csv").csv(folder)
+    return spark.read.schema(schema).options(header=True, escape='"', pathGlobFilter="*.csv").csv(folder)
 
 
 def read_forecasts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -35,10 +35,13 @@ def replace_partition(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
-def export_csv_by(df: DataFrame, column: str, path: str) -> None:
+def export_csv_by(df: DataFrame, column: str, path: str, rows_per_file: int = 0) -> None:
     """One folder of CSV files with header per value of the column, written by one job."""
     balanced = df.hint("rebalance", F.col(column))
-    balanced.write.mode("overwrite").partitionBy(column).options(header=True, escape='"').csv(path)
+    writer = balanced.write.mode("overwrite").partitionBy(column).options(header=True, escape='"')
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.csv(path)
 
 
 def write_documents(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -111,14 +111,15 @@ def retrain_stream(
     """Refresh the forecast of each region for which files arrive below ``region=<name>/``.
 
     A batch only says which regions changed; their series are built from all their stored files,
-    and only their forecast partitions are replaced.
+    and only their forecast partitions are replaced. The regions are folder names, which the driver
+    lists anyway; as literals they prune the scan to those folders.
     """
     partitioned = f"{schema}, region string"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        changed = batch.select("region").distinct()
-        invoices = session.read.schema(partitioned).parquet(folder).join(changed, "region", "left_semi")
+        changed = [row.region for row in batch.select("region").distinct().collect()]
+        invoices = session.read.schema(partitioned).parquet(folder).filter(F.col("region").isin(changed))
         months = forecast_regions(invoices, load_date, after)
         replace_partition(months, out, ["Region"])
 
