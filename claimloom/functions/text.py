@@ -15,16 +15,31 @@ DAY_COUNTS = {
 }
 
 
+# Every ASCII character outside letters, digits and space.
+ASCII_SPECIALS = "".join(chr(i) for i in range(128) if not (chr(i).isalnum() or chr(i) == " "))
+WHITESPACE = " \t\n\x0b\f\r"
+
+
+def blank_specials(col: Column) -> Column:
+    """Each character outside letters, digits and space becomes a space.
+
+    Plain ASCII text goes through a character map, about five times cheaper than the pattern.
+    """
+    mapped = F.translate(col, ASCII_SPECIALS, " " * len(ASCII_SPECIALS))
+    is_ascii = F.octet_length(col) == F.char_length(col)
+    return F.when(is_ascii, mapped).otherwise(F.regexp_replace(col, "[^0-9a-zA-Z ]", " "))
+
+
 def normalise_category(col: Column) -> Column:
-    """Spell out day counts, then turn each character outside letters, digits and space into a space."""
+    """Spell out day counts, then blank special characters."""
     renamed = col
     for raw, spelled in DAY_COUNTS.items():
         renamed = F.when(col == raw, F.lit(spelled)).otherwise(renamed)
-    return F.regexp_replace(renamed, "[^0-9a-zA-Z ]", " ")
+    return blank_specials(renamed)
 
 
 def strip_whitespace(col: Column) -> Column:
-    return F.regexp_replace(col, r"\s", "")
+    return F.translate(col, WHITESPACE, "")
 
 
 def document_kind(doc_type: Column) -> Column:

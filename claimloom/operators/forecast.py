@@ -11,8 +11,11 @@ here is one series of weeks, a few hundred rows whatever the number of invoices.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,9 @@ from claimloom.config.schemas import FORECAST
 from claimloom.functions.dates import weeks_to_year_end
 from claimloom.operators.series import monthly_rollup, publish_forecast, weekly_series
 
+# the functions below travel to the Python workers by value: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 YEAR = 365.25
 CHANGE_POINTS = 25
 FOURIER_PAIRS = 10

@@ -238,8 +238,8 @@ def lines_sql(division: str, branch: str) -> str:
     return f"case {' '.join(cases)} when {division} = 'Other' then {branch} else {division} end"
 
 
-BRANCHES_SQL = f"""branches as (select list_extract(list_value({", ".join(repr(b) for b in views.SAMPLE_BRANCHES)}), p.p_size) as branch_id,
-  count(*) as frequency from lineitem l join part p on l.l_partkey = p.p_partkey group by 1)"""
+BRANCHES_SQL = f"""branches as (select list_extract(list_value({", ".join(repr(b) for b in views.SAMPLE_BRANCHES)}),
+  cast(l_quantity as integer)) as branch_id, count(*) as frequency from lineitem group by 1)"""
 
 
 def fx_sql(as_of: str) -> str:

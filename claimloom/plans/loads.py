@@ -17,7 +17,7 @@ from claimloom.plans import views
 from claimloom.plans.invoices import LOAD_DATE, LINES_SQL, payable_monthly
 from claimloom.session import work_path
 from claimloom.sources import sinks
-from claimloom.sources.readers import parse_runs, read_csv_strings, read_forecasts
+from claimloom.sources.readers import parse_runs, read_csv_strings, read_forecasts, view_frame
 from claimloom.sources.versions import read_current
 from claimloom.sources.versions import snapshot_replace as replace_snapshot
 
@@ -71,6 +71,19 @@ def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("o_orderkey bigint, o_totalprice double, o_orderstatus string").parquet(path)
 
 
+def hub_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL view published to the hub: text amounts cast, stored by country, a re-run replaces its partitions."""
+    path = work_path(spark, "hub")
+    views.raw_invoices(spark, sf_dir).createOrReplaceTempView("invoice_view")
+    rows = view_frame(spark, "invoice_view").select(
+        "document_num", "invoice_amt", "payment_amt", F.col("country_code").alias("c_code")
+    )
+    typed = cast_columns(rows, {"invoice_amt": "double", "payment_amt": "double"}, on_error="null")
+    for _ in range(2):
+        sinks.replace_partition(typed, path, ["c_code"])
+    return spark.read.schema(typed.schema).parquet(path)
+
+
 def export_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders exported as CSV per country, read back as text and cast."""
     path = work_path(spark, "export")
@@ -185,6 +198,7 @@ QUERIES = {
     "latest_per_key": latest_per_key,
     "snapshot_replace": snapshot_replace,
     "replace_partition": replace_partition,
+    "hub_invoices": hub_invoices,
     "export_by_country": export_by_country,
     "load_router": load_router,
     "reconcile_counts": reconcile_counts,
@@ -230,6 +244,8 @@ ORACLE = {
     "snapshot_replace": "select * from customer",
     "replace_partition": """select o_orderkey, case when o_orderstatus = 'P' then 0.0 else o_totalprice end as o_totalprice,
         o_orderstatus from orders""",
+    "hub_invoices": f"""with raw as ({views.raw_invoices_sql()}) select document_num, cast(invoice_amt as double) as invoice_amt,
+        cast(payment_amt as double) as payment_amt, country_code as c_code from raw""",
     "export_by_country": """select o_orderkey, cast(o_totalprice as decimal(18,2)) as o_totalprice, o_orderpriority,
         case n_regionkey when 0 then 'UK' when 1 then 'US' when 2 then 'AU' when 3 then 'DE' else 'IT' end as country_code
         from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey""",

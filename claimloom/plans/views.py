@@ -133,7 +133,7 @@ def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- branches ---------------------------------------------------------------------------------
 
-# Sample branch ids, one per part size.
+# Sample branch ids, one per quantity.
 SAMPLE_BRANCHES = (
     "2CAT 34CAT AD5X HB7E ML3X 9CAT MOT2A FFAT1 CEO CONENG TPA1 IT DRONE WG2M GBSC PRIZE RPA2 0000 BTS FIN HR XSTRATA "
     "10MCKY ARNET1 1CFAS2 BVL1 CEG7 COP2 CPT3 POW1 TRI9 XAPI1 1BLD 2VIR 3BVL 4NSW 5QLD 6TAS 7VIC 8COM 9MAR 1FRS2 AVRB "
@@ -142,12 +142,10 @@ SAMPLE_BRANCHES = (
 
 
 def branch_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A claim per order line, its branch chosen by the size of the part."""
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey")
+    """A claim per order line, its branch chosen by the quantity (1 to 50)."""
     codes = F.array(*[F.lit(b) for b in SAMPLE_BRANCHES])
-    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return joined.select(F.element_at(codes, F.col("p_size")).alias("branch_id"))
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select(F.try_element_at(codes, F.col("l_quantity").cast("int")).alias("branch_id"))
 
 
 # -- triage claims ----------------------------------------------------------------------------

@@ -144,10 +144,10 @@ def test_dates_and_casts(spark):
 
 
 def test_text(spark):
-    values = ["no longer leaking, wet <1 day", "etc.)", "a/b", "", None]
+    values = ["no longer leaking, wet <1 day", "etc.)", "a/b", "", None, "é-\u4e2d\U0001f600x", "a\x00\x7fb"]
     df = spark.createDataFrame([(v,) for v in values], "v string")
     cleaned = [r[0] for r in df.select(text.normalise_category(F.col("v"))).collect()]
-    assert cleaned == ["no longer leaking  wet less than 1 day", "etc  ", "a b", "", None]
+    assert cleaned == ["no longer leaking  wet less than 1 day", "etc  ", "a b", "", None, "    x", "a  b"]
     kinds = spark.createDataFrame([("My ENDO base",), ("Endorsement",), ("Declaration",), ("x",), (None,)], "t string")
     assert [r[0] for r in kinds.select(text.document_kind(F.col("t"))).collect()] == ["base", "endo", "dec", None, None]
     ids = spark.createDataFrame([("a_1_2",), ("a",), ("_x",)], "i string")
