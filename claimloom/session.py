@@ -15,6 +15,8 @@ SETTINGS = {
     # split a hot join key even where that costs one more shuffle behind the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # hash instead of sort where every shuffled partition turned out to be this small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 

@@ -9,19 +9,15 @@ from pyspark.sql import functions as F
 
 
 def write_zone(
-    df: DataFrame,
-    path: str,
-    mode: str = "append",
-    target_rows_per_file: int = 0,
-    balance: bool = False,
-    legacy_decimals: bool = False,
+    df: DataFrame, path: str, mode: str = "append", target_rows_per_file: int = 0, balance: bool = False
 ) -> None:
-    """Parquet files without a shuffle; ``balance`` evens out many small or skewed tasks first."""
+    """Parquet files without a shuffle; ``balance`` evens out many small or skewed tasks first.
+
+    Readers of the legacy decimal layout need ``spark.sql.parquet.writeLegacyFormat`` on the session.
+    """
     writer = (df.hint("rebalance") if balance else df).write.mode(mode)
     if target_rows_per_file:
         writer = writer.option("maxRecordsPerFile", target_rows_per_file)
-    if legacy_decimals:
-        writer = writer.option("spark.sql.parquet.writeLegacyFormat", "true")
     writer.parquet(path)
 
 

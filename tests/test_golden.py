@@ -246,6 +246,37 @@ def test_csv(spark, tmp_path):
         readers.read_training(spark, str(tmp_path / "none"), "a int")
 
 
+def test_writers(spark, tmp_path):
+    zone, hub, out = (str(tmp_path / n) for n in ("zone", "hub", "csv"))
+    sinks.write_zone(spark.range(0, 100, 1, 1), zone, target_rows_per_file=30)
+    sinks.write_zone(spark.range(0, 50, 1, 7), zone, balance=True)
+    assert spark.read.parquet(zone).count() == 150
+    assert len([f for f in (tmp_path / "zone").iterdir() if f.suffix == ".parquet"]) == 4 + 1
+    df = spark.range(10).selectExpr("id", "if(id < 8, 'A', 'B') as c", "'x\"y' as t")
+    sinks.replace_partition(df, hub, ["c"])
+    sinks.replace_partition(df.filter("c = 'B'").limit(1), hub, ["c"])
+    assert rows(spark.read.parquet(hub).groupBy("c").count(), "c", "count") == [("A", 8), ("B", 1)]
+    sinks.export_csv_by(df, "c", out, rows_per_file=3)
+    assert len(list((tmp_path / "csv" / "c=A").glob("*.csv"))) == 3
+    assert readers.read_csv_strings(spark, out).filter("t = 'x\"y'").count() == 10
+    zones = [str(tmp_path / n) for n in ("one", "two")]
+    for _ in range(2):
+        sinks.fan_out(df, "b1", zones)
+    assert [spark.read.parquet(z).count() for z in zones] == [10, 10]
+
+
+def test_views(spark):
+    spark.range(3).createOrReplaceTempView("three")
+    assert readers.view_frame(spark, "three").count() == 3
+    assert readers.warehouse_query(spark, "select sum(id) as s from {t}", t=spark.range(4)).first().s == 6
+
+
+def test_latest_file(spark):
+    paths = ["o/UK/f-2020-01-02.csv", "o/UK/f-2020-01-10.csv", "o/UK/f-2021.tmp", "o//f.csv", "o/IT/f-1.csv"]
+    got = incremental.latest_per_group(spark.createDataFrame([(p,) for p in paths], "path string"))
+    assert rows(got, "folder", "path") == [("IT", "o/IT/f-1.csv"), ("UK", "o/UK/f-2020-01-10.csv")]
+
+
 def test_versions(spark, tmp_path):
     path = str(tmp_path / "table")
     with pytest.raises(FileNotFoundError):
