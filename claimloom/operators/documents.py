@@ -7,6 +7,8 @@ rows match, the smallest id wins; where several rows update one record, the larg
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,6 @@ from claimloom.operators.lookups import (
     exploded_ids,
     first_per_key,
     lookup_first,
-    lookup_first_in_array,
     resolved_arrays,
     update_from,
 )
@@ -116,13 +117,23 @@ def with_prompt(docs: DataFrame, prompts: DataFrame, policy: Column | None = Non
     return found.drop("_policy")
 
 
-def policy_names(policies: DataFrame, declarations: DataFrame) -> DataFrame:
-    """Policy name by kind and document id: base and endorsement ids of policies, ids of declarations."""
-    columns = ["kind", "id", "PolicyName", "_id"]
-    base = exploded_ids(policies, "BasePolicyDocumentID").withColumn("kind", F.lit("base"))
-    endo = exploded_ids(policies, "EndorsementDocumentID").withColumn("kind", F.lit("endo"))
-    dec = exploded_ids(declarations, "DeclarationDocumentID").withColumn("kind", F.lit("dec"))
-    return base.select(columns).unionByName(endo.select(columns)).unionByName(dec.select(columns))
+def named_documents(policies: DataFrame, declarations: DataFrame) -> DataFrame:
+    """What policies and declarations say about a document: one row per document id.
+
+    ``base``, ``endo`` and ``dec`` are structs ``(_id, PolicyName, number)`` of the first policy with
+    that base document, the first policy with that endorsement and the first declaration that lists
+    it. One aggregate over all ids, so that documents are joined to them once.
+    """
+    number = F.col("DeclarationNumber")
+    sources = {
+        "base": exploded_ids(policies, "BasePolicyDocumentID").withColumn("number", null_text()),
+        "endo": exploded_ids(policies, "EndorsementDocumentID").withColumn("number", null_text()),
+        "dec": exploded_ids(declarations, "DeclarationDocumentID").withColumn("number", number),
+    }
+    said = [df.select("id", F.lit(kind).alias("kind"), "_id", "PolicyName", "number") for kind, df in sources.items()]
+    fact = F.struct("_id", "PolicyName", "number")
+    firsts = [F.min(F.when(F.col("kind") == kind, fact)).alias(kind) for kind in sources]
+    return reduce(DataFrame.unionByName, said).groupBy("id").agg(*firsts)
 
 
 def migrate_documents(
@@ -142,12 +153,15 @@ def migrate_documents(
     pointed, payloads = split_payload(docs, created)
     checks = {"no id": F.col("ID").isNotNull(), "no document type": F.col("DocumentType").isNotNull()}
     valid, rejects = split_valid(pointed, "Documents", "ID", checks)
-    numbered = lookup_first_in_array(
-        valid, "ID", declarations, "DeclarationDocumentID", {"uniqueId": "DeclarationNumber"}, ["_id"]
+    facts = named_documents(policies, declarations)
+    kind = document_kind(F.col("DocumentType"))
+    name = F.when(kind == "base", F.col("base.PolicyName")).when(kind == "endo", F.col("endo.PolicyName"))
+    joined = valid.join(facts, valid["ID"] == facts["id"], "left")
+    named = joined.select(
+        *[valid[c] for c in valid.columns],
+        F.col("dec.number").alias("uniqueId"),
+        name.when(kind == "dec", F.col("dec.PolicyName")).alias("subTag"),
     )
-    kinds = numbered.withColumn("_kind", document_kind(F.col("DocumentType")))
-    names = policy_names(policies, declarations)
-    named = lookup_first(kinds, names, {"ID": "id", "_kind": "kind"}, {"subTag": "PolicyName"}, ["_id"])
     policy = F.col("subTag") if use_policy_name else None
     return to_document(with_prompt(with_client(named, clients), prompts, policy)), payloads, rejects
 
@@ -257,9 +271,11 @@ def part_lists(parts: DataFrame, order: list[str], bits: int = LIST_BITS) -> Dat
 
     A base with at most ``2**bits`` parts gives one list. A larger one is sorted across tasks by
     range and cut into lists of that size, so no task or row ever holds an unbounded group; its
-    lists follow each other by ``firstPart``.
+    lists follow each other by ``firstPart``. Parts and large bases are stored first: the parts are
+    made once, and with the real number of large bases known, Spark filters without a shuffle.
     """
-    large = parts.groupBy("base").count().filter(F.col("count") > 2**bits).select("base")
+    parts = stored(parts, "parts")
+    large = stored(parts.groupBy("base").count().filter(F.col("count") > 2**bits).select("base"), "large")
     small = parts.join(large, "base", "left_anti").withColumn("_list", F.lit(0).cast("bigint"))
     spread = parts.join(large, "base", "left_semi").repartitionByRange("base", *order)
     # ids of one partition are consecutive and start at a multiple of 2**33

@@ -144,23 +144,45 @@ def merge_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("documentId", "documentTag", "clientName", "documentName", "processStatus", entry.alias("parts"))
 
 
-def migrate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Policy documents and lease documents (pages) in one target."""
-    pages = views.table(spark, sf_dir, "pages")
+def leases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as lease documents."""
+    number = F.col("page_id").cast("string")
     columns = {
-        "ID": F.concat(F.lit("l"), F.col("page_id").cast("string")),
+        "ID": F.concat(F.lit("l"), number),
         "DocumentType": F.lit("Lease"),
         "CarrierName": F.concat(F.lit("Carrier src"), F.length("url").cast("string")),
         "DocumentPath": F.col("url"),
-        "PolicyName": F.concat(F.lit("Lease "), F.col("page_id").cast("string")),
+        "PolicyName": F.concat(F.lit("Lease "), number),
         "JsonData": F.col("html"),
     }
     typed = views.documents(spark, sf_dir).schema
-    leases = pages.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in typed])
-    lease_docs, _, _ = migration.migrate_leases(leases, views.clients(spark, sf_dir), views.prompts(spark, sf_dir), CREATED)
+    return views.table(spark, sf_dir, "pages").select(
+        *[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in typed]
+    )
+
+
+def migrate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy documents and lease documents in one target."""
+    lease_docs, _, _ = migration.migrate_leases(
+        leases(spark, sf_dir), views.clients(spark, sf_dir), views.prompts(spark, sf_dir), CREATED
+    )
     return flat(migrated(spark, sf_dir)[0].unionByName(lease_docs))
 
 
+def migrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order: documents with declaration data and children, leases without."""
+    collections = (leases, views.clients, views.policies, views.declarations, views.prompts)
+    frames = [read(spark, sf_dir) for read in (views.documents, *collections)]
+    return migration.migrate_all(*frames, created=CREATED)["documents"].select(
+        "documentId",
+        "uniqueId",
+        "documentSubTag",
+        F.col("metaData.holderName").alias("holder"),
+        joined("childDocumentIds", lambda c: F.concat_ws("|", c["documentId"], c["documentTag"], c["filePath"])).alias("children"),
+        joined("extractedFormNumbers", lambda f: F.concat_ws("|", f["formNumber"], f["normalizedFormNumber"])).alias("forms"),
+    )
+
+
 QUERIES = {
     "lookup_scalar": lookup_scalar,
     "lookup_null_safe": lookup_null_safe,
@@ -177,6 +199,7 @@ QUERIES = {
     "child_misses": child_misses,
     "merge_parts": merge_parts,
     "migrate_union": migrate_union,
+    "migrate_all": migrate_all,
 }
 
 
@@ -267,4 +290,11 @@ ORACLE = {
           sha256('l' || page_id || '|' || html), p.prompt, null, 0, null, 0 from pages
         left join first_clients c on c."ClientName" = 'Carrier src' || length(url)
         left join first_prompts p on p."CarrierName" = 'Carrier src' || length(url)""",
+    "migrate_all": f"""with {TARGET}, {LINKED}, {WINNERS}, last_dec as (select ref, arg_max(struct_pack(number := "DeclarationNumber",
+          holder := "HolderName"), _id) as d from dec_ids group by ref)
+        select "documentId", case when l.ref is null then "uniqueId" else l.d.number end as "uniqueId", "documentSubTag",
+          l.d.holder as holder, coalesce(children, '') as children, coalesce(forms, '') as forms from target
+          left join last_dec l on l.ref = "documentId" left join children c on c.dec_id = "documentId"
+          left join forms f on f.dec_id = "documentId"
+        union all select 'l' || page_id, null, 'Lease ' || page_id, null, '', '' from pages""",
 }

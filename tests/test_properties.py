@@ -201,6 +201,30 @@ def test_delta_stream_equals_batch(spark, tmp_path):
         assert bag(flows.merged(spark, out, schema, ["k"], "at", ["v"]).select("k", "at", "v")) == bag(batch.select("k", "at", "v"))
 
 
+def test_retrain_stream_refreshes_arriving_regions_only(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "day date, y double"
+
+    def arrive(region, factor):
+        rows = [(d, float(v) * factor) for _, d, v in weekly(range(1, 120))]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{source}/region={region}")
+
+    def run(load_date):
+        flows.retrain_stream(spark, source, schema, out, state, load_date).awaitTermination()
+
+    arrive("A", 1), arrive("B", 10)
+    run("2020-06-01")
+    arrive("A", 1)
+    run("2020-07-01")
+    got = spark.read.parquet(out)
+    dates = {(r.Region, str(r.Load_date)) for r in got.select("Region", "Load_date").distinct().collect()}
+    assert dates == {("A", "2020-07-01"), ("B", "2020-06-01")}
+    stored = spark.read.schema(f"{schema}, region string").parquet(source)
+    batch = forecast.forecast_regions(stored.filter("region = 'A'"), "2020-07-01")
+    columns = ["forecast_date", "Region", "Load_date", F.round("Amount", 6)]
+    assert bag(got.filter("Region = 'A'").select(*columns)) == bag(batch.select(*columns))
+
+
 def test_failed_load_keeps_the_mark(spark, sf_dir):
     marks, out = work_path(spark, "marks"), work_path(spark, "raw")
     specs = [incremental.TableSpec("events", "delta", "event_id", "ts"), incremental.TableSpec("missing")]
