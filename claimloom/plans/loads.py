@@ -145,12 +145,11 @@ def isolated_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published rows of all months, replaced by new amounts for the months from 1999 on."""
-    keys = ["forecast_date", "Region", "Load_date"]
-    published = payable_monthly(spark, sf_dir)
-    updates = published.filter(F.col("forecast_date") >= "1999-01-01").withColumn("Amount", -F.col("Amount"))
     path = work_path(spark, "warehouse")
-    replace_snapshot(published, path, "1")
-    return sinks.upsert(read_current(spark, path), updates, keys)
+    replace_snapshot(payable_monthly(spark, sf_dir), path, "1")
+    published = read_current(spark, path)
+    updates = published.filter(F.col("forecast_date") >= "1999-01-01").withColumn("Amount", -F.col("Amount"))
+    return sinks.upsert(published, updates, ["forecast_date", "Region", "Load_date"])
 
 
 def forecast_files(spark: SparkSession, sf_dir: str) -> DataFrame:

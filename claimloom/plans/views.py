@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -11,8 +14,15 @@ TABLES = (
 ).split()
 
 
+@cache
+def table_schema(path: str) -> StructType:
+    """Schema of a stored table; inferring it is a job of its own, so it is done once per path."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(table_schema(path)).parquet(path)
 
 
 # -- invoices ---------------------------------------------------------------------------------

@@ -58,5 +58,8 @@ def fan_out(df: DataFrame, batch: str, zones: Sequence[str]) -> None:
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target with matching keys replaced; the updates must be unique per key."""
+    """Target with matching keys replaced; the updates must be unique per key.
+
+    The updates are read twice, so store them first if they are more than a scan.
+    """
     return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
