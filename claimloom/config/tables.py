@@ -11,7 +11,10 @@ SNAPSHOT = "snapshot"
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A source table; ``key`` and ``changed_at`` are needed for delta loads only."""
+    """A source table; ``key`` and ``changed_at`` are needed for delta loads only.
+
+    ``also_to`` names further zones that receive every batch of a delta table.
+    """
 
     name: str
     mode: str = SNAPSHOT

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from claimloom.config.schemas import LOAD_COUNT, LOAD_STATUS, MARK
 from claimloom.config.tables import DELTA, TableSpec
 from claimloom.sources.readers import empty
+from claimloom.sources.sinks import fan_out
 from claimloom.sources.storage import exists
 from claimloom.sources.versions import snapshot_replace
 
@@ -102,8 +103,8 @@ def run_isolated(spark: SparkSession, tasks: dict[str, Callable[[], int]], paral
 def load_task(spec: TableSpec, reader: Reader, out: str, low: str, high: str | None, version: str) -> Callable[[], int]:
     """The load of one table as a callable that returns the rows written.
 
-    A delta goes to its own batch folder, replaced if the run is repeated; a snapshot becomes a
-    new version of the table.
+    A delta goes to its own batch folder, replaced if the run is repeated, and to the zones in
+    ``also_to``; a snapshot becomes a new version of the table.
     """
     path = f"{out}/{spec.name}"
 
@@ -111,7 +112,7 @@ def load_task(spec: TableSpec, reader: Reader, out: str, low: str, high: str | N
         rows = reader(spec)
         if spec.mode == DELTA:
             batch = delta(rows, spec.changed_at, low, high)
-            return counted_write(batch, lambda df: df.write.mode("overwrite").parquet(f"{path}/batch={version}"))
+            return counted_write(batch, lambda df: fan_out(df, version, [path, *spec.also_to]))
         return counted_write(rows, lambda df: snapshot_replace(df, path, version))
 
     return load

@@ -225,6 +225,18 @@ def test_retrain_stream_refreshes_arriving_regions_only(spark, tmp_path):
     assert bag(got.filter("Region = 'A'").select(*columns)) == bag(batch.select(*columns))
 
 
+def test_batches_reach_the_second_zone(spark, sf_dir):
+    out, second, marks = (work_path(spark, n) for n in ("raw", "second", "marks"))
+    specs = [incremental.TableSpec("events", "delta", "event_id", "ts", also_to=(second,))]
+    for high in ("2024-01-10 00:00:00", "2024-01-20 00:00:00"):
+        incremental.load_source(spark, "s", specs, lambda s: views.table(spark, sf_dir, s.name), out, marks, high)
+    expected = views.table(spark, sf_dir, "events").filter("ts <= '2024-01-20 00:00:00'").count()
+    for zone in (f"{out}/events", second):
+        stored = spark.read.parquet(zone)
+        assert stored.count() == stored.select("event_id").distinct().count() == expected
+    assert incremental.read_mark(spark, marks, "s", "none") == "2024-01-20 00:00:00"
+
+
 def test_failed_load_keeps_the_mark(spark, sf_dir):
     marks, out = work_path(spark, "marks"), work_path(spark, "raw")
     specs = [incremental.TableSpec("events", "delta", "event_id", "ts"), incremental.TableSpec("missing")]
