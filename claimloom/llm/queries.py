@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.llm.chat import format_turns, read_back
 from claimloom.llm.common import read_table
+from claimloom.llm.kneser_ney import classify
+from claimloom.llm.line_dedup import drop_repeated_lines
 from claimloom.llm.merkle import fingerprint_documents
+from claimloom.llm.minhash import near_duplicates
 from claimloom.llm.mixing import MIX_SQL, mix_sources
 from claimloom.llm.rules import COUNTS, judge, learn_rules, statistics
 from claimloom.llm.scanning import digest_spans, scan_documents
@@ -14,6 +17,14 @@ from claimloom.llm.sharding import shard_documents
 from claimloom.session import stored
 
 
+def op1_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines", "removed_words")
+
+
+def op2_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op3_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
@@ -32,6 +43,11 @@ def op7_jump_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "n_words", "perplexity", "kept")
+
+
 def op9_token_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     control = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
@@ -46,10 +62,13 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_line_chunks,
+        op2_min_max_hash,
         op3_sainte_lague,
         op5_decision_list,
         op6_merkle,
         op7_jump_hash,
+        op8_kneser_ney,
         op9_token_chat,
         op10_secret_automaton,
     )
