@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import hex_number, n_words, running_start
+from claimloom.llm.common import hex_number, n_words, row_key, running_start
 from claimloom.session import stored
 
 
@@ -80,8 +80,9 @@ def mix_sources(
     most: int = 2,
     seed: str = "mix",
     blocks: int = 100_000,
+    keyed: bool = False,
 ) -> DataFrame:
-    """Words that the mix takes from each document.
+    """Words that the mix takes from each document; ``keyed`` adds the ``row_key`` of id and text.
 
     ``blocks``: into how many blocks all words are cut, so that a block is one word for small tables.
     A source's taken words differ from its target by less than a block for each of its 16 shards.
@@ -92,6 +93,7 @@ def mix_sources(
         F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1")).alias("src"),
         n_words(F.col("text")).alias("size"),
         digest.alias("digest"),
+        *([row_key(F.col("doc_id"), F.col("text")).alias("key")] if keyed else []),
     ).select(
         "*",
         F.substring("digest", 1, 1).alias("shard"),
@@ -123,7 +125,9 @@ def mix_sources(
     ahead = inside(F.col("first") * F.col("block"), F.least(last * F.col("block"), F.col("line")))
     around = inside(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), last - F.col("length")) * F.col("block"))
     taken = F.col("passes") * F.col("size") + ahead + around
-    return laid.join(cells, ["src", "shard"]).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return laid.join(cells, ["src", "shard"]).select(
+        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *(["key"] if keyed else [])
+    )
 
 
 #: The same mix in SQL, with the default parameters.

@@ -11,6 +11,7 @@ from claimloom.llm.line_dedup import drop_repeated_lines
 from claimloom.llm.merkle import fingerprint_documents
 from claimloom.llm.minhash import near_duplicates
 from claimloom.llm.mixing import MIX_SQL, mix_sources
+from claimloom.llm.packing import digest_pieces, pack_documents
 from claimloom.llm.rules import COUNTS, judge, learn_rules, statistics
 from claimloom.llm.scanning import digest_spans, scan_documents
 from claimloom.llm.sharding import shard_documents
@@ -29,6 +30,10 @@ def op3_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op4_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_pieces(pack_documents(read_table(spark, sf_dir, "documents")))
+
+
 def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stored(statistics(read_table(spark, sf_dir, "documents")), "quality-statistics")
     rules = learn_rules(stats, read_table(spark, sf_dir, "labels"))
@@ -65,6 +70,7 @@ QUERIES = {
         op1_line_chunks,
         op2_min_max_hash,
         op3_sainte_lague,
+        op4_bm25_packing,
         op5_decision_list,
         op6_merkle,
         op7_jump_hash,
