@@ -32,6 +32,14 @@ def hex_number(digest: Column, start: int, digits: int) -> Column:
     return F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """mapInArrow with a function from a record batch to a dict of columns, or None for no rows."""
     kinds = pa_schema(df.sparkSession, schema)
