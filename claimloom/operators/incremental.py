@@ -87,6 +87,12 @@ def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return seen.get["rows"]
 
 
+def error_text(error: Exception) -> str:
+    """Class and first line of the message."""
+    lines = str(error).strip().splitlines()
+    return f"{type(error).__name__}: {lines[0]}" if lines else type(error).__name__
+
+
 def run_isolated(spark: SparkSession, tasks: dict[str, Callable[[], int]], parallel: int = 4) -> DataFrame:
     """Run independent loads; a failing one is reported as a row and does not stop the others."""
 
@@ -94,7 +100,7 @@ def run_isolated(spark: SparkSession, tasks: dict[str, Callable[[], int]], paral
         try:
             return name, True, tasks[name](), None
         except Exception as error:  # noqa: BLE001 - any failure of a source becomes its status
-            return name, False, None, type(error).__name__
+            return name, False, None, error_text(error)
 
     with ThreadPoolExecutor(parallel) as pool:
         return spark.createDataFrame(list(pool.map(attempt, tasks)), LOAD_STATUS)

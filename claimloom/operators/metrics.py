@@ -11,7 +11,7 @@ PARENT_TAG = "mlflow.parentRunId"
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    """mae, mse, rmse and r2 per group.
+    """mae, mse, rmse and r2 per group, over the rows that have both a label and a prediction.
 
     Sums keep the type of the columns, so decimal input gives the same result in any row order.
     """
@@ -20,7 +20,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
         F.count(error).alias("n"),
         F.sum(F.abs(error)).cast("double").alias("_absolute"),
         F.sum(error * error).cast("double").alias("_squares"),
-        F.var_pop(F.col(label)).alias("_variance"),
+        F.var_pop(F.when(error.isNotNull(), F.col(label))).alias("_variance"),
     )
     mse = F.col("_squares") / F.col("n")
     r2 = F.when(F.col("_variance") > 0, 1 - mse / F.col("_variance"))
@@ -29,7 +29,9 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
 
 
 def accuracy(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(F.avg((F.col(label) == F.col(prediction)).cast("int")).alias("accuracy"))
+    """Share of right answers among the labelled rows; a missing answer is a wrong one."""
+    right = F.coalesce(F.col(label) == F.col(prediction), F.lit(False))
+    return df.groupBy(*by).agg(F.avg(F.when(F.col(label).isNotNull(), right.cast("int"))).alias("accuracy"))
 
 
 def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -39,18 +41,27 @@ def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence) -> DataFrame:
-    """One row per true class, one column ``predicted_<class>`` per class."""
+    """One row per true class, one column ``predicted_<class>`` per class.
+
+    ``predicted_other`` counts missing answers and answers outside ``classes``.
+    """
     counts = confusion_counts(df, label, prediction)
     columns = [
         F.coalesce(F.sum(F.when(F.col("prediction") == c, F.col("n"))), F.lit(0)).alias(f"predicted_{c}")
         for c in classes
     ]
-    return counts.groupBy("label").agg(*columns)
+    listed = F.coalesce(F.col("prediction").isin(list(classes)), F.lit(False))
+    other = F.coalesce(F.sum(F.when(~listed, F.col("n"))), F.lit(0)).alias("predicted_other")
+    return counts.groupBy("label").agg(*columns, other)
 
 
 def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Precision, recall, f1 and support per class, from the confusion counts."""
-    counts = confusion_counts(df, label, prediction)
+    """Precision, recall, f1 and support per class, from the confusion counts.
+
+    A missing answer counts for the support of its class and for no class's predictions; rows without
+    a label are left out.
+    """
+    counts = confusion_counts(df.filter(F.col(label).isNotNull()), label, prediction)
     sides = counts.select(
         F.explode(
             F.array(
@@ -61,7 +72,7 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
         F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hit"),
     )
     # a correct pair occurs on both sides, so its hits are halved
-    sums = sides.groupBy("side.class").agg(
+    sums = sides.filter(F.col("side.class").isNotNull()).groupBy("side.class").agg(
         F.sum("side.actual").alias("support"), F.sum("side.predicted").alias("_predicted"), F.sum("hit").alias("_hits")
     )
     hits = F.col("_hits") / 2

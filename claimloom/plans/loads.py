@@ -72,15 +72,14 @@ def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hub_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A SQL view published to the hub: text amounts cast, stored by country, a re-run replaces its partitions."""
+    """A SQL view published to the hub: text amounts cast, stored by country."""
     path = work_path(spark, "hub")
     views.raw_invoices(spark, sf_dir).createOrReplaceTempView("invoice_view")
     rows = view_frame(spark, "invoice_view").select(
         "document_num", "invoice_amt", "payment_amt", F.col("country_code").alias("c_code")
     )
     typed = cast_columns(rows, {"invoice_amt": "double", "payment_amt": "double"}, on_error="null")
-    for _ in range(2):
-        sinks.replace_partition(typed, path, ["c_code"])
+    sinks.replace_partition(typed, path, ["c_code"])
     return spark.read.schema(typed.schema).parquet(path)
 
 
@@ -140,7 +139,9 @@ def isolated_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     status = run_isolated(spark, {name: copy(name) for name in [*views.TABLES, "not_there"]})
-    return status.select("source", "ok", "rows", "error")
+    kind = F.regexp_extract("error", r"^(\w+): \[?(\w+)", 1)
+    cause = F.regexp_extract("error", r"^(\w+): \[?(\w+)", 2)
+    return status.select("source", "ok", "rows", kind.alias("error"), cause.alias("cause"))
 
 
 def upsert_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,9 +261,9 @@ ORACLE = {
         as rows, '2024-02-01 00:00:00' as mark union all select 2, 'events', (select count(*) from events
         where ts > timestamp '2024-01-15 06:00:00' and ts <= timestamp '2024-02-01'), '2024-02-01 00:00:00'""",
     "isolated_loads": " union all ".join(
-        f"select '{t}' as source, true as ok, (select count(*) from {t}) as rows, cast(null as varchar) as error" for t in views.TABLES
+        f"select '{t}' as source, true as ok, (select count(*) from {t}) as rows, cast(null as varchar) as error, cast(null as varchar) as cause" for t in views.TABLES
     )
-    + " union all select 'not_there', false, null, 'AnalysisException'",
+    + " union all select 'not_there', false, null, 'AnalysisException', 'PATH_NOT_FOUND'",
     "upsert_forecasts": f"""with {MONTHLY_SQL} select forecast_date,
         case when forecast_date >= date '1999-01-01' then -"Amount" else "Amount" end as "Amount", "Source", "Region", "Load_date"
         from published""",

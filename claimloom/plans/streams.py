@@ -14,23 +14,40 @@ EVENT = "event_id bigint, user_id bigint, event_type string, value double"
 CHANGE = "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz"
 
 
+def logged(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Events as lines of JSON, clicks below a body, purchases below a body of text, and lines that
+    cannot be read: errors cut short, and sign-ups of users divisible by 7 as a list."""
+    source, out, rejects, state = (work_path(spark, n) for n in ("events", "log", "rejects", "state"))
+    event = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    kind = F.col("event_type")
+    line = F.when(kind == "click", F.concat(F.lit('{"body": '), event, F.lit("}")))
+    line = line.when(kind == "purchase", F.to_json(F.struct(event.alias("body"))))
+    line = line.when(kind == "error", F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string")))
+    line = line.when((kind == "signup") & (F.col("user_id") % 7 == 0), F.concat(F.lit('{"body": ['), event, F.lit("]}")))
+    views.table(spark, sf_dir, "events").select(line.otherwise(event).alias("value")).write.text(source)
+    log_stream(spark, source, EVENT, out, rejects, state).awaitTermination()
+    return out, rejects
+
+
 def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON, clicks below a body, stored as parquet."""
-    source, out, state = (work_path(spark, n) for n in ("events", "log", "state"))
-    columns = ["event_id", "user_id", "event_type", "value"]
-    events = views.table(spark, sf_dir, "events").select(*columns)
-    nested = F.col("event_type") == "click"
-    bare = [F.when(~nested, F.col(c)).alias(c) for c in columns]
-    events.select(F.when(nested, F.struct(*columns)).alias("body"), *bare).write.json(source)
-    log_stream(spark, source, EVENT, out, state).awaitTermination()
-    return spark.read.schema(EVENT).parquet(out)
+    """Events of all body forms, stored as parquet."""
+    return spark.read.schema(EVENT).parquet(logged(spark, sf_dir)[0]).drop("batch")
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that hold no event, kept as text."""
+    raw = spark.read.schema("raw string").parquet(logged(spark, sf_dir)[1]).select("raw")
+    return raw.select(
+        F.regexp_extract("raw", r'"event_id": ?(\d+)', 1).cast("bigint").alias("event_id"),
+        F.when(~F.col("raw").startswith('{"body"'), F.length("raw")).alias("size"),
+    )
 
 
 def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages taken in batches; every batch is stored under its number, so a retry replaces it."""
     source, out, state = (work_path(spark, n) for n in ("messages", "drained", "state"))
     events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    events.repartition(60, "event_id").write.json(source)
+    events.write.option("maxRecordsPerFile", 2_000).json(source)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -43,7 +60,7 @@ def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest event per user from a stream of changes, compacted once."""
     source, out, state = (work_path(spark, n) for n in ("changes", "newest", "state"))
     changes = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    changes.repartition(8, "event_id").write.parquet(source)
+    changes.write.option("maxRecordsPerFile", 10_000).parquet(source)
     arrivals = spark.readStream.schema(CHANGE).option("maxFilesPerTrigger", 3).parquet(source)
     delta_stream(arrivals, ["user_id"], "ts", out, state, tie=["event_id"]).awaitTermination()
     compact(spark, out, CHANGE, ["user_id"], "ts", ["event_id"])
@@ -52,24 +69,28 @@ def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice lines arrive per region; the forecast of each arriving region is refreshed."""
-    source, out, state = (work_path(spark, n) for n in ("invoices", "forecasts", "state"))
+    source, out, sums, state = (work_path(spark, n) for n in ("invoices", "forecasts", "weeks", "state"))
     lines = views.payable_lines(spark, sf_dir, AFTER).select(
         F.col("country_code").alias("region"), F.col("payment_date").alias("day"), F.col("invoice_fee").alias("y")
     )
     lines.write.partitionBy("region").parquet(source)
-    retrain_stream(spark, source, "day date, y decimal(18,2)", out, state, LOAD_DATE, AFTER).awaitTermination()
+    retrain_stream(spark, source, "day date, y decimal(18,2)", out, sums, state, LOAD_DATE, AFTER).awaitTermination()
     return spark.read.parquet(out)
 
 
 QUERIES = {
     "stream_log": stream_log,
+    "stream_rejects": stream_rejects,
     "stream_drain": stream_drain,
     "stream_delta": stream_delta,
     "stream_retrain": stream_retrain,
 }
 
 ORACLE = {
-    "stream_log": "select event_id, user_id, event_type, value from events",
+    "stream_log": """select event_id, user_id, event_type, value from events
+        where event_type <> 'error' and not (event_type = 'signup' and user_id % 7 = 0)""",
+    "stream_rejects": """select event_id, case when event_type = 'error' then length('{"event_id": ' || event_id) end as size
+        from events where event_type = 'error' or (event_type = 'signup' and user_id % 7 = 0)""",
     "stream_drain": "select event_id, user_id, event_type, value from events",
     "stream_delta": """select event_id, user_id, event_type, value from events
         qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",

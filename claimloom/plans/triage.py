@@ -236,7 +236,8 @@ ORACLE = {
     "accuracy": f"""with {GUESS_SQL} select o_orderpriority, avg(cast(o_orderstatus = guess as integer)) as accuracy from guesses
         group by all""",
     "confusion_matrix": f"""with {GUESS_SQL} select o_orderstatus as label, count(*) filter (guess = 'F') as "predicted_F",
-        count(*) filter (guess = 'O') as "predicted_O", count(*) filter (guess = 'P') as "predicted_P" from guesses group by all""",
+        count(*) filter (guess = 'O') as "predicted_O", count(*) filter (guess = 'P') as "predicted_P",
+        0 as predicted_other from guesses group by all""",
     "class_report": f"""with {GUESS_SQL}, classes as (select unnest(['F', 'O', 'P']) as class),
         c as (select class, (select count(*) from guesses where o_orderstatus = class) as support,
           (select count(*) from guesses where guess = class) as predicted,

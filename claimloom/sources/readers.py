@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from claimloom.config.schemas import FORECAST_FILE
 from claimloom.config.tables import TableSpec
 from claimloom.sources.storage import list_files
 
+CSV_TEXT = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+
 
 def jdbc_options(
     spec: TableSpec,
@@ -52,18 +57,45 @@ def read_table(spark: SparkSession, spec: TableSpec, url: str, predicate: str |
 def read_csv_strings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Quoted CSV with header and line breaks inside fields; every column is text.
 
+    Folder names below the paths are not read as columns.
+
     Such a file cannot be split, so one file is one task: keep files small when writing them
     (``export_csv_by(rows_per_file=...)``).
     """
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+    options = {**CSV_TEXT, "recursiveFileLookup": True}
     return spark.read.options(**options).csv(paths, inferSchema=False)
 
 
 def read_training(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Union of all CSV files of a folder, columns matched by position; no file is an error."""
+    """Union of all CSV files of a folder, columns matched by name; no file is an error.
+
+    The files are grouped by their first line, and each group is read in its own column order. Columns
+    that a group lacks are null, further ones are left out.
+    """
     if not list_files(spark, folder, ".csv"):
         raise ValueError(f"there are no csv files in {folder}")
-    return spark.read.schema(schema).options(header=True, escape='"', pathGlobFilter="*.csv").csv(folder)
+    wanted = {f.name: f.dataType for f in StructType.fromDDL(schema)}
+    groups = []
+    for header, paths in headers(spark, folder).items():
+        names = next(csv.reader([header]))
+        own = StructType([StructField(n, wanted.get(n, StringType())) for n in names])
+        rows = spark.read.schema(own).options(**CSV_TEXT).csv(paths)
+        groups.append(rows.select(*[F.col(f"`{n}`") if n in names else F.lit(None).cast(t).alias(n) for n, t in wanted.items()]))
+    return reduce(DataFrame.unionByName, groups)
+
+
+def headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """First line of the CSV files of a folder -> the files that start with it.
+
+    Lines keep their order within a task, and a file's first block is read by one.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.where("block = 0").withColumn("place", F.monotonically_increasing_id())
+    found: dict[str, list[str]] = {}
+    for row in lines.groupBy("path").agg(F.min_by("value", "place").alias("header")).orderBy("path").collect():
+        found.setdefault(row.header.lstrip("\ufeff"), []).append(row.path)
+    return found
 
 
 def read_forecasts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FOLDER = "folder"  # names the folders of an export
+
 
 def write_zone(
     df: DataFrame, path: str, mode: str = "append", target_rows_per_file: int = 0, balance: bool = False
@@ -32,9 +34,13 @@ def replace_partition(df: DataFrame, path: str, columns: Sequence[str]) -> None:
 
 
 def export_csv_by(df: DataFrame, column: str, path: str, rows_per_file: int = 0) -> None:
-    """One folder of CSV files with header per value of the column, written by one job."""
-    balanced = df.hint("rebalance", F.col(column))
-    writer = balanced.write.mode("overwrite").partitionBy(column).options(header=True, escape='"')
+    """One folder of CSV files with header per value of the column, written by one job.
+
+    The column is also in the files: a reader of one file needs it, and a folder name has no type.
+    """
+    folder = FOLDER if column != FOLDER else f"{FOLDER}_"
+    balanced = df.withColumn(folder, F.col(column)).hint("rebalance", F.col(column))
+    writer = balanced.write.mode("overwrite").partitionBy(folder).options(header=True, escape='"')
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.csv(path)

@@ -7,14 +7,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from claimloom.functions.dates import week_ending
 from claimloom.operators.forecast import forecast_regions
 from claimloom.operators.incremental import delta, latest_per_key
 from claimloom.sources.sinks import replace_partition
-from claimloom.sources.storage import exists
-from claimloom.sources.versions import read_current, versions, write_version
+from claimloom.sources.storage import exists, list_folders, remove_folder
+from claimloom.sources.versions import prune, read_current, versions, write_version
 
 MAX_MESSAGES = 20
+BATCH = "batch="
 
 
 def _start(stream: DataFrame, checkpoint: str, once: bool):
@@ -22,18 +25,40 @@ def _start(stream: DataFrame, checkpoint: str, once: bool):
     return writer.trigger(availableNow=True) if once else writer
 
 
-def event_body(events: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """The event below ``body``, or the record itself if it has no body."""
-    return events.select(*[F.when(F.col("body").isNotNull(), F.col(f"body.{c}")).otherwise(F.col(c)).alias(c) for c in fields])
+def parse_events(lines: DataFrame, schema: str) -> DataFrame:
+    """``event`` (null if it cannot be read) and ``raw`` for lines of JSON in a column ``value``.
+
+    The event is the record itself or what its ``body`` holds: an object, or the text of one. Malformed
+    text, values of another type and bodies that are no object give no event.
+    """
+    strict = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    outer = F.from_json("value", f"{schema}, body string, _corrupt string", strict)
+    read = lines.select(F.col("value").alias("raw"), outer.alias("outer"))
+    body = F.from_json("outer.body", f"{schema}, _corrupt string", strict)
+    read = read.select("raw", "outer", F.when(F.col("outer.body").isNotNull(), body).alias("body"))
+    fields = StructType.fromDDL(schema).names
+    is_object = F.trim("outer.body").startswith("{")
+    inner = F.when(is_object & F.col("body._corrupt").isNull(), F.struct(*[F.col(f"body.{c}") for c in fields]))
+    plain = F.struct(*[F.col(f"outer.{c}") for c in fields])
+    event = F.when(F.col("outer.body").isNotNull(), inner).otherwise(plain)
+    readable = F.col("outer._corrupt").isNull() & F.trim("raw").startswith("{")
+    return read.select("raw", F.when(readable, event).alias("event"))
 
 
 def log_stream(
-    spark: SparkSession, folder: str, schema: str, out: str, checkpoint: str, once: bool = True
+    spark: SparkSession, folder: str, schema: str, out: str, rejects: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
-    """Persist arriving JSON events, with or without ``body``, as parquet."""
-    fields = [f.name for f in spark.createDataFrame([], schema).schema]
-    events = spark.readStream.schema(f"{schema}, body struct<{schema}>").json(folder)
-    return _start(event_body(events, fields), checkpoint, once).format("parquet").start(out)
+    """Persist arriving JSON events with their text as parquet; lines without an event go to ``rejects``.
+
+    Both are stored below the number of their batch, so a repeated batch replaces itself.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_events(batch, schema)
+        parsed.filter(F.col("event").isNotNull()).select("event.*", "raw").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        parsed.filter(F.col("event").isNull()).select("raw").write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+
+    return _start(spark.readStream.text(folder), checkpoint, once).foreachBatch(store).start()
 
 
 def drain(
@@ -71,7 +96,7 @@ def delta_stream(
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = batch if low is None else delta(batch, changed_at, low, high)
         newest = latest_per_key(rows, keys, changed_at, tie)
-        newest.write.mode("overwrite").parquet(f"{out}/batches/batch={batch_id:020d}")
+        newest.write.mode("overwrite").parquet(f"{out}/batches/{BATCH}{batch_id:020d}")
 
     return _start(source, checkpoint, once).foreachBatch(store).start()
 
@@ -92,10 +117,19 @@ def merged(
 def compact(
     spark: SparkSession, out: str, schema: str, keys: Sequence[str], changed_at: str, tie: Sequence[str] | None = None
 ) -> None:
-    """Fold all stored batches into a new base version named after the last batch."""
-    last = spark.read.schema(f"{schema}, batch bigint").parquet(f"{out}/batches").agg(F.max("batch")).first()[0]
-    if last is not None:
-        write_version(merged(spark, out, schema, keys, changed_at, tie), f"{out}/base", f"{last:020d}")
+    """Fold all stored batches into a new base version named after the last batch; folded batches go.
+
+    Readers of the batches must have finished, as for ``prune``.
+    """
+    stored = [n for n in list_folders(spark, f"{out}/batches") if n.startswith(BATCH)]
+    if not stored:
+        return
+    last = max(stored)
+    write_version(merged(spark, out, schema, keys, changed_at, tie), f"{out}/base", last[len(BATCH) :])
+    prune(spark, f"{out}/base")
+    for name in stored:
+        if name < last:  # the last one stays, so that the folder keeps its layout
+            remove_folder(spark, f"{out}/batches/{name}")
 
 
 def retrain_stream(
@@ -103,6 +137,7 @@ def retrain_stream(
     folder: str,
     schema: str,
     out: str,
+    state: str,
     checkpoint: str,
     load_date: str,
     after: str | None = None,
@@ -110,18 +145,24 @@ def retrain_stream(
 ) -> StreamingQuery:
     """Refresh the forecast of each region for which files arrive below ``region=<name>/``.
 
-    A batch only says which regions changed; their series are built from all their stored files,
-    and only their forecast partitions are replaced. The regions are folder names, which the driver
-    lists anyway; as literals they prune the scan to those folders.
+    A batch's weekly sums are stored as its part of the state, and the series of the regions in the batch
+    are built from all parts: arrivals are read once, and what is read again is one row per week and
+    batch. Forecasts are kept per region and load date, so a refresh replaces that date's rows only.
     """
-    partitioned = f"{schema}, region string"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        changed = [row.region for row in batch.select("region").distinct().collect()]
-        invoices = session.read.schema(partitioned).parquet(folder).filter(F.col("region").isin(changed))
-        months = forecast_regions(invoices, load_date, after)
-        replace_partition(months, out, ["Region"])
-
-    arrivals = spark.readStream.schema(partitioned).parquet(folder)
+        known = batch.filter(F.col("day").isNotNull() & F.col("y").isNotNull())
+        if after is not None:
+            known = known.filter(F.col("day") > F.lit(after).cast("date"))
+        # week ends stand for their days
+        sums = known.groupBy("region", week_ending(F.col("day")).alias("day")).agg(F.sum("y").alias("y"))
+        path = f"{state}/{BATCH}{batch_id:020d}"
+        sums.write.mode("overwrite").parquet(path)
+        changed = session.read.schema(sums.schema).parquet(path).select(F.col("region").alias("changed")).distinct()
+        weeks = session.read.schema(sums.schema).parquet(state)
+        weeks = weeks.join(changed, F.col("region").eqNullSafe(F.col("changed")), "left_semi")
+        replace_partition(forecast_regions(weeks, load_date), out, ["Region", "Load_date"])
+
+    arrivals = spark.readStream.schema(f"{schema}, region string").parquet(folder)
     return _start(arrivals, checkpoint, once).foreachBatch(refresh).start()

@@ -246,6 +246,16 @@ def test_csv(spark, tmp_path):
         readers.read_training(spark, str(tmp_path / "none"), "a int")
 
 
+def test_training_files_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('payment_date,country_code\n2020-01-01,"U\nK"\n')
+    (tmp_path / "b.csv").write_text("country_code,more,payment_date\nUS,1,2020-02-02\n")
+    (tmp_path / "c.csv").write_text("country_code\n01\n")
+    got = readers.read_training(spark, str(tmp_path), "payment_date string, country_code string, fee double")
+    assert got.columns == ["payment_date", "country_code", "fee"]
+    read = sorted(got.collect(), key=lambda r: r.country_code)
+    assert list(map(tuple, read)) == [(None, "01", None), ("2020-01-01", "U\nK", None), ("2020-02-02", "US", None)]
+
+
 def test_writers(spark, tmp_path):
     zone, hub, out = (str(tmp_path / n) for n in ("zone", "hub", "csv"))
     sinks.write_zone(spark.range(0, 100, 1, 1), zone, target_rows_per_file=30)
@@ -257,8 +267,11 @@ def test_writers(spark, tmp_path):
     sinks.replace_partition(df.filter("c = 'B'").limit(1), hub, ["c"])
     assert rows(spark.read.parquet(hub).groupBy("c").count(), "c", "count") == [("A", 8), ("B", 1)]
     sinks.export_csv_by(df, "c", out, rows_per_file=3)
-    assert len(list((tmp_path / "csv" / "c=A").glob("*.csv"))) == 3
+    assert len(list((tmp_path / "csv" / "folder=A").glob("*.csv"))) == 3
     assert readers.read_csv_strings(spark, out).filter("t = 'x\"y'").count() == 10
+    codes = spark.createDataFrame([("01", "a"), ("2", "b")], "code string, v string")
+    sinks.export_csv_by(codes, "code", str(tmp_path / "codes"))
+    assert rows(readers.read_csv_strings(spark, str(tmp_path / "codes")), "code", "v") == [("01", "a"), ("2", "b")]
     zones = [str(tmp_path / n) for n in ("one", "two")]
     for _ in range(2):
         sinks.fan_out(df, "b1", zones)
@@ -284,11 +297,21 @@ def test_versions(spark, tmp_path):
     for name in ("1", "2", "3"):
         versions.snapshot_replace(spark.range(int(name)), path, name, keep=2)
     assert versions.versions(spark, path) == ["2", "3"]
-    half = tmp_path / "table" / "version=4"
+    half = tmp_path / "table" / "version=000000000099_x_4"
     half.mkdir()  # a writer that died: no commit marker
     assert versions.read_current(spark, path).count() == 3
 
 
+def test_versions_are_ordered_by_their_writes(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for name in ("8", "9", "10"):
+        versions.snapshot_replace(spark.range(int(name)), path, name)
+    assert versions.versions(spark, path) == ["9", "10"] and versions.read_current(spark, path).count() == 10
+    before = versions.read_current(spark, path)
+    versions.snapshot_replace(spark.range(3), path, "10")
+    assert before.count() == 10 and versions.read_current(spark, path).count() == 3
+
+
 def test_runs(spark, tmp_path):
     def put(path, content):
         file = tmp_path / path
@@ -412,7 +435,13 @@ def test_metrics(spark):
     assert (report["c"].precision, report["c"].recall, report["c"].f1) == (0.0, 0.0, 0.0)
     assert metrics.accuracy(df, "label", "guess").first().accuracy == 0.5
     matrix = metrics.confusion_matrix(df, "label", "guess", ["a", "b"])
-    assert rows(matrix, "label", "predicted_a", "predicted_b") == [("a", 1, 1), ("b", 0, 1), ("c", 0, 1)]
+    assert rows(matrix, "label", "predicted_a", "predicted_b", "predicted_other") == [("a", 1, 1, 0), ("b", 0, 1, 0), ("c", 0, 1, 0)]
+    gaps = spark.createDataFrame([("a", "a"), ("a", None), ("a", "z")], "label string, guess string")
+    assert metrics.accuracy(gaps, "label", "guess").first().accuracy == pytest.approx(1 / 3)
+    assert rows(metrics.confusion_matrix(gaps, "label", "guess", ["a"]), "predicted_a", "predicted_other") == [(1, 2)]
+    assert rows(metrics.class_report(gaps, "label", "guess"), "class", "support") == [("a", 3), ("z", 0)]
+    some = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 3.0), (1000.0, None)], "y double, p double")
+    assert metrics.regression_metrics(some, "y", "p").first().r2 == pytest.approx(1 - 5 / 8)
     numbers = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 3.0)], "y double, p double")
     m = metrics.regression_metrics(numbers, "y", "p").first()
     assert (m.mae, m.mse, m.r2) == (1.0, pytest.approx(5 / 3), pytest.approx(1 - 5 / 8))

@@ -174,17 +174,25 @@ def test_full_grid_size():
 
 def test_stream_restart(spark, tmp_path):
     """New files after a restart are added once; files that were acknowledged are not read again."""
-    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    source, out, bad, state = (str(tmp_path / n) for n in ("in", "out", "bad", "state"))
     schema = "id bigint, v string"
     spark.range(5).selectExpr("id", "'a' as v").write.json(source)
-    flows.log_stream(spark, source, schema, out, state).awaitTermination()
+    flows.log_stream(spark, source, schema, out, bad, state).awaitTermination()
     spark.range(5, 8).selectExpr("struct(id, 'b' as v) as body").write.mode("append").json(source)
     for _ in range(2):
-        flows.log_stream(spark, source, schema, out, state).awaitTermination()
+        flows.log_stream(spark, source, schema, out, bad, state).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == 8 and got.filter("v = 'b'").count() == 3
 
 
+def test_logged_events_are_not_lost(spark):
+    """Bodies as object and as text are read; malformed lines, lists and wrong types become rejects."""
+    good = ['{"id": 1, "v": "a"}', '{"body": {"id": 1, "v": "a"}}', r'{"body": "{\"id\": 1, \"v\": \"a\"}"}']
+    bad = ["{", "", "[]", '{"body": [{"id": 1}]}', '{"body": "text"}', '{"id": "x"}', r'{"body": "{\"id\": \"x\"}"}']
+    got = flows.parse_events(spark.createDataFrame([(t,) for t in good + bad], "value string"), "id bigint, v string").collect()
+    assert {r.raw: r.event and tuple(r.event) for r in got} == dict.fromkeys(good, (1, "a")) | dict.fromkeys(bad)
+
+
 def test_delta_stream_equals_batch(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     schema = "k bigint, at bigint, v string"
@@ -197,12 +205,13 @@ def test_delta_stream_equals_batch(spark, tmp_path):
         flows.delta_stream(arrivals, ["k"], "at", out, state, tie=["v"]).awaitTermination()
         if i == 1:
             flows.compact(spark, out, schema, ["k"], "at", ["v"])
+            assert len([p for p in (tmp_path / "out" / "batches").iterdir() if p.is_dir()]) == 1
         batch = incremental.latest_per_key(expected, ["k"], "at", ["v"])
         assert bag(flows.merged(spark, out, schema, ["k"], "at", ["v"]).select("k", "at", "v")) == bag(batch.select("k", "at", "v"))
 
 
 def test_retrain_stream_refreshes_arriving_regions_only(spark, tmp_path):
-    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    source, out, sums, state = (str(tmp_path / n) for n in ("in", "out", "sums", "state"))
     schema = "day date, y double"
 
     def arrive(region, factor):
@@ -210,7 +219,7 @@ def test_retrain_stream_refreshes_arriving_regions_only(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{source}/region={region}")
 
     def run(load_date):
-        flows.retrain_stream(spark, source, schema, out, state, load_date).awaitTermination()
+        flows.retrain_stream(spark, source, schema, out, sums, state, load_date).awaitTermination()
 
     arrive("A", 1), arrive("B", 10)
     run("2020-06-01")
@@ -218,11 +227,12 @@ def test_retrain_stream_refreshes_arriving_regions_only(spark, tmp_path):
     run("2020-07-01")
     got = spark.read.parquet(out)
     dates = {(r.Region, str(r.Load_date)) for r in got.select("Region", "Load_date").distinct().collect()}
-    assert dates == {("A", "2020-07-01"), ("B", "2020-06-01")}
+    assert dates == {("A", "2020-06-01"), ("A", "2020-07-01"), ("B", "2020-06-01")}
     stored = spark.read.schema(f"{schema}, region string").parquet(source)
     batch = forecast.forecast_regions(stored.filter("region = 'A'"), "2020-07-01")
     columns = ["forecast_date", "Region", "Load_date", F.round("Amount", 6)]
-    assert bag(got.filter("Region = 'A'").select(*columns)) == bag(batch.select(*columns))
+    newest = got.filter("Region = 'A' AND Load_date = '2020-07-01'")
+    assert bag(newest.select(*columns)) == bag(batch.select(*columns))
 
 
 def test_batches_reach_the_second_zone(spark, sf_dir):
