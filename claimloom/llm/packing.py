@@ -7,7 +7,7 @@ whole corpus. A window starts with a seed document; the unused documents that sc
 window's seed, so every window is full. What is left at the end of a shard is cut into sequences whose
 lengths are powers of two, which need no padding.
 
-Words are encoded once per task and remembered: the tokenizer never joins text across ASCII white space.
+Words are encoded once and remembered: the tokenizer never joins text across ASCII white space.
 
 Null and empty texts consist of the end token. Texts of any length are encoded whole. Every row is packed,
 repeated rows too, and equal ids are told apart by their rows. Ties are broken by the order of ids, nulls
@@ -29,7 +29,7 @@ from claimloom.session import work_path
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
-MARKS = b".,;:!?"
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())  # ASCII, neither letter nor digit
 LATIN = "ɐ"  # letters before this are letters to every library
 
 
@@ -47,35 +47,98 @@ def byte_letters() -> list[str]:
 
 
 class WordTokens(dict):
-    """The token ids of white-space separated words, as 16-bit binary."""
+    """The token ids of white-space separated words, as 16-bit binary.
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
-        from tokenizers import Tokenizer
+    ``learn`` encodes the words of a batch that are not known yet, all in one call. It is a memory of
+    two generations of about ``most`` words: when the younger one is full it becomes the older one, and
+    a word that is met again moves back.
+    """
+
+    def __init__(self, path: str, most: int = 500_000) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("token ids must fit in 16 bits")
+        self.plain = Tokenizer.from_file(path)  # for runs of letters, each one token run
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        self.last = np.zeros(1 << 16, bool)  # ids that end a run
+        for token, number in self.tokenizer.get_vocab().items():
+            self.last[number] = token.endswith("</w>")
         self.letters = byte_letters()
-        self.most = most
+        self.most, self.older = most, {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.most:  # only a memory of encodings
+        self.learn({word})
+        return self[word]
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
             self.clear()
-        lower = word.lower()
-        if lower != word and b"<|" not in word:  # the tokenizer lower-cases; special tokens are not lower-cased
-            found = self[lower]
-        elif len(word) > 1 and word[-1] in MARKS and word[-2:-1].isalpha():  # a mark behind a letter is a token run of its own
-            found = self[word[:-1]] + self[word[-1:]]
-        else:
-            text = word.decode()
-            if text.isalpha() and text == text.lower() and max(text) < LATIN and unicodedata.is_normalized("NFC", text):
-                ids = [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in word]))]
-            else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = np.array(ids, np.uint16).tobytes()
-        self[word] = found
-        return found
+        parts: list[tuple[bytes, bytes, bytes]] = []
+        runs: dict[bytes, str] = {}
+        others: list[bytes] = []
+        older = self.older
+        for word in words.difference(self.keys()):
+            if word in older:
+                self[word] = older[word]
+                continue
+            # marks behind letters are a token run of their own
+            stem = word.rstrip(MARKS)
+            mark = word[len(stem) :]
+            plain = stem.lower()
+            run = plain.decode() if plain.isalpha() else self.as_run(plain)
+            if run is None:
+                others.append(word)
+                continue
+            if plain not in self:
+                runs[plain] = run
+            if mark and mark not in self:
+                self[mark] = self.whole([mark])[0]
+            parts.append((word, plain, mark))
+        self.encode_runs(runs)
+        for word, found in zip(others, self.whole(others), strict=True):
+            self[word] = found
+        for word, plain, mark in parts:
+            self[word] = self[plain] + self[mark] if mark else self[plain]
+
+    def whole(self, words: list[bytes]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(e.ids, np.uint16).tobytes() for e in encoded]
+
+    def as_run(self, word: bytes) -> str | None:
+        """A word of letters, lower-cased and in the vocabulary's characters; None for other words."""
+        text = word.decode()
+        if text.isalpha() and max(text) < LATIN and unicodedata.is_normalized("NFC", text):
+            lower = text.lower()
+            if len(lower) == len(text):
+                return "".join([self.letters[b] for b in lower.encode()])
+        return None
+
+    def encode_runs(self, runs: dict[bytes, str], step: int = 256) -> None:
+        if not runs:
+            return
+        words = list(runs.values())
+        encoded = self.plain.encode_batch_fast([" ".join(words[k : k + step]) for k in range(0, len(words), step)], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint16) for e in encoded])
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * 2).tolist()
+        binary, start = ids.tobytes(), 0
+        for stem, end in zip(runs, ends, strict=True):
+            self[stem] = binary[start:end]
+            start = end
+
+
+def word_tokens(path: str) -> WordTokens:
+    """The memory of this process; workers that are used again keep it from task to task."""
+    import tokenizers
+
+    memories = vars(tokenizers).setdefault("_word_memories", {})
+    if path not in memories:
+        memories[path] = WordTokens(path)
+    return memories[path]
 
 
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -83,9 +146,11 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     kinds = pa_schema(docs.sparkSession, "doc_id bigint, n bigint, ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer)
+        words = word_tokens(tokenizer)
         for batch in batches:
-            ids = [b"".join(map(words.__getitem__, t.split())) for t in utf8(batch)]
+            texts = [t.split() for t in utf8(batch)]
+            words.learn(set().union(*texts))
+            ids = [b"".join(map(words.__getitem__, t)) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(i) // 2 for i in ids], pa.int64()), pa.array(ids, pa.binary())], schema=kinds)
 
     path = work_path(docs.sparkSession, "pack-tokens")
@@ -208,7 +273,7 @@ def pack_documents(
     docs: DataFrame,
     tokenizer: str | None = None,
     window: int = 2048,
-    shard_tokens: int = 4_000_000,
+    shard_tokens: int = 2_000_000,
     query_terms: int = 24,
     k1: float = 1.2,
     b: float = 0.75,
