@@ -45,20 +45,29 @@ def parse_dates(df: DataFrame, columns: Sequence[str], fmt: str, on_error: str =
     return df.withColumns({c: parse(F.col(c), fmt) for c in columns})
 
 
-def parse_date_column(df: DataFrame, column: str, formats: Sequence[str] = (DAY_FIRST, YEAR_FIRST)) -> DataFrame:
-    """Parse one column with the first format that fits *every* row.
+def parse_date_columns(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = (DAY_FIRST, YEAR_FIRST)) -> DataFrame:
+    """Parse each column with the first format that fits *every* row of it.
 
-    The choice is one scalar sub-query (a single aggregate row), so formats are never mixed
-    between rows. If no format fits, the last one is applied strictly and fails on the bad row.
+    The choices of all columns are one scalar sub-query (one scan, a single aggregate row), so formats
+    are never mixed between rows. If none fits, the last one is applied strictly and fails on the bad row.
     """
-    text = F.col(column).cast("string")
-    attempts = [F.try_to_date(text, fmt) for fmt in formats]
-    failures = [F.count_if(text.isNotNull() & a.isNull()) for a in attempts[:-1]]
-    chosen = F.lit(len(formats) - 1)
-    for i in reversed(range(len(failures))):
-        chosen = F.when(failures[i] == 0, F.lit(i)).otherwise(chosen)
-    pick = df.agg(chosen.alias("pick")).scalar()
-    parsed = F.to_date(text, formats[-1])
-    for i in reversed(range(len(failures))):
-        parsed = F.when(pick == i, attempts[i]).otherwise(parsed)
-    return df.withColumn(column, parsed)
+    choices, parsed = [], {}
+    for column in columns:
+        text = F.col(column).cast("string")
+        failures = [F.count_if(text.isNotNull() & F.try_to_date(text, fmt).isNull()) for fmt in formats[:-1]]
+        chosen = F.lit(len(formats) - 1)
+        for i in reversed(range(len(failures))):
+            chosen = F.when(failures[i] == 0, F.lit(i)).otherwise(chosen)
+        choices.append(chosen)
+    picks = df.agg(F.array(*choices).alias("picks")).scalar()
+    for place, column in enumerate(columns):
+        text = F.col(column).cast("string")
+        value = F.to_date(text, formats[-1])
+        for i in reversed(range(len(formats) - 1)):
+            value = F.when(picks[place] == i, F.try_to_date(text, formats[i])).otherwise(value)
+        parsed[column] = value
+    return df.withColumns(parsed)
+
+
+def parse_date_column(df: DataFrame, column: str, formats: Sequence[str] = (DAY_FIRST, YEAR_FIRST)) -> DataFrame:
+    return parse_date_columns(df, [column], formats)

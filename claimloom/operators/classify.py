@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from claimloom.config.rules import BRANCH_DIVISIONS, NO_DIVISION, SERVICE_LINES
 
-Rule = tuple[str, str, str]
+Rule = tuple[str, Sequence[str], str]
 
 
-def matches(col: Column, kind: str, values: str) -> Column:
-    """Whether a value meets a rule: ``in`` takes ids separated by blanks, ``like`` one pattern."""
-    return col.isin(*values.split()) if kind == "in" else col.like(values)
+def matches(col: Column, kind: str, values: Sequence[str]) -> Column:
+    """Whether a value meets a rule: ``in`` is one of the ids, ``like`` any of the patterns."""
+    return col.isin(*values) if kind == "in" else reduce(Column.__or__, [col.like(v) for v in values])
 
 
 def first_match(col: Column, rules: Sequence[Rule], default: str) -> Column:
@@ -32,12 +32,13 @@ def classify(df: DataFrame, col: str, rules: Sequence[Rule], out: str, default:
     return df.withColumn(out, first_match(F.col(col), rules, default))
 
 
-def map_with_fallback(col: Column, groups: Mapping[str, Sequence[str]], fallback: Column) -> Column:
-    """Group name whose members contain the value, compared without regard to case; else the fallback."""
+def map_with_fallback(col: Column, groups: Mapping[str, str], fallback: Column) -> Column:
+    """What a value is mapped to, compared without regard to case; else the fallback."""
     lowered = F.lower(col)
     result = fallback
-    for group, members in groups.items():
-        result = F.when(lowered.isin(*[m.lower() for m in members]), F.lit(group)).otherwise(result)
+    for group in sorted(set(groups.values())):
+        members = [m.lower() for m, g in groups.items() if g == group]
+        result = F.when(lowered.isin(*members), F.lit(group)).otherwise(result)
     return result
 
 

@@ -29,7 +29,6 @@ from claimloom.session import stored
 USE_CASE = "policy lookup"
 MERGED_TAG = "Merged Document"
 RECORD_ORDER = ["filePath", "jsonId"]  # which record of an id counts as the first one
-LIST_BITS = 14  # a split list holds at most 2**14 parts per row
 
 TARGET_COLUMNS = [
     "useCase", "userId", "uniqueId", "documentId", "prompt", "documentName", "clientName", "clientID", "documentTag",
@@ -266,40 +265,17 @@ def part_records(docs: DataFrame, order: list[str]) -> DataFrame:
     return records.filter(F.col("base").isNotNull())
 
 
-def part_lists(parts: DataFrame, order: list[str], bits: int = LIST_BITS) -> DataFrame:
-    """Ordered part lists ``(base, firstPart, parts)``; ``order`` is unique within a base.
+def merge_parts(docs: DataFrame, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Merged records and their parts; parts without base are skipped.
 
-    A base with at most ``2**bits`` parts gives one list. A larger one is sorted across tasks by
-    range and cut into lists of that size, so no task or row ever holds an unbounded group; its
-    lists follow each other by ``firstPart``. Parts and large bases are stored first: the parts are
-    made once, and with the real number of large bases known, Spark filters without a shuffle.
-    """
-    parts = stored(parts, "parts")
-    large = stored(parts.groupBy("base").count().filter(F.col("count") > 2**bits).select("base"), "large")
-    small = parts.join(large, "base", "left_anti").withColumn("_list", F.lit(0).cast("bigint"))
-    spread = parts.join(large, "base", "left_semi").repartitionByRange("base", *order)
-    # ids of one partition are consecutive and start at a multiple of 2**33
-    numbered = spread.sortWithinPartitions("base", *order).withColumn(
-        "_list", F.shiftright(F.monotonically_increasing_id(), bits)
-    )
-    key = F.struct(*order)
-    listed = small.unionByName(numbered).groupBy("base", "_list")
-    packed = listed.agg(F.sort_array(F.collect_list(F.struct(key.alias("k"), "part"))).alias("l"))
-    return packed.select(
-        "base", F.col("l")[0]["k"].alias("firstPart"), F.transform("l", lambda e: e["part"]).alias("parts")
-    )
-
-
-def merge_parts(docs: DataFrame, order: list[str] | None = None, bits: int = LIST_BITS) -> DataFrame:
-    """Merged records: a base document with the list of its parts; parts without base are skipped.
-
-    ``order`` are columns that give the order of the parts, the id by default.
+    The parts are a table of their own, ``(documentId, <order>, part)``, so that a base may have any
+    number of them; ``order`` are columns that give their order, the id by default.
     """
     order = order or ["ID"]
-    lists = part_lists(part_records(docs, order), order, bits)
-    bases = docs.filter(~F.col("ID").contains("_"))
-    joined = first_per_key(bases, ["ID"], ["DocumentPath", "UploadedAt"]).join(lists, F.col("ID") == F.col("base"))
-    return joined.select(
+    parts = part_records(docs, order)
+    bases = first_per_key(docs.filter(~F.col("ID").contains("_")), ["ID"], ["DocumentPath", "UploadedAt"])
+    first = bases.join(parts.select(F.col("base").alias("ID")).distinct(), "ID", "left_semi")
+    headers = first.select(
         null_text().alias("uniqueId"),
         F.col("ID").alias("documentId"),
         F.col("UserID").alias("userId"),
@@ -316,10 +292,18 @@ def merge_parts(docs: DataFrame, order: list[str] | None = None, bits: int = LIS
         failure().alias("failure"),
         F.lit(True).alias("isActive"),
         F.create_map().cast("map<string,string>").alias("splitIndices"),
-        F.col("parts").alias("splitDocumentList"),
         F.lit(USE_CASE).alias("useCase"),
-        "firstPart",
     )
+    found = parts.join(bases.select(F.col("ID").alias("base")), "base", "left_semi")
+    return headers, found.withColumnRenamed("base", "documentId")
+
+
+def nested_parts(headers: DataFrame, parts: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """One record per base with its ordered list of parts, which must fit in a row."""
+    key = F.struct(*(order or ["ID"]))
+    lists = parts.groupBy("documentId").agg(F.sort_array(F.collect_list(F.struct(key.alias("k"), "part"))).alias("l"))
+    lists = lists.select("documentId", F.transform("l", lambda e: e["part"]).alias("splitDocumentList"))
+    return headers.join(lists, "documentId")
 
 
 def migrate_all(
@@ -339,10 +323,12 @@ def migrate_all(
     declared, no_ids = migrate_declarations(migrated, declarations)
     linked, misses = update_child_documents(stored(declared, "declared"), policies, declarations)
     lease_docs, lease_payloads, no_lease = migrate_leases(leases, clients, prompts, created)
+    merged, parts = merge_parts(docs)
     rejects = no_type.unionByName(no_ids).unionByName(misses).unionByName(no_lease)
     return {
         "documents": linked.unionByName(lease_docs),
         "payloads": payloads.unionByName(lease_payloads),
-        "merged": merge_parts(docs),
+        "merged": merged,
+        "parts": parts,
         "rejects": rejects,
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.text import normalise_category
 
 MISSING = "NA"
+HASH_BITS = 60
 BUCKET_BITS = 16
 
 
@@ -29,17 +31,19 @@ def split_label(df: DataFrame) -> tuple[list[str], str]:
     return columns, label
 
 
-def learn_vocabulary(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> dict[str, list[str]]:
+def long_answers(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep, name, answer)``: one row per known answer."""
+    answers = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("answer")) for c in columns])
+    return df.select(*keep, F.explode(answers).alias("_a")).select(*keep, "_a.*").filter(F.col("answer").isNotNull())
+
+
+def learn_vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct answers of each column, found in one pass.
 
-    More than ``limit`` answers in all is an error: such columns belong into ``one_hot_pipeline``,
-    whose output is one sparse vector.
+    The answers become column names, so there are as many as a table can have columns; open-ended
+    columns belong into ``one_hot_long`` or ``one_hot_pipeline``.
     """
-    answers = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("answer")) for c in columns])
-    found = df.select(F.explode(answers).alias("a")).select("a.*").filter(F.col("answer").isNotNull()).distinct()
-    rows = found.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct answers in {list(columns)}")
+    rows = long_answers(df, columns).distinct().collect()
     return {c: sorted(r.answer for r in rows if r.name == c) for c in columns}
 
 
@@ -64,6 +68,24 @@ def one_hot_learned(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     return one_hot_fixed(filled, learn_vocabulary(filled, columns), keep, sep)
 
 
+def one_hot_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str], sep: str = "_") -> DataFrame:
+    """The ones of the learned encoding, for any number of answers: ``(keep, feature, position)``.
+
+    ``position`` numbers the features by column and answer, as the columns of ``one_hot_learned``. The
+    vocabulary is numbered per column, and stays distributed.
+    """
+    known = long_answers(df.na.fill(MISSING, list(columns)), columns, keep)
+    counts = known.select("name", "answer").distinct()
+    sizes = {r.name: r.n for r in counts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, total = {}, 0
+    for c in columns:
+        before[c], total = total, total + sizes.get(c, 0)
+    start = reduce(lambda case, c: case.when(F.col("name") == c, before[c]), columns, F.when(F.lit(False), 0))
+    place = F.row_number().over(Window.partitionBy("name").orderBy("answer")) - 1
+    numbered = counts.select("name", "answer", (start + place).cast("bigint").alias("position"))
+    return known.join(numbered, ["name", "answer"]).select(*keep, F.concat_ws(sep, "name", "answer").alias("feature"), "position")
+
+
 def one_hot_pipeline(columns: Sequence[str], prefix: str = "hot_") -> Pipeline:
     """Indexer and encoder; the slot for unknown answers is the last one and is dropped."""
     indexed = [f"index_{c}" for c in columns]
@@ -84,12 +106,15 @@ def label_index(df: DataFrame, label: str, out: str = "label_id") -> tuple[DataF
 
 
 def row_hash(keys: Sequence[str], seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *keys)
+    """60 bits of the MD5 of seed and keys, the same number in any SQL engine."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], test: float, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: a row's side depends on its key and the seed only, not on partitions."""
-    share = F.pmod(row_hash(keys, seed), F.lit(1 << 30)) / float(1 << 30)
+    share = row_hash(keys, seed) / float(1 << HASH_BITS)
     return df.withColumn("is_test", share < test)
 
 
@@ -101,7 +126,7 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test: float
     """
     hashed = df.withColumns(
         {"_stratum": F.coalesce(F.col(label).cast("string"), F.lit("\0")), "_hash": row_hash(keys, seed)}
-    ).withColumn("_bucket", F.shiftrightunsigned("_hash", 64 - BUCKET_BITS))
+    ).withColumn("_bucket", F.shiftright("_hash", HASH_BITS - BUCKET_BITS))
     group = ["_stratum", "_bucket"]
     counts = hashed.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     stratum = Window.partitionBy("_stratum")

@@ -30,8 +30,9 @@ from claimloom.functions.text import DAY_COUNTS, confidence
 from claimloom.operators.features import MISSING, row_hash
 from claimloom.session import stored
 
-# Boosting defaults of the triage training.
+# Settings of the multi-class training, and the defaults that the two-class one runs with.
 BOOSTING = {"maxDepth": 3, "maxIter": 10, "stepSize": 0.3, "seed": 42}
+BINARY = {"maxDepth": 6, "maxIter": 100, "stepSize": 0.3, "seed": 42}
 
 # The search grid, 540 points.
 FULL_GRID = {
@@ -76,41 +77,45 @@ def feature_stages(columns: Sequence[str], clean: bool = True) -> list:
     ]
 
 
-ROWS_PER_TASK = 10_000
+PARTITIONS = 16
 
 
-def training_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns a training needs, stored once and spread over the cores.
+def training_table(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), partitions: int = PARTITIONS) -> DataFrame:
+    """The columns a training needs, stored once in the partitions and the row order of their keys.
 
-    Training passes over its input many times and costs far more per byte than a scan, so a table
-    with fewer partitions than cores is spread out, down to ``ROWS_PER_TASK``; a large one keeps the
-    partitions of its files. The count comes from the file footers.
+    Sampling and bagging go by partition and place, so the same rows give the same model on any
+    cluster. ``partitions``: set it to a few times the cores of the cluster, and keep it for a model
+    that is to be reproduced; ``keys``: a row's identity, all columns by default.
     """
-    table = stored(df.select(*[F.col(f"`{c}`") for c in columns]), "training")
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(min(cores, 1 + table.count() // ROWS_PER_TASK))
+    names = list(dict.fromkeys([*columns, *keys]))
+    table = stored(df.select(*[F.col(f"`{c}`") for c in names]), "training")
+    order = [F.col(f"`{c}`") for c in [*keys, *(c for c in names if c not in keys)]]
+    spread = table.repartition(partitions, F.xxhash64(*order[: len(keys) or None]))
+    return spread.sortWithinPartitions(*order).select(*[F.col(f"`{c}`") for c in columns])
 
 
-def train(df: DataFrame, columns: Sequence[str], label: str, classifier, clean: bool = True) -> PipelineModel:
+def train(
+    df: DataFrame, columns: Sequence[str], label: str, classifier, clean: bool = True, keys: Sequence[str] = (), partitions: int = PARTITIONS
+) -> PipelineModel:
     """Fit features, label names and a classifier that reads ``features`` and ``label_id``."""
-    df = training_table(df, [*columns, label])
+    df = training_table(df, [*columns, label], keys, partitions)
     names = StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(df)
     decode = IndexToString(inputCol="prediction", outputCol="recommendedServiceCode", labels=names.labels)
     return Pipeline(stages=[*feature_stages(columns, clean), names, classifier, decode]).fit(df)
 
 
 def train_multiclass(
-    df: DataFrame, columns: Sequence[str], label: str, clean: bool = True, parallelism: int = 8, **params
+    df: DataFrame, columns: Sequence[str], label: str, clean: bool = True, parallelism: int = 8, keys: Sequence[str] = (), **params
 ) -> PipelineModel:
     """Boosted trees for any number of classes: one ensemble per class, the strongest wins."""
     trees = GBTClassifier(labelCol="label_id", **{**BOOSTING, **params})
-    return train(df, columns, label, OneVsRest(classifier=trees, labelCol="label_id", parallelism=parallelism), clean)
+    return train(df, columns, label, OneVsRest(classifier=trees, labelCol="label_id", parallelism=parallelism), clean, keys)
 
 
-def train_binary(df: DataFrame, columns: Sequence[str], label: str, clean: bool = True, **params) -> PipelineModel:
-    return train(df, columns, label, GBTClassifier(labelCol="label_id", **{**BOOSTING, **params}), clean)
+def train_binary(
+    df: DataFrame, columns: Sequence[str], label: str, clean: bool = True, keys: Sequence[str] = (), **params
+) -> PipelineModel:
+    return train(df, columns, label, GBTClassifier(labelCol="label_id", **{**BINARY, **params}), clean, keys)
 
 
 def class_probabilities(model: Model) -> Column:
@@ -150,9 +155,8 @@ def grid_search(
 
     Features and label codes are fitted once, the folds share them.
     """
-    chosen = [F.col(f"`{c}`") for c in [*columns, label]]
-    df = df.select(*chosen, F.pmod(row_hash(keys, seed), F.lit(folds)).cast("int").alias("fold"))
-    df = training_table(df, df.columns)
+    fold = F.pmod(row_hash(keys, seed), F.lit(folds)).cast("int").alias("fold")
+    df = training_table(df.withColumn("fold", fold), [*columns, label, "fold"], keys)
     names = StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc").fit(df)
     prepared = Pipeline(stages=[*feature_stages(columns, clean), names]).fit(df)
     trees = GBTClassifier(labelCol="label_id", seed=seed)
@@ -179,11 +183,11 @@ def grid_results(df: DataFrame, search: CrossValidatorModel, grid: Mapping[str,
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def train_demand(df: DataFrame, columns: Sequence[str], label: str, **params) -> PipelineModel:
+def train_demand(df: DataFrame, columns: Sequence[str], label: str, keys: Sequence[str] = (), **params) -> PipelineModel:
     """Random-forest regression of the daily demand."""
     assemble = VectorAssembler(inputCols=list(columns), outputCol="features")
     forest = RandomForestRegressor(labelCol=label, **{**FOREST, **params})
-    return Pipeline(stages=[assemble, forest]).fit(training_table(df, [*columns, label]))
+    return Pipeline(stages=[assemble, forest]).fit(training_table(df, [*columns, label], keys))
 
 
 def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:

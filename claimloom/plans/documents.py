@@ -136,10 +136,21 @@ def child_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return misses.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
 
 
+def merged_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = views.documents(spark, sf_dir).withColumn("turn", F.lit(None).cast("bigint"))
+    return migration.merge_parts(docs.unionByName(views.parts(spark, sf_dir)), order=["turn"])
+
+
+def part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of merged records, one row each."""
+    headers, parts = merged_parts(spark, sf_dir)
+    rows = parts.join(headers.select("documentId", "documentTag", "clientName"), "documentId")
+    return rows.select("documentId", "documentTag", "clientName", "turn", F.col("part.documentId").alias("part"), F.col("part.formNumber.formNumber").alias("form"))
+
+
 def merge_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the turns of the conversation of the same number as parts."""
-    docs = views.documents(spark, sf_dir).withColumn("turn", F.lit(None).cast("bigint"))
-    merged = migration.merge_parts(docs.unionByName(views.parts(spark, sf_dir)), order=["turn"])
+    merged = migration.nested_parts(*merged_parts(spark, sf_dir), order=["turn"])
     entry = joined("splitDocumentList", lambda p: F.concat_ws("|", p["documentId"], p["documentTag"], p["processStatus"], p["formNumber"]["formNumber"]))
     return merged.select("documentId", "documentTag", "clientName", "documentName", "processStatus", entry.alias("parts"))
 
@@ -169,6 +180,23 @@ def migrate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(migrated(spark, sf_dir)[0].unionByName(lease_docs))
 
 
+def all_stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    collections = (leases, views.clients, views.policies, views.declarations, views.prompts)
+    docs = views.documents(spark, sf_dir).unionByName(views.parts(spark, sf_dir).drop("turn"))
+    return migration.migrate_all(docs, *[read(spark, sf_dir) for read in collections], created=CREATED)
+
+
+def migrated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the results of the full migration, with parts in its input."""
+    stages = all_stages(spark, sf_dir)
+    is_part = F.col("documentId").contains("_")
+    rows = [
+        stages["documents"].filter(~is_part).agg(F.lit("documents").alias("part"), F.count(F.lit(1)).alias("n"), F.count("jsonId").alias("n_payloads")),
+        *[stages[name].agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("n_payloads")) for name in ("merged", "parts")],
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def migrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order: documents with declaration data and children, leases without."""
     collections = (leases, views.clients, views.policies, views.declarations, views.prompts)
@@ -198,6 +226,8 @@ QUERIES = {
     "child_documents": child_documents,
     "child_misses": child_misses,
     "merge_parts": merge_parts,
+    "part_rows": part_rows,
+    "migrated_counts": migrated_counts,
     "migrate_union": migrate_union,
     "migrate_all": migrate_all,
 }
@@ -280,6 +310,12 @@ ORACLE = {
             where ref not in (select "documentId" from target where length("FormNumber") > 0)
           union all select 'no applied endorsements', policy_id from linked where applied is null)
         select reason, count(*) as n, count(distinct ref) as ids from misses group by reason""",
+    "part_rows": f"""with {DOCS} select 'd' || conv_id as "documentId", 'Merged Document' as "documentTag", "CarrierName" as "clientName", turn,
+        'd' || conv_id || '_' || turn as part, 'T' || turn as form from conversations join docs on "ID" = 'd' || conv_id""",
+    "migrated_counts": f"""with {TARGET}, {LINKED} select 'documents' as part, (select count(*) from target) + (select count(*) from pages) as n,
+          (select count("jsonId") from target) + (select count(*) from pages where length(html) > 0) as n_payloads
+        union all select 'merged', count(distinct "ID"), null from docs join conversations on "ID" = 'd' || conv_id
+        union all select 'parts', count(*), null from docs join conversations on "ID" = 'd' || conv_id""",
     "merge_parts": f"""with {DOCS}, parts as (select 'd' || conv_id as base, turn,
           concat_ws('|', 'd' || conv_id || '_' || turn, role, case when length(text) > 100 then 'Processed' else 'Failed' end, 'T' || turn) as part
           from conversations), lists as (select base, string_agg(part, ';' order by turn) as parts from parts group by base)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.config.rules import BRANCH_DIVISIONS, SERVICE_LINES
 from claimloom.functions.casts import cast_columns
-from claimloom.functions.dates import parse_date_column
+from claimloom.functions.dates import parse_date_columns
 from claimloom.functions.records import parse_json, to_json_col
 from claimloom.functions.text import clean_columns, file_stem, path_part
 from claimloom.operators.classify import branch_lines, classify
@@ -84,6 +84,13 @@ def forecast_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def forecast_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions and weeks that the forecast has, each with a band around its value."""
+    weeks = forecast_by_country(spark, sf_dir)
+    ordered = F.col("yhat_lower").isNotNull() & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return weeks.select(F.col("region").alias("country_code"), F.col("ds").alias("week_end"), ordered.alias("in_band"))
+
+
 def fx_latest_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_latest(views.rates(spark, sf_dir), views.rate_history(spark, sf_dir), "1998-06-16")
 
@@ -121,7 +128,7 @@ def parse_date_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(day, "dd-MM-yyyy").alias("day_first"),
         F.date_format(day, "yyyy-MM-dd").alias("year_first"),
     )
-    return parse_date_column(parse_date_column(text, "day_first"), "year_first")
+    return parse_date_columns(text, ["day_first", "year_first"])
 
 
 def clean_ledger_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +169,7 @@ QUERIES = {
     "monthly_rollup": monthly_rollup,
     "publish_forecast": publish_forecast,
     "forecast_by_country": forecast_by_country,
+    "forecast_spine": forecast_spine,
     "fx_latest_fresh": fx_latest_fresh,
     "fx_latest_stale": fx_latest_stale,
     "branch_division": branch_division,
@@ -225,16 +233,13 @@ from raw where trim(product_name) <> 'Liability' and payment_date is not null"""
 def rules_sql(col: str) -> str:
     cases = []
     for kind, values, division in BRANCH_DIVISIONS:
-        ids = ", ".join(f"'{v}'" for v in values.split())
+        ids = ", ".join(f"'{v}'" for v in values)
         cases.append(f"when {col} {f'in ({ids})' if kind == 'in' else f'like {ids}'} then '{division}'")
     return f"case {' '.join(cases)} else 'Other' end"
 
 
 def lines_sql(division: str, branch: str) -> str:
-    cases = [
-        f"when lower({division}) in ({', '.join(repr(m.lower()) for m in members)}) then '{line}'"
-        for line, members in SERVICE_LINES.items()
-    ]
+    cases = [f"when lower({division}) = {member.lower()!r} then '{line}'" for member, line in SERVICE_LINES.items()]
     return f"case {' '.join(cases)} when {division} = 'Other' then {branch} else {division} end"
 
 
@@ -266,6 +271,9 @@ ORACLE = {
     "future_weeks": f"""with {weekly_sql("country_code")}, {HORIZON_SQL}, steps as (select country_code, last_week,
         unnest(generate_series(1, periods)) as i from horizon)
         select country_code, cast(last_week + cast(7 * i as integer) as date) as week_end from steps""",
+    "forecast_spine": f"""with {weekly_sql("country_code")}, {HORIZON_SQL}, steps as (select country_code, last_week,
+        unnest(generate_series(1, periods)) as i from horizon)
+        select country_code, cast(last_week + cast(7 * i as integer) as date) as week_end, true as in_band from steps""",
     "monthly_rollup": f"with {weekly_sql('country_code')}, {MONTHS_SQL} select * from months",
     "publish_forecast": f"""with {weekly_sql("country_code")}, {MONTHS_SQL} select month_end as forecast_date,
         invoice_fee as "Amount", 'Forecast' as "Source", country_code as "Region", date '{LOAD_DATE}' as "Load_date" from months""",

@@ -14,8 +14,10 @@ from claimloom.operators.incremental import all_counts, latest_per_group, load_s
 from claimloom.operators.metrics import best_run as best_of
 from claimloom.operators.metrics import pivot_runs as pivoted
 from claimloom.plans import views
-from claimloom.plans.invoices import LOAD_DATE, LINES_SQL, payable_monthly
-from claimloom.session import work_path
+from claimloom.operators.series import monthly_rollup, publish_forecast
+from claimloom.plans.invoices import LINES_SQL, LOAD_DATE, forecast_by_country, payable_monthly
+from claimloom.plans.invoices import ORACLE as INVOICE_SQL
+from claimloom.session import stored, work_path
 from claimloom.sources import sinks
 from claimloom.sources.readers import parse_runs, read_csv_strings, read_forecasts, view_frame
 from claimloom.sources.versions import read_current
@@ -32,6 +34,9 @@ SPECS = [
 ]
 
 
+PUBLISHED_KEYS = ["forecast_date", "Region", "Load_date"]
+
+
 def reader(spark: SparkSession, sf_dir: str):
     return lambda spec: views.table(spark, sf_dir, spec.name)
 
@@ -150,7 +155,19 @@ def upsert_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_snapshot(payable_monthly(spark, sf_dir), path, "1")
     published = read_current(spark, path)
     updates = published.filter(F.col("forecast_date") >= "1999-01-01").withColumn("Amount", -F.col("Amount"))
-    return sinks.upsert(published, updates, ["forecast_date", "Region", "Load_date"])
+    sinks.upsert_version(path, updates, PUBLISHED_KEYS, "2")
+    return read_current(spark, path)
+
+
+def forecast_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts fitted, summed by month, published and upserted into the months paid so far, twice."""
+    path = work_path(spark, "history")
+    sinks.upsert_version(path, payable_monthly(spark, sf_dir).withColumn("Amount", F.col("Amount").cast("double")), PUBLISHED_KEYS, "paid")
+    months = monthly_rollup(forecast_by_country(spark, sf_dir), ["region"], "ds", "yhat")
+    fitted = stored(publish_forecast(months, "region", "yhat", LOAD_DATE), "fitted")
+    for run in ("first", "again"):
+        sinks.upsert_version(path, fitted.unionByName(fitted), PUBLISHED_KEYS, run)
+    return read_current(spark, path).select("forecast_date", "Region", "Load_date", "Source")
 
 
 def forecast_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +190,8 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events stored in two zones; both hold every row."""
     zones = {name: work_path(spark, name) for name in ("raw", "second")}
     sinks.fan_out(views.table(spark, sf_dir, "events"), "1", list(zones.values()))
-    stored = [spark.read.parquet(path).withColumn("zone", F.lit(name)) for name, path in zones.items()]
-    return reduce(DataFrame.unionByName, stored).groupBy("zone", "event_type").agg(
+    copies = [spark.read.parquet(path).withColumn("zone", F.lit(name)) for name, path in zones.items()]
+    return reduce(DataFrame.unionByName, copies).groupBy("zone", "event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total")
     )
 
@@ -205,6 +222,7 @@ QUERIES = {
     "mark_advance": mark_advance,
     "isolated_loads": isolated_loads,
     "upsert_forecasts": upsert_forecasts,
+    "forecast_history": forecast_history,
     "forecast_files": forecast_files,
     "latest_file_per_country": latest_file_per_country,
     "fan_out": fan_out,
@@ -267,6 +285,9 @@ ORACLE = {
     "upsert_forecasts": f"""with {MONTHLY_SQL} select forecast_date,
         case when forecast_date >= date '1999-01-01' then -"Amount" else "Amount" end as "Amount", "Source", "Region", "Load_date"
         from published""",
+    "forecast_history": f"""with {MONTHLY_SQL}, ahead as ({INVOICE_SQL["future_weeks"]})
+        select forecast_date, "Region", "Load_date", "Source" from published
+        union select last_day(week_end), country_code, date '{LOAD_DATE}', 'Forecast' from ahead""",
     "forecast_files": f"""with {MONTHLY_SQL} select forecast_date, cast("Amount" as double) as "Amount", "Source", "Region",
         "Load_date" from published""",
     "latest_file_per_country": """with files as (select case n_regionkey when 0 then 'UK' when 1 then 'US' when 2 then 'AU'

@@ -60,6 +60,17 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.hash_split(claims, ["claim_id"], test=0.3)
 
 
+def one_hot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learned encoding of two open-ended columns in long form."""
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
+    return features.one_hot_long(orders, ["o_orderstatus", "o_orderpriority"], ["o_orderkey"])
+
+
+def stratified_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side of every row of a stratified split."""
+    return features.stratified_split(views.claims(spark, sf_dir).select("claim_id", "labels"), "labels", ["claim_id"])
+
+
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and test rows per class; the share is exact in every class."""
     split = features.stratified_split(views.claims(spark, sf_dir).select("claim_id", "labels"), "labels", ["claim_id"])
@@ -69,7 +80,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def triage_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on one side, stored, loaded and used on the other side."""
     split = stored(features.stratified_split(views.claims(spark, sf_dir), "labels", ["claim_id"]), "split")
-    model = models.train_multiclass(split.filter(~F.col("is_test")), TEXT_COLUMNS, "labels")
+    model = models.train_multiclass(split.filter(~F.col("is_test")), TEXT_COLUMNS, "labels", keys=["claim_id"])
     path = work_path(spark, "model")
     models.save_model(model, path)
     return models.score(split.filter("is_test"), models.load_model(path), ["claim_id", "labels"])
@@ -88,7 +99,7 @@ def repeat_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def triage_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = features.hash_split(repeat_claims(spark, sf_dir), ["event_id"], test=0.3)
-    model = models.train_binary(split.filter(~F.col("is_test")), CODE_COLUMNS, "labels", clean=False)
+    model = models.train_binary(split.filter(~F.col("is_test")), CODE_COLUMNS, "labels", clean=False, keys=["event_id"])
     return models.score(split.filter("is_test"), model, ["event_id", "labels"])
 
 
@@ -101,9 +112,25 @@ SMALL_GRID = {
 }
 
 
+def searched(spark: SparkSession, sf_dir: str):
+    """Rows with their side, and the search over the training side."""
+    split = stored(features.hash_split(repeat_claims(spark, sf_dir), ["event_id"], test=0.3), "split")
+    train = split.filter(~F.col("is_test"))
+    return split, *models.grid_search(train, CODE_COLUMNS, "labels", ["event_id"], SMALL_GRID)
+
+
 def triage_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, search = models.grid_search(repeat_claims(spark, sf_dir), CODE_COLUMNS, "labels", ["event_id"], SMALL_GRID)
-    return models.grid_results(views.table(spark, sf_dir, "events"), search, SMALL_GRID)
+    """Cross-validated accuracy of every grid point."""
+    split, _, search = searched(spark, sf_dir)
+    return models.grid_results(split, search, SMALL_GRID)
+
+
+def triage_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best grid point's answers on the held-out side, and how many are right."""
+    split, best, _ = searched(spark, sf_dir)
+    scored = models.score(split.filter("is_test"), best, ["event_id", "labels"])
+    right = F.avg((F.col("labels") == F.col("recommendedServiceCode")).cast("int"))
+    return scored.groupBy("labels").agg(F.count(F.lit(1)).alias("n"), (right > 0.9).alias("mostly_right"))
 
 
 def demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +157,7 @@ def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def demand_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = stored(features.hash_split(demand_rows(spark, sf_dir), ["item", "day"], test=0.3), "split")
-    model = models.train_demand(split.filter(~F.col("is_test")), models.DEMAND_COLUMNS, "demand")
+    model = models.train_demand(split.filter(~F.col("is_test")), models.DEMAND_COLUMNS, "demand", keys=["item", "day"])
     return metrics.regression_metrics(model.transform(split.filter("is_test")), "demand", "prediction")
 
 
@@ -168,12 +195,15 @@ QUERIES = {
     "normalise_category": normalise_category,
     "training_files": training_files,
     "label_index": label_index,
+    "one_hot_long": one_hot_long,
     "hash_split": hash_split,
+    "stratified_rows": stratified_rows,
     "stratified_split": stratified_split,
     "triage_score": triage_score,
     "triage_multiclass": triage_multiclass,
     "triage_binary": triage_binary,
     "triage_grid": triage_grid,
+    "triage_holdout": triage_holdout,
     "demand_features": demand_features,
     "demand_forest": demand_forest,
     "regression_metrics": regression_metrics,
@@ -224,6 +254,19 @@ ORACLE = {
     "training_files": f"""with {CLAIMS_SQL} select * from claims""",
     "label_index": f"""with {CLAIMS_SQL} select claim_id, labels, cast(dense_rank() over (order by labels) - 1 as integer) as label_id
         from claims""",
+    "one_hot_long": """with known as (select o_orderkey, 0 as col, 'o_orderstatus' as name, case when o_orderstatus = 'P' then 'NA' else o_orderstatus end as answer
+          from orders union all select o_orderkey, 1, 'o_orderpriority', o_orderpriority from orders),
+        numbered as (select col, answer, row_number() over (order by col, answer) - 1 as position from (select distinct col, answer from known))
+        select o_orderkey, name || '_' || answer as feature, position from known join numbered using (col, answer)""",
+    "hash_split": f"""with {CLAIMS_SQL} select claim_id, labels,
+        ('0x' || substr(md5('42|' || claim_id), 1, 15))::bigint / 1152921504606846976.0 < 0.3 as is_test from claims""",
+    "triage_holdout": f"""with claims as ({views.coded_claims_sql()}), labelled as (select event_id,
+          case when "PerilTypeID" = 'HAIL' and "Status" in ('CSLS', 'CSLT') then 'yes' else 'no' end as labels from claims)
+        select labels, count(*) as n, true as mostly_right from labelled
+        where ('0x' || substr(md5('42|' || event_id), 1, 15))::bigint / 1152921504606846976.0 < 0.3 group by labels""",
+    "stratified_rows": f"""with {CLAIMS_SQL}, hashed as (select claim_id, labels, ('0x' || substr(md5('42|' || claim_id), 1, 15))::bigint as h from claims)
+        select claim_id, labels, row_number() over (partition by labels order by h, claim_id)
+          <= round(count(*) over (partition by labels) * 0.25) as is_test from hashed""",
     "stratified_split": f"""with {CLAIMS_SQL} select labels, count(*) as n, cast(round(count(*) * 0.25) as bigint) as n_test
         from claims group by labels""",
     "demand_features": f"with {DEMAND_SQL} select * from rows",

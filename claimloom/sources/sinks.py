@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.sources.versions import read_current, snapshot_replace, versions
+
 FOLDER = "folder"  # names the folders of an export
 
 
@@ -63,9 +66,26 @@ def fan_out(df: DataFrame, batch: str, zones: Sequence[str]) -> None:
         stored.write.mode("overwrite").parquet(path)
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target with matching keys replaced; the updates must be unique per key.
+def one_per_key(updates: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the last one by the columns ``newest``, then by all columns."""
+    order = [F.desc_nulls_last(c) for c in [*newest, *(c for c in updates.columns if c not in (*keys, *newest))]]
+    ranked = updates.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order or [F.lit(1)])))
+    return ranked.filter("_rank = 1").drop("_rank")
+
+
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """Target with matching keys replaced; null keys match each other, repeated updates count once.
 
     The updates are read twice, so store them first if they are more than a scan.
     """
-    return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
+    once = one_per_key(updates, keys, newest)
+    named = once.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return target.join(named, same, "left_anti").unionByName(once)
+
+
+def upsert_version(path: str, updates: DataFrame, keys: Sequence[str], version: str, newest: Sequence[str] = ()) -> None:
+    """Upsert into a versioned table; the result is its next version, the first one if there is none."""
+    spark = updates.sparkSession
+    current = read_current(spark, path) if versions(spark, path) else updates.limit(0)
+    snapshot_replace(upsert(current, updates, keys, newest), path, version)

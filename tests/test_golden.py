@@ -13,7 +13,7 @@ from claimloom.config.rules import BRANCH_DIVISIONS
 from claimloom.config.tables import DELTA, SNAPSHOT, TableSpec, catalog
 from claimloom.config.vocabulary import CODE_VOCABULARY, TEXT_VOCABULARY
 from claimloom.functions import casts, dates, text
-from claimloom.operators import classify, curate, documents, features, fx, incremental, lookups, metrics, series
+from claimloom.operators import classify, curate, documents, features, fx, incremental, lookups, metrics, models, series
 from claimloom.session import work_path
 from claimloom.sources import readers, sinks, versions
 
@@ -190,8 +190,9 @@ def test_one_hot(spark):
     ]
     learned = features.one_hot_learned(spark.createDataFrame([("b",), ("a",), (None,)], "v string"), ["v"])
     assert learned.columns == ["v_NA", "v_a", "v_b"]
-    with pytest.raises(ValueError, match="more than 1"):
-        features.learn_vocabulary(df, ["Status", "Levels"], limit=1)
+    wide = spark.range(11_000).selectExpr("id", "cast(id as string) as v")
+    long = features.one_hot_long(wide, ["v"], ["id"])
+    assert long.count() == 11_000 and long.agg(F.max("position"), F.countDistinct("feature")).first()[:] == (10_999, 11_000)
     assert features.split_label(df) == (list(claim)[:-1], "source")
     vectors = features.one_hot_pipeline(["v"]).fit(spark.createDataFrame([("b",), ("a",)], "v string"))
     unseen = vectors.transform(spark.createDataFrame([("zzz",), ("a",)], "v string")).select("hot_v").collect()
@@ -284,6 +285,27 @@ def test_views(spark):
     assert readers.warehouse_query(spark, "select sum(id) as s from {t}", t=spark.range(4)).first().s == 6
 
 
+def test_branch_rules(spark):
+    """One sample per way a branch is decided."""
+    want = {
+        "WG2A": ("New South Wales", "CCS"), "47CAT": ("Queensland", "CCS"), "DW5E": ("South Australia", "CCS"), "33CAT": ("Tasmania", "CCS"),
+        "ML3H": ("Victoria", "CCS"), "DW0A": ("Western Australia", "CCS"), "46MOT": ("Motor", "CCS"), "FFAT2": ("FRS", "GTS"),
+        "CEO": ("Executive", "SS"), "CONEXP": ("Construction & Engineering", "GTS"), "TPA1": ("TPA", "TPA"), "DRONE": ("Contractor Connection", "Contractor Connection"),
+        "0000": ("Head office", "SS"), "XSTRATAX": ("STRATA", "CCS"), "CFAS": ("GTS", "GTS"), "ZZ": ("Other", "ZZ"), "QL": ("Liability", "GTS"), "QF": ("Fusion", "CCS"),
+    }
+    got = classify.branch_lines(spark.createDataFrame([(b,) for b in want], "b string"), "b").collect()
+    assert {r.b: (r.division, r.service_line) for r in got} == want
+
+
+def test_one_clean_up(spark):
+    """The pipeline's clean-up and the column expression give the same text."""
+    values = ["no longer leaking, wet <1 day", "no longer leaking, wet >1 day", "a-b_c/d", "é\t1", "", None]
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    staged = models.SQLTransformer(statement=models.clean_statement(["c"])).transform(df).select("clean_c").collect()
+    plain = features.normalise_columns(features.fill_na(df), ["c"]).collect()
+    assert [r[0] for r in staged] == [r[0] for r in plain]
+
+
 def test_latest_file(spark):
     paths = ["o/UK/f-2020-01-02.csv", "o/UK/f-2020-01-10.csv", "o/UK/f-2021.tmp", "o//f.csv", "o/IT/f-1.csv"]
     got = incremental.latest_per_group(spark.createDataFrame([(p,) for p in paths], "path string"))
@@ -399,7 +421,8 @@ def test_migration(collections):
     assert {p.JsonData for p in payloads} == {"{1}", "kept"} and got["d1"].jsonId in {p.jsonId for p in payloads}
     (merged,) = out["merged"].collect()
     assert merged.documentId == "d1" and merged.documentTag == "Merged Document" and merged.splitIndices == {}
-    assert [p.filePath for p in merged.splitDocumentList] == ["q0", "q1"]
+    (nested,) = documents.nested_parts(out["merged"], out["parts"]).collect()
+    assert [p.filePath for p in nested.splitDocumentList] == ["q0", "q1"]
 
 
 def test_children_keep_order(collections):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import random
-from collections import defaultdict
 from datetime import date, timedelta
 
 import numpy as np
@@ -41,6 +39,12 @@ def test_upsert_twice_is_once(spark, sf_dir):
     assert bag(sinks.upsert(once, updates, ["c_custkey"])) == bag(once)
 
 
+def test_upsert_of_null_and_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "a", 0), (None, "b", 0)], "k int, v string, at int")
+    updates = spark.createDataFrame([(None, "c", 1), (None, "d", 2), (2, "e", 1), (2, "e", 1)], "k int, v string, at int")
+    assert bag(sinks.upsert(target, updates, ["k"], ["at"]).select("k", "v")) == bag(spark.createDataFrame([(1, "a"), (None, "d"), (2, "e")], "k int, v string"))
+
+
 def test_snapshot_twice_is_once(spark, sf_dir):
     path = work_path(spark, "snapshot")
     for _ in range(2):
@@ -79,22 +83,22 @@ def test_stratified_split_of_skewed_and_tiny_classes(spark):
     assert got == {"big": (3000, 750), "small": (9, 2), None: (1, 0)}
 
 
-def test_part_lists_of_a_hot_base(spark):
-    """One base holds most parts: several bounded lists, nothing lost, order kept."""
-    random.seed(1)
-    data = [("hot", i) for i in range(1000)] + [(f"b{i}", j) for i in range(40) for j in range(i % 9)]
-    random.shuffle(data)
-    parts = spark.createDataFrame([(b, n, f"{b}-{n}") for b, n in data], "base string, n int, part string").repartition(5)
-    lists = documents.part_lists(parts, ["n"], bits=4).collect()
-    assert max(len(r.parts) for r in lists) <= 16
-    got = defaultdict(list)
-    for r in sorted(lists, key=lambda r: r.firstPart.n):
-        got[r.base] += r.parts
-    expected = defaultdict(list)
-    for b, n in sorted(data):
-        expected[b].append(f"{b}-{n}")
-    assert got == expected
-    assert len([r for r in lists if r.base != "hot"]) == len(expected) - 1
+def test_merged_parts_of_a_hot_base(spark, sf_dir):
+    """One base holds most parts; the parts are the same for any number of partitions."""
+    docs = views.documents(spark, sf_dir)
+    ids = [("d0", None)] + [(f"d0_{n}", n) for n in range(20_000)] + [("d1", None), ("d1_7", 7), ("d1_3", 3), ("d9999_1", 1), ("d2", None)]
+    rows = spark.createDataFrame(ids, "ID string, n int")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema if f.name != "ID"]
+    typed = rows.select("ID", *nulls, "n").select(*docs.columns, "n")
+    found = []
+    for tasks in ("2", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        headers, parts = documents.merge_parts(typed.repartition(int(tasks)), ["n"])
+        found.append((bag(headers.select("documentId")), bag(parts.select("documentId", "n", "part.documentId"))))
+        lists = documents.nested_parts(headers, parts, ["n"]).select("documentId", F.transform("splitDocumentList", lambda p: p["documentId"]).alias("l"))
+        assert {r.documentId: r.l for r in lists.collect()} == {"d0": [f"d0_{n}" for n in range(20_000)], "d1": ["d1_3", "d1_7"]}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] and len(found[0][0]) == 2 and len(found[0][1]) == 20_002
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
