@@ -5,10 +5,11 @@ largest value are kept of each, so half as many hashes are computed as a signatu
 the signature name buckets; documents that share a bucket are candidates, and a candidate pair is linked
 if the full sets are similar enough.
 
-Equal sets are one class, named by its smallest id; only classes are compared. Within a bucket not all
-pairs are formed: in a few rounds, members are compared with one member of the bucket, and what is linked
-becomes one component. Afterwards only pairs whose components still differ are compared, all of them, so
-no link that a bucket shows is lost and none is computed that changes nothing.
+Equal sets are one class, named by its smallest id; only classes are compared. Within a bucket no table
+of pairs is formed: in a few rounds, members are compared with one member of the bucket, and what is linked
+becomes one component. Documents in buckets that still hold several components are then compared in
+blocks, each two blocks in a task that returns only links between components, so no link that a bucket
+shows is lost.
 
 With 40 bands of 6 values a pair of exactly 0.8 similarity shares no bucket with probability 5e-6.
 
@@ -120,6 +121,84 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return shared.where(100 * F.col("shared") >= percent * (F.col("n_lo") + F.col("n_hi") - F.col("shared"))).select("lo", "hi").distinct()
 
 
+def _links_between(crowd: DataFrame, sets: DataFrame, percent: int, block: int = 200_000, least: int = 200) -> DataFrame:
+    """Links (lo, hi) that join different components, among documents that share buckets.
+
+    ``crowd`` has a document (rep, comp, n) and the first document (first) of a bucket it is in, once
+    for each. Documents connected by buckets are a neighbourhood. It is cut into blocks of about ``block``
+    hashes (a document counts ``least`` at least), a large component into blocks of its own. Every two
+    blocks meet in one task, which compares all their documents and returns only links that join
+    components; blocks of one component do not meet.
+    """
+    near = components(crowd.select(F.col("rep").alias("a"), F.col("first").alias("b")), "near-hoods")
+    people = crowd.select("rep", "comp", "n").distinct().join(near.select(F.col("id").alias("rep"), F.col("component").alias("hood")), "rep")
+    people = people.withColumn("weight", F.greatest("n", F.lit(least)))
+    large = people.groupBy("hood", "comp").agg(F.sum("weight").alias("all")).where(F.col("all") >= block).select("hood", "comp", F.col("comp").cast("string").alias("side"))
+    people = people.join(large, ["hood", "comp"], "left").withColumn("side", F.coalesce("side", F.lit("rest")))
+    counts = people.groupBy("hood", "side").agg(F.ceil(F.sum("weight") / block).alias("blocks"))
+    people = stored(
+        people.join(counts, ["hood", "side"]).select("hood", "rep", "comp", F.concat("side", F.lit("/"), F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("string")).alias("place"), "side"),
+        "near-people",
+    )
+    places = people.select("hood", "place", "side").distinct()
+    others = places.select("hood", F.col("place").alias("place2"), F.col("side").alias("side2"))
+    meets = places.join(others, "hood").where("place <= place2 AND (side != side2 OR side = 'rest')")
+    meets = stored(meets.select("hood", "place", "place2", F.concat_ws("|", F.col("hood").cast("string"), "place", "place2").alias("meeting")), "near-meetings")
+    left = meets.select("hood", "place", "meeting", F.lit(0).alias("row"))
+    right = meets.where("place != place2").select("hood", F.col("place2").alias("place"), "meeting", F.lit(1).alias("row"))
+    seats = people.join(left.unionByName(right), ["hood", "place"]).select("meeting", "row", "rep", "comp").join(sets.select("rep", "hashes"), "rep")
+
+    def compare(table: pa.Table) -> pa.Table:
+        rows = table["row"].to_numpy()
+        reps, comps = table["rep"].to_numpy(), table["comp"].to_numpy()
+        hashes = table["hashes"].combine_chunks()
+        sizes = np.diff(hashes.offsets.to_numpy())
+        first = np.flatnonzero(rows == 0)
+        second = np.flatnonzero(rows == 1) if rows.any() else first
+        shared = shared_counts(hashes.flatten().to_numpy(), sizes, first, second)
+        total = sizes[first][:, None] + sizes[second][None, :] - shared
+        linked = (100 * shared >= percent * total) & (comps[first][:, None] != comps[second][None, :])
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while (up := root.get(c, c)) != c:
+                c = up
+            return c
+
+        out = []
+        for i, j in zip(*np.nonzero(linked)):
+            a, b = find(int(comps[first[i]])), find(int(comps[second[j]]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((int(reps[first[i]]), int(reps[second[j]])))
+        low, high = [min(p) for p in out], [max(p) for p in out]
+        return pa.table({"lo": pa.array(low, pa.int64()), "hi": pa.array(high, pa.int64())})
+
+    return seats.groupBy("meeting").applyInArrow(compare, "lo bigint, hi bigint").distinct()
+
+
+def shared_counts(hashes: np.ndarray, sizes: np.ndarray, first: np.ndarray, second: np.ndarray, step: int = 2048) -> np.ndarray:
+    """How many hashes each set of ``first`` shares with each of ``second``, by products of 0/1 matrices.
+
+    ``hashes`` are the sets laid end to end; hashes that occur once are left out.
+    """
+    _, number, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    again = np.cumsum(count > 1) - 1
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    some = count[number] > 1
+    column, owner = again[number[some]], owner[some]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    width = int(again[-1]) + 1 if len(again) else 0
+    out = np.zeros((len(first), len(second)), np.float32)
+    for low in range(0, width, step):
+        part = slice(*np.searchsorted(column, [low, low + step]))
+        matrix = np.zeros((len(sizes), step), np.float32)
+        matrix[owner[part], column[part] - low] = 1
+        out += matrix[first] @ matrix[second].T
+    return out.astype(np.int64)
+
+
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after components joined by links have become one."""
     low = labels.select(F.col("rep").alias("lo"), F.col("comp").alias("a"))
@@ -130,12 +209,12 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, rounds: int = 3
+    docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, rounds: int = 2
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept, for each row.
 
     ``rounds``: how often buckets are compared with one of their members before what is left is
-    compared in full; it changes the work, not the result.
+    compared in blocks; it changes the work, not the result.
     """
     signed = stored(signatures(docs, shingle, bands, rows), "near-signatures")
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -152,24 +231,19 @@ def near_duplicates(
     labels = ids.select("rep", F.col("rep").alias("comp"))
     tested = None
 
-    for turn in range(rounds + 1):
+    for turn in range(rounds):
         seated = members.join(labels, "rep")
-        if turn < rounds:
-            lead = F.min(F.struct((F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")).alias("order"), "rep", "comp", "n")).alias("lead")
-            chosen = seated.groupBy("key").agg(lead, F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-            other = seated.join(chosen.select("key", F.col("lead.rep").alias("other"), F.col("lead.comp").alias("other_comp"), F.col("lead.n").alias("other_n")), "key")
-        else:
-            mixed_keys = seated.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-            left = stored(seated.join(mixed_keys, "key"), "near-left")
-            other = left.join(left.select("key", F.col("rep").alias("other"), F.col("comp").alias("other_comp"), F.col("n").alias("other_n")), "key").where("rep < other")
+        lead = F.min(F.struct((F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")).alias("order"), "rep", "comp", "n")).alias("lead")
+        chosen = seated.groupBy("key").agg(lead, F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+        other = seated.join(chosen.select("key", F.col("lead.rep").alias("other"), F.col("lead.comp").alias("other_comp"), F.col("lead.n").alias("other_n")), "key")
         other = other.where((F.col("comp") != F.col("other_comp")) & _may_link(F.col("n"), F.col("other_n"), percent))
         pairs = other.groupBy("rep", F.col("other")).agg(F.count("*").alias("common"))
-        pairs = pairs.select("rep", "other", "common", F.least("rep", "other").alias("lo"), F.greatest("rep", "other").alias("hi"))
+        pairs = pairs.select("rep", "common", F.least("rep", "other").alias("lo"), F.greatest("rep", "other").alias("hi"))
         if tested is not None:
             pairs = pairs.join(tested, ["lo", "hi"], "left_anti")
-        if turn < rounds:  # one comparison a round for each member: with whom it shares most buckets
-            pairs = pairs.groupBy("rep").agg(F.max(F.struct("common", "lo", "hi")).alias("best")).select("best.lo", "best.hi")
-        pairs = stored(pairs.select("lo", "hi").distinct(), "near-pairs")
+        # one comparison a round for each member: with whom it shares most buckets
+        pairs = pairs.groupBy("rep").agg(F.max(F.struct("common", "lo", "hi")).alias("best")).select("best.lo", "best.hi")
+        pairs = stored(pairs.distinct(), "near-pairs")
         if pairs.isEmpty():
             continue
         links = stored(_linked(pairs, sets, percent), "near-links")
@@ -177,6 +251,14 @@ def near_duplicates(
         if not links.isEmpty():
             labels = _merged(labels, links)
 
+    seated = members.join(labels, "rep")
+    unsure = seated.groupBy("key").agg(F.min("rep").alias("first"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    crowd = stored(seated.join(unsure.select("key", "first"), "key").select("rep", "comp", "n", "first").distinct(), "near-crowd")
+    if not crowd.isEmpty():
+        links = stored(_links_between(crowd, sets, percent), "near-links")
+        if not links.isEmpty():
+            labels = _merged(labels, links)
+
     # ids that stand for different texts join what each of them is in
     named_as = belongs.join(labels, "rep", "left").select("doc_id", F.coalesce("comp", "rep").alias("comp"))
     twice = named_as.groupBy("doc_id").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))

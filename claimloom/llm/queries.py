@@ -11,6 +11,7 @@ from claimloom.llm.line_dedup import drop_repeated_lines
 from claimloom.llm.merkle import fingerprint_documents
 from claimloom.llm.minhash import near_duplicates
 from claimloom.llm.mixing import MIX_SQL, mix_sources
+from claimloom.llm.oracles import CHAT_SQL, MERKLE_SQL, NEAR_SQL
 from claimloom.llm.packing import digest_pieces, pack_documents
 from claimloom.llm.rules import COUNTS, judge, learn_rules, statistics
 from claimloom.llm.scanning import digest_spans, scan_documents
@@ -79,4 +80,4 @@ QUERIES = {
         op10_secret_automaton,
     )
 }
-ORACLE = {"op3_sainte_lague": MIX_SQL}
+ORACLE = {"op2_min_max_hash": NEAR_SQL, "op3_sainte_lague": MIX_SQL, "op6_merkle": MERKLE_SQL, "op9_token_chat": CHAT_SQL}

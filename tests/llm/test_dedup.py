@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import re
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ from xxhash import xxh3_64_intdigest
 from claimloom.llm.common import read_table, row_key
 from claimloom.llm.graph import components
 from claimloom.llm.line_dedup import cut_lines, drop_repeated_lines
-from claimloom.llm.minhash import near_duplicates
+from claimloom.llm.minhash import _links_between, near_duplicates
 from tests.llm.conftest import PASSAGE, document, prose
 
 ALL = (1 << 64) - 1
@@ -149,6 +150,29 @@ def test_near_duplicates_brute_force(spark, sf_dir, edge, nothing, which, shingl
     assert sorted((tuple(r) for r in near_duplicates(docs, shingle=shingle).collect()), key=repr) == want
 
 
+def test_links_between_blocks(spark):
+    """Blocks of a few documents, a large component with blocks of its own: all links are found."""
+    draw = random.Random(4)
+    sets = {}
+    for k in range(60):
+        base = range(1000 * (k % 3), 1000 * (k % 3) + 40)
+        sets[k] = sorted({x if draw.random() > 0.1 else draw.randrange(10**6) for x in base})
+    comp = {k: 0 if k % 3 == 0 and k < 45 else k for k in sets}
+    crowd = spark.createDataFrame([(k, comp[k], len(sets[k]), k % 3) for k in sets], "rep bigint, comp bigint, n bigint, first bigint")
+    table = spark.createDataFrame([(k, len(v), v) for k, v in sets.items()], "rep bigint, n bigint, hashes array<bigint>")
+
+    def groups(links):
+        root = dict(comp)
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if c == high else c for k, c in root.items()}
+        return root
+
+    similar = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))]
+    links = [tuple(r) for r in _links_between(crowd, table, 80, block=200, least=1).collect()]
+    assert set(links) <= set(similar) and groups(links) == groups(similar) != comp
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 199)]
     got = dict(components(spark.createDataFrame(links, "a bigint, b bigint")).collect())
