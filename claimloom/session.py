@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimloom.sources.storage import remove_folder
+
+_made: list[str] = []  # work folders of this process that have not been removed
+
 # Only settings that change results or plans; sizes belong to spark-submit.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +20,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more shuffle behind the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows of one key compress well, so a partition that is slow to join may be small in bytes
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # hash instead of sort where every shuffled partition turned out to be this small
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
@@ -39,13 +48,29 @@ def shared_folder(spark: SparkSession) -> str:
         return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-"))
+    folder = tempfile.mkdtemp(prefix="claimloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
     return context.getCheckpointDir().rstrip("/")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, never used before."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, never used before; ``remove_work`` removes it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_work(spark: SparkSession) -> int:
+    """Remove all folders that ``work_path`` has named so far, once no frame that reads them is needed.
+
+    Frames are lazy, so only their user knows when; a job does it after writing its last result.
+    """
+    removed = 0
+    while _made:
+        remove_folder(spark, _made.pop())
+        removed += 1
+    return removed
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

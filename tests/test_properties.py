@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from claimloom.operators import documents, features, forecast, incremental, lookups, metrics, models, series
 from claimloom.plans import triage, views
-from claimloom.session import shared_folder, work_path
+from claimloom.session import remove_work, shared_folder, work_path
 from claimloom.sources import sinks, versions
+from claimloom.sources.storage import exists
 from claimloom.streaming import flows
 
 
@@ -261,6 +262,12 @@ def test_failed_load_keeps_the_mark(spark, sf_dir):
     assert incremental.read_mark(spark, marks, "s", "none") == "none"
 
 
+def test_work_folders_are_removed(spark):
+    path = work_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert remove_work(spark) >= 1 and not exists(spark, path) and remove_work(spark) == 0
+
+
 def test_shared_folder_follows_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert shared_folder(spark) == folder.rstrip("/")
