@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.common import arrow_map, utf8
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_distinct", "n_same")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_same")
 SYMBOLS = b"#*$%&|<>"
 MARKS = b"!?.,;:"
 SPACE = b" \t\n\v\f\r"
@@ -30,7 +30,7 @@ WINDOW = 8
 # odd multipliers from the golden ratio; a window's key is a weighted sum of its words' hashes
 WEIGHTS = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1)) for k in range(WINDOW)]
 
-#: What rules test, as shares, so that a rule means the same for any length.
+#: What rules test: shares that do not change with the length of a text, so that long texts are judged like short ones.
 FEATURES = {
     "word_length": ("word_chars", "n_words"),
     "symbols_per_word": ("n_symbols", "n_words"),
@@ -38,9 +38,7 @@ FEATURES = {
     "repeated_words": ("n_repeat_words", "n_words"),
     "upper_case": ("n_upper", "word_chars"),
     "marks_per_word": ("n_marks", "n_words"),
-    "distinct_words": ("n_distinct", "n_words"),
     "same_as_last": ("n_same", "n_words"),
-    "words": ("n_words", None),
 }
 
 
@@ -81,7 +79,6 @@ def text_counts(text: bytes) -> tuple[int, ...]:
         len(lines),
         int(seen[65:91].sum()),
         int(seen[list(MARKS)].sum()),
-        len(set(words)),
         int((hashes[1:] == hashes[:-1]).sum()),
     )
 
@@ -98,7 +95,7 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 def feature(name: str) -> Column:
     top, base = FEATURES[name]
-    return F.col(top) / F.greatest(F.lit(1), F.col(base)) if base else F.col(top).cast("double")
+    return F.col(top) / F.greatest(F.lit(1), F.col(base))
 
 
 @dataclass(frozen=True)
