@@ -21,7 +21,7 @@ from claimloom.operators.lookups import (
     exploded_ids,
     first_per_key,
     lookup_first,
-    resolved_arrays,
+    listed_hits,
     update_from,
 )
 from claimloom.session import stored
@@ -221,8 +221,8 @@ def update_child_documents(
 ) -> tuple[DataFrame, DataFrame]:
     """Children and form numbers on the first record of each declaration document.
 
-    If several policies share a declaration document the last policy wins, so arrays are resolved
-    for the winners only; the misses are reported for every policy. The target is read several
+    If several policies share a declaration document the last policy wins; the misses are reported
+    for every policy. The target is read several
     times and should be a stored table.
     """
     linked = policies_with_declaration(policies, declarations)
@@ -234,12 +234,14 @@ def update_child_documents(
         ),
         "extractedFormNumbers": F.when(F.length("formNumber.formNumber") > 0, F.col("formNumber")),
     }
+    # the ids of all policies are looked up once, for the winners and for the misses
+    hits = stored(array_hits(linked, "policy_id", arrays, by_id, "documentId", children), "hits")
     last = first_per_key(exploded_ids(linked, "dec_ids", "dec_id"), ["dec_id"], [F.desc("policy_id")])
-    resolved = resolved_arrays(last, "dec_id", arrays, by_id, "documentId", children)
-    updates = resolved.withColumnRenamed("dec_id", "documentId")
+    last = last.select(F.col("dec_id").alias("documentId"), "policy_id")
+    winners = hits.join(last.select("policy_id").distinct(), "policy_id", "left_semi")
+    updates = last.join(listed_hits(winners, "policy_id", list(arrays)), "policy_id").drop("policy_id")
     updated = apply_updates(target, updates, "documentId", list(arrays), first_only=RECORD_ORDER)
 
-    hits = array_hits(linked, "policy_id", arrays, by_id, "documentId", children)
     no_child = (F.col("out") == "childDocumentIds") & F.col("childDocumentIds").isNull()
     no_form = (F.col("out") == "extractedFormNumbers") & F.col("extractedFormNumbers").isNull()
     reason = F.when(no_child, "applied endorsement not found").when(no_form, "form number not found")

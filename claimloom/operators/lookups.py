@@ -133,9 +133,13 @@ def resolved_arrays(
     ``row_key`` and ``dim_key`` are unique. All arrays are resolved by one join; a regrouped array
     is never longer than the array of its own row.
     """
-    hits = array_hits(df, row_key, arrays, dim, dim_key, children)
+    return listed_hits(array_hits(df, row_key, arrays, dim, dim_key, children), row_key, list(arrays))
+
+
+def listed_hits(hits: DataFrame, row_key: str, outs: Sequence[str]) -> DataFrame:
+    """The entries of ``array_hits`` as one array per row and output, in order, misses left out."""
     lists = []
-    for out in arrays:
+    for out in outs:
         entry = F.when((F.col("out") == out) & F.col(out).isNotNull(), F.struct("pos", F.col(out).alias("child")))
         lists.append(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["child"]).alias(out))
     return hits.groupBy(row_key).agg(*lists)
