@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import arrow_map, pa_schema, running_start
+from claimloom.llm.common import pa_schema, running_start, slices
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Control strings, in the order of the reserved ids.
@@ -74,7 +74,7 @@ def format_turns(conversations: DataFrame, tokenizer: str | None = None, trained
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load_tokenizer(path)
         first = codec.get_vocab_size()
-        for batch in batches:
+        for batch in slices(batches, 1 << 20):
             roles = [r or "" for r in batch.column(2).to_pylist()]
             texts = [escape(t or "") for t in batch.column(3).to_pylist()]
             names = {r: codec.encode(escape(r), add_special_tokens=False).ids for r in set(roles)}
@@ -130,7 +130,7 @@ def read_back(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
         codec = load_tokenizer(path)
         first = codec.get_vocab_size()
         now, reader = None, None
-        for batch in batches:
+        for batch in slices(batches, 1 << 20):
             done, parts = [], []
             convs = batch.column(0).to_pylist()
             for ids, mask in zip(batch.column(2), batch.column(3), strict=True):

@@ -40,13 +40,22 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of some batches in pieces of about ``size`` bytes, one row at least, so that what a task
+    makes of a piece stays small whatever the session's batch size is."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * size // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """mapInArrow with a function from a record batch to a dict of columns, or None for no rows."""
     kinds = pa_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (columns := function(batch)) is not None:
+        for batch in slices(batches):
+            if (columns := function(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([as_array(columns[f.name], f.type) for f in kinds], schema=kinds)
 
     return df.mapInArrow(run, schema)

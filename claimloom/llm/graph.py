@@ -21,7 +21,7 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
         seen = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(lowest, "a").where("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(lowest, "a").where("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stored(small.unionByName(lower.withColumnRenamed("m", "b")).distinct(), name)

@@ -6,7 +6,7 @@ the signature name buckets; documents that share a bucket are candidates, and a
 if the full sets are similar enough.
 
 Equal sets are one class, named by its smallest id; only classes are compared. Within a bucket no table
-of pairs is formed: in a few rounds, members are compared with one member of the bucket, and what is linked
+of pairs is formed: first, members are compared with one member of the bucket, and what is linked
 becomes one component. Documents in buckets that still hold several components are then compared in
 blocks, each two blocks in a task that returns only links between components, so no link that a bucket
 shows is lost.
@@ -209,7 +209,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, rounds: int = 2
+    docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, rounds: int = 1
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept, for each row.
 
@@ -219,15 +219,15 @@ def near_duplicates(
     signed = stored(signatures(docs, shingle, bands, rows), "near-signatures")
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(named.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("rep")), "near-classes")
-    belongs = stored(named.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select("doc_id", "n_shingles", "rep").distinct(), "near-belongs")
+    belongs = stored(named.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select("doc_id", "rep"), "near-belongs")
 
     # the bands of a class are those of the document that names it
     heads = named.join(classes.drop("n_shingles").withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
     seats = heads.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
     shared = seats.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last").select("key")
-    members = stored(seats.join(shared, "key").distinct(), "near-members")
+    members = stored(seats.join(shared, "key"), "near-members")
     ids = stored(members.select("rep").distinct(), "near-ids")
-    sets = stored(sets_of(docs, ids, shingle).distinct(), "near-sets")
+    sets = stored(sets_of(docs, ids, shingle), "near-sets")
     labels = ids.select("rep", F.col("rep").alias("comp"))
     tested = None
 

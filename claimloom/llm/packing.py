@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import arrow_map, pa_schema, utf8
+from claimloom.llm.common import arrow_map, pa_schema, slices, utf8
 from claimloom.session import work_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -54,7 +54,7 @@ class WordTokens(dict):
     a word that is met again moves back.
     """
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
@@ -147,7 +147,7 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t.split() for t in utf8(batch)]
             words.learn(set().union(*texts))
             ids = [b"".join(map(words.__getitem__, t)) for t in texts]
