@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as driver
 from tests.oracle import compare, connect
 
-QUERIES = driver.queries()
 ORACLE = driver.oracle_sql()
+# numbered operators and the pipeline have tests of their own where there is no SQL
+QUERIES = {n: q for n, q in driver.queries().items() if n in ORACLE or not re.match(r"op\d+_|pipeline$", n)}
 
 
 @pytest.fixture(scope="module")
