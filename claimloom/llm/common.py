@@ -49,12 +49,13 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
             yield batch.slice(start, rows)
 
 
-def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """mapInArrow with a function from a record batch to a dict of columns, or None for no rows."""
+def arrow_map(df: DataFrame, function: Callable, schema: str, size: int = 4 << 20) -> DataFrame:
+    """mapInArrow with a function from a record batch of about ``size`` bytes to a dict of columns, or None
+    for no rows."""
     kinds = pa_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size):
             if (columns := function(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([as_array(columns[f.name], f.type) for f in kinds], schema=kinds)
 

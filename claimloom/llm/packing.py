@@ -54,7 +54,7 @@ class WordTokens(dict):
     a word that is met again moves back.
     """
 
-    def __init__(self, path: str, most: int = 250_000) -> None:
+    def __init__(self, path: str, most: int = 100_000) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
