@@ -99,6 +99,48 @@ def test_line_dedup_takes_passages(spark):
     assert all(got[100 + k].removed_words == 0 for k in range(40))
 
 
+def common_runs(texts, min_words=20):
+    """The texts without the runs of lines that stand in an earlier text, by comparing all places of lines."""
+    places, out = defaultdict(list), []
+    lines = [[u.strip() for u in cut_lines(t.encode())] for t in texts]
+    for d, own in enumerate(lines):
+        gone = set()
+        for k in range(len(own)):
+            for e, j in places[own[k]]:
+                n = 0
+                while k + n < len(own) and j + n < len(lines[e]) and own[k + n] == lines[e][j + n]:
+                    n += 1
+                if sum(len(x.split()) for x in own[k : k + n]) >= min_words:
+                    gone.update(range(k, k + n))
+        for k, line in enumerate(own):
+            places[line].append((d, k))
+        out.append("".join(u.decode() for k, u in enumerate(cut_lines(texts[d].encode())) if k not in gone))
+    return out
+
+
+def test_line_dedup_finds_every_common_run(spark):
+    """Random passages of 50 to 200 words, in lines of any length, one without marks; each second copy goes whole."""
+    draw, texts = random.Random(11), []
+
+    def words(n, marks):
+        return " ".join(f"w{draw.randrange(10**6)}" + (draw.choice(".,") if marks and draw.random() < marks else "") for _ in range(n))
+
+    passages = [words(draw.randint(50, 200), draw.choice([0, 0.02, 0.1, 0.2])) + draw.choice(["", "."]) for _ in range(60)]
+    for passage in passages * 2:
+        texts.append(f"{words(40, 0.1)}\n{passage}\n{words(40, 0.1)}")
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = [r.text for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("doc_id").collect()]
+    assert got == common_runs(texts)
+    assert got[:60] == texts[:60]
+    assert all(passage not in text and len(text.split()) == 80 for passage, text in zip(passages, got[60:], strict=True))
+
+
+def test_line_dedup_leaves_one_copy_of_a_repeated_line(spark):
+    rows = [(1, "one two. " * 100), (2, "one two. " * 30)]
+    got = [r.text for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("doc_id").collect()]
+    assert got == ["one two. " * 10, ""]
+
+
 def test_line_dedup_empty(nothing):
     assert drop_repeated_lines(nothing).count() == 0
 
