@@ -1,9 +1,12 @@
 """Lexical retrieval packing: windows are filled with documents that read alike.
 
-Documents are encoded, each with an end token, and dealt to shards of about ``shard_tokens`` tokens. A
-shard has a BM25 inverted index over its token ids, with document frequencies and the mean length of the
-whole corpus. A window starts with a seed document; the unused documents that score best for the seed's
-``query_terms`` heaviest tokens fill it up. A document that does not fit is cut, and its rest is the next
+Documents are encoded, each with an end token, and laid in the order of their heaviest BM25 terms, among
+those that other documents have too. This order is cut into shards of about ``shard_tokens`` tokens, at
+places that a sample by hashes tells, so documents of one topic meet at any size of the corpus; documents
+of the same terms are ordered by a hash, so that a large group of them is cut too. A shard has a BM25
+inverted index over its token ids, with document frequencies and the mean length of the whole corpus. A
+window starts with a seed document; the unused documents that score best for all of the seed's tokens (or
+its ``query_terms`` heaviest) fill it up. A document that does not fit is cut, and its rest is the next
 window's seed, so every window is full. What is left at the end of a shard is cut into sequences whose
 lengths are powers of two, which need no padding.
 
@@ -17,6 +20,7 @@ first. Extra columns are ignored.
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,6 +185,46 @@ def document_frequencies(tokens: DataFrame, size: int = 1 << 16) -> np.ndarray:
     return out
 
 
+def heaviest_terms(ids: np.ndarray, weight: np.ndarray, mean: float, k1: float, b: float) -> int:
+    """The three heaviest terms of a document as one number; terms without a weight are left out."""
+    terms, tf = counts_of(ids)
+    heavy = weight[terms] * tf / (tf + k1 * (1 - b + b * len(ids) / mean))
+    best = terms[np.argsort(-heavy, kind="stable")[:3]][np.sort(-heavy)[:3] < 0].tolist()
+    first, second, third = best + [(1 << 16) - 1] * (3 - len(best))
+    return first << 32 | second << 16 | third
+
+
+def deal_by_content(tokens: DataFrame, weight: np.ndarray, mean: float, k1: float, b: float, shards: int, n_docs: int, per_shard: int = 64) -> DataFrame:
+    """doc_id, ids and shard: runs of documents in the order of their heaviest terms.
+
+    The cuts are set by the tokens of a sample of about ``per_shard`` documents a shard.
+    """
+    salted = tokens.select("doc_id", "n", "ids", F.xxhash64("doc_id", "n").alias("salt"))
+
+    def places(batch: pa.RecordBatch) -> list[tuple[int, int]]:
+        keys = [heaviest_terms(np.frombuffer(i, np.uint16), weight, mean, k1, b) for i in batch.column(2).to_pylist()]
+        return list(zip(keys, batch.column(3).to_pylist(), strict=True))
+
+    def locate(batch: pa.RecordBatch) -> dict:
+        return dict(zip(("n", "key", "salt"), (batch.column(1), *zip(*places(batch))), strict=True)) if batch.num_rows else {"n": [], "key": [], "salt": []}
+
+    cuts: list[tuple[int, int]] = []
+    if shards > 1:
+        one_in = max(1, n_docs // (shards * per_shard))
+        # other bits than those that order documents of the same terms
+        sample = salted.where(F.pmod(F.xxhash64("salt"), F.lit(one_in)) == 0)
+        found = sorted((r.key, r.salt, r.n + 1) for r in arrow_map(sample, locate, "n bigint, key bigint, salt bigint").collect())
+        ends = np.cumsum([n for *_, n in found])
+        if len(ends):
+            at = np.searchsorted(ends, np.arange(1, shards) * ends[-1] / shards)
+            cuts = sorted({found[k][:2] for k in at.tolist()})
+
+    def deal(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch.column(0), "ids": batch.column(2), "shard": [bisect_right(cuts, p) for p in places(batch)]}
+
+    return arrow_map(salted, deal, "doc_id bigint, ids binary, shard bigint")
+
+
 class Index:
     """BM25 inverted index of a shard."""
 
@@ -194,14 +238,14 @@ class Index:
         self.weights = idf[self.terms] * tf * (k1 + 1) / (tf + norm[owner])
         self.first = np.concatenate([[0], np.cumsum(sizes)])
         by_term = np.argsort(self.terms, kind="stable")
-        self.post_doc, self.post_weight = owner[by_term], self.weights[by_term]
+        self.post_doc, self.post_weight = owner[by_term].astype(np.int64), self.weights[by_term].astype(np.float64)
         self.post_first = np.searchsorted(self.terms[by_term], np.arange((1 << 16) + 1))
         self.size = len(docs)
 
-    def neighbours(self, doc: int, query_terms: int, used: np.ndarray) -> Iterator[int]:
-        """Unused documents that share a query term, best first."""
+    def neighbours(self, doc: int, query_terms: int | None, used: np.ndarray) -> Iterator[int]:
+        """Unused documents that share a query term, best first; None asks with all terms."""
         low, high = self.first[doc], self.first[doc + 1]
-        if high - low > query_terms:
+        if query_terms is not None and high - low > query_terms:
             heavy = low + np.argpartition(-self.weights[low:high], query_terms - 1)[:query_terms]
         else:
             heavy = np.arange(low, high)
@@ -220,7 +264,7 @@ class Index:
             found, best = found[scores[found] > 0], best * 4
 
 
-def fill_windows(lengths: list[int], index: Index, window: int, query_terms: int) -> Iterator[list[tuple[int, int, int]]]:
+def fill_windows(lengths: list[int], index: Index, window: int, query_terms: int | None) -> Iterator[list[tuple[int, int, int]]]:
     """Windows as lists of (document, start, length); all but the last one are full."""
     used = np.zeros(len(lengths), bool)
     pieces: list[tuple[int, int, int]] = []
@@ -274,7 +318,7 @@ def pack_documents(
     tokenizer: str | None = None,
     window: int = 2048,
     shard_tokens: int = 2_000_000,
-    query_terms: int = 24,
+    query_terms: int | None = None,
     k1: float = 1.2,
     b: float = 0.75,
 ) -> DataFrame:
@@ -309,8 +353,8 @@ def pack_documents(
                 sequence += 1
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds)], schema=kinds)
 
-    shard = F.pmod(F.xxhash64("doc_id", "n"), F.lit(shards))
-    return tokens.select("doc_id", "ids", shard.alias("shard")).groupBy("shard").applyInArrow(pack, PIECES)
+    shared = np.where(seen > 1, idf, 0)
+    return deal_by_content(tokens, shared, mean, k1, b, shards, n_docs).groupBy("shard").applyInArrow(pack, PIECES)
 
 
 def digest_pieces(pieces: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -21,7 +22,7 @@ from claimloom.llm.common import read_table
 from claimloom.llm.kneser_ney import classify, perplexities
 from claimloom.llm.merkle import differing_paragraphs, fingerprint_documents, merkle_tree
 from claimloom.llm.mixing import MIX_SQL, apportion, mix_sources
-from claimloom.llm.packing import WordTokens, digest_pieces, pack_documents
+from claimloom.llm.packing import Index, WordTokens, digest_pieces, pack_documents
 from claimloom.llm.packing import vocabulary_path as pack_vocabulary
 from claimloom.llm.rules import COUNTS, FEATURES, cover, judge, learn_rules, statistics
 from claimloom.llm.scanning import build_scanner, digest_spans, scan_documents, scan_texts
@@ -266,6 +267,31 @@ def test_packing_groups_alike(spark):
     assert np.mean([len(k) == 1 for k in kinds.values()]) > 0.8
 
 
+def test_packing_meets_over_shards(spark):
+    """Documents of one topic meet although the corpus has many shards, also where most are of one topic."""
+    draw = random.Random(4)
+    letters = "bcdfghklmnprstvz"
+    topics = [["".join(draw.choice(letters) + draw.choice("aeiou") for _ in range(3)) for _ in range(12)] for _ in range(24)]
+    topic = [k % 24 if k % 3 else 0 for k in range(1200)]
+    rows = [(k, " ".join(draw.choice(topics[t]) for _ in range(60))) for k, t in enumerate(topic)]
+    got = pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), shard_tokens=8192).collect()
+    kinds, sizes = defaultdict(Counter), Counter()
+    for g in got:
+        kinds[g.sequence_id][topic[g.doc_id]] += g.length
+        sizes[g.sequence_id >> 32] += g.length
+    assert len(sizes) > 10 and max(sizes.values()) < 3 * 8192
+    # half of the tokens if documents are dealt by a hash
+    assert sum(max(k.values()) for k in kinds.values()) > 0.7 * sum(sizes.values())
+
+
+def test_packing_asks_with_all_terms():
+    """A neighbour that shares only light terms of a long seed is found."""
+    seed = np.concatenate([np.repeat(np.arange(100, 140), 3), np.arange(200, 230)]).astype(np.uint16)
+    index = Index([seed, np.arange(300, 330, dtype=np.uint16), np.arange(200, 230, dtype=np.uint16)], np.ones(1 << 16, np.float32), 60.0, 1.2, 0.75)
+    default = inspect.signature(pack_documents).parameters["query_terms"].default
+    assert list(index.neighbours(0, default, np.array([True, False, False]))) == [2]
+
+
 # sharding
 
 
