@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import normalise_category
+from claimloom.session import stored
 
 MISSING = "NA"
 HASH_BITS = 60
@@ -72,17 +73,24 @@ def one_hot_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str], sep
     """The ones of the learned encoding, for any number of answers: ``(keep, feature, position)``.
 
     ``position`` numbers the features by column and answer, as the columns of ``one_hot_learned``. The
-    vocabulary is numbered per column, and stays distributed.
+    vocabulary is numbered within ranges of answers, whose totals are counted up per column, so a column
+    with an answer of its own in every row is no task's alone.
     """
     known = long_answers(df.na.fill(MISSING, list(columns)), columns, keep)
-    counts = known.select("name", "answer").distinct()
+    ranges = known.select("name", "answer").distinct().repartitionByRange("name", "answer")
+    # stored, since the ranges are sampled
+    counts = stored(ranges.withColumn("_range", F.spark_partition_id()), "answers")
+    totals = counts.groupBy("name", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("name", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     sizes = {r.name: r.n for r in counts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
     before, total = {}, 0
     for c in columns:
         before[c], total = total, total + sizes.get(c, 0)
     start = reduce(lambda case, c: case.when(F.col("name") == c, before[c]), columns, F.when(F.lit(False), 0))
-    place = F.row_number().over(Window.partitionBy("name").orderBy("answer")) - 1
-    numbered = counts.select("name", "answer", (start + place).cast("bigint").alias("position"))
+    place = F.row_number().over(Window.partitionBy("name", "_range").orderBy("answer")) - 1
+    placed = counts.withColumn("_place", place).join(totals, ["name", "_range"])
+    numbered = placed.select("name", "answer", (start + F.col("_before") + F.col("_place")).cast("bigint").alias("position"))
     return known.join(numbered, ["name", "answer"]).select(*keep, F.concat_ws(sep, "name", "answer").alias("feature"), "position")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 import numpy as np
@@ -271,3 +272,23 @@ def test_work_folders_are_removed(spark):
 def test_shared_folder_follows_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert shared_folder(spark) == folder.rstrip("/")
+
+
+def test_one_hot_long_numbers_by_ranges(spark):
+    """Answers of two open-ended columns are numbered in order, and not one column in one task."""
+    coalesce, least = "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"
+    before = {k: spark.conf.get(k) for k in (coalesce, least)}
+    try:
+        spark.conf.set(coalesce, "false")
+        spark.conf.set(least, "7")
+        wide = spark.range(3000).selectExpr("id", "concat('a', id) as v", "concat('b', id % 1000) as w")
+        long = features.one_hot_long(wide, ["w", "v"], ["id"])
+        got = {(r.feature, r.position) for r in long.collect()}
+        plan = long._jdf.queryExecution().analyzed().toString()
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+    names = [f"w_{x}" for x in sorted(f"b{k}" for k in range(1000))] + [f"v_{x}" for x in sorted(f"a{k}" for k in range(3000))]
+    assert got == {(name, k) for k, name in enumerate(names)}
+    specs = re.findall(r"row_number\(\) windowspecdefinition\((.*?)\)", plan)
+    assert specs and all("_range" in spec for spec in specs)
