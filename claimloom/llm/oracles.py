@@ -87,3 +87,16 @@ WITH turns AS (
 )
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM whole
 """
+
+
+_QUINT = "translate(to_base(('0x' || substr(sha1(html), 5 * i + 1, 5))::BIGINT, 32, 4), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')"
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+placed AS (
+  SELECT *, row_number() OVER same = 1 AS first, first_value(page_id) OVER same AS head FROM p
+  WINDOW same AS (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST)
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, array_to_string(list_transform(range(8), lambda i: {_QUINT}), '') AS payload_digest,
+  CASE WHEN first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN NOT first THEN head END AS refers_to
+FROM placed
+"""

@@ -11,11 +11,12 @@ from claimloom.llm.line_dedup import drop_repeated_lines
 from claimloom.llm.merkle import fingerprint_documents
 from claimloom.llm.minhash import near_duplicates
 from claimloom.llm.mixing import MIX_SQL, mix_sources
-from claimloom.llm.oracles import CHAT_SQL, MERKLE_SQL, NEAR_SQL
+from claimloom.llm.oracles import CHAT_SQL, MERKLE_SQL, NEAR_SQL, WARC_SQL
 from claimloom.llm.packing import digest_pieces, pack_documents
 from claimloom.llm.rules import COUNTS, judge, learn_rules, statistics
 from claimloom.llm.scanning import digest_spans, scan_documents
 from claimloom.llm.sharding import shard_documents
+from claimloom.llm.warc import archive_pages
 from claimloom.session import stored
 
 
@@ -65,6 +66,10 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(scan_documents(read_table(spark, sf_dir, "documents")))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +83,7 @@ QUERIES = {
         op8_kneser_ney,
         op9_token_chat,
         op10_secret_automaton,
+        op13_warc,
     )
 }
-ORACLE = {"op2_min_max_hash": NEAR_SQL, "op3_sainte_lague": MIX_SQL, "op6_merkle": MERKLE_SQL, "op9_token_chat": CHAT_SQL}
+ORACLE = {"op2_min_max_hash": NEAR_SQL, "op3_sainte_lague": MIX_SQL, "op6_merkle": MERKLE_SQL, "op9_token_chat": CHAT_SQL, "op13_warc": WARC_SQL}
