@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,6 +64,11 @@ def arrow_map(df: DataFrame, function: Callable, schema: str, size: int = 4 << 2
     return df.mapInArrow(run, schema)
 
 
+def worker_memory() -> dict:
+    """What a Python worker keeps from task to task; the globals of functions that travel by value are new in each."""
+    return vars(sys.modules.setdefault("_claimloom_worker", ModuleType("_claimloom_worker"))).setdefault("memory", {})
+
+
 def pa_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimloom.llm.alignment import align_tokenizers
 from claimloom.llm.chat import format_turns, read_back
 from claimloom.llm.common import read_table
 from claimloom.llm.kneser_ney import classify
@@ -66,6 +67,10 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(scan_documents(read_table(spark, sf_dir, "documents")))
 
 
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read_table(spark, sf_dir, "documents"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(read_table(spark, sf_dir, "pages"))
 
@@ -83,6 +88,7 @@ QUERIES = {
         op8_kneser_ney,
         op9_token_chat,
         op10_secret_automaton,
+        op12_pair_bitmaps,
         op13_warc,
     )
 }
