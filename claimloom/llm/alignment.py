@@ -27,6 +27,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ POSTING = "pair bigint, n bigint, links bigint, dense boolean, docs binary, plan
 BLOCKS = f"block bigint, place int, {DOCUMENT}, {POSTING}"
 MANY = 1 << 16
 
+
 def ramp(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... up to each length, one run behind the other."""
     return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -54,7 +56,7 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
 class Aligner:
     """Both tokenizers, and the alignment of the words met so far (at most about ``most``, then anew)."""
 
-    def __init__(self, path_a: str, path_b: str, most: int = 200_000) -> None:
+    def __init__(self, path_a: str, path_b: str, most: int = 400_000) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -72,6 +74,8 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
         self.by_word = not any(re.search("[^▁]▁|\n", p) for p in pieces)
         self.space = self.b.piece_to_id("▁")
+        # ids of A, then of B, in pairs: within a group, and at the end of its tokens of A or B
+        self.names = [f"{k}{mark}".encode() for last in "|;" for k in range(MANY) for mark in (",", last)]
         self.most = most
         self.clear()
 
@@ -92,24 +96,24 @@ class Aligner:
                 found[k] = found[k][1:] if found[k][0] == self.space else []
         return found
 
-    def learn(self, words: list[str]) -> None:
-        """Encode and align words, all at once."""
-        plain = [w.encode() for w in words]
-        of_b = self.encode_b(words)
-        whole = [b"".join([self.bytes_b[i] for i in ids]) == p for ids, p in zip(of_b, plain, strict=True)]
-        for word, right in zip(words, whole, strict=True):
-            if not right:
-                self.known[word] = -1
-        good = [k for k, right in enumerate(whole) if right]
-        joined = [k for k in good if ALONE.fullmatch(words[k])] if self.by_word else []
-        apart = sorted(set(good).difference(joined))
-        order = joined + apart
-        if not order:
+    def learn(self, words: list[str], apart: set[str]) -> None:
+        """Encode and align words, all at once; those ``apart`` may not be encoded behind another word."""
+        words = [w for w in words if w not in apart] + [w for w in words if w in apart]
+        of_b, sizes = self.encode_b(words), np.array([len(w.encode()) for w in words], np.int64)
+        ids_b = np.fromiter(chain.from_iterable(of_b), np.int64)
+        ends = np.cumsum(np.fromiter(map(len, of_b), np.int64, len(of_b)))
+        spelt = np.concatenate([[0], np.cumsum(self.size_b[ids_b])])[np.concatenate([[0], ends])]
+        if (np.diff(spelt) != sizes).any() or b"".join(map(self.bytes_b.__getitem__, ids_b.tolist())) != "".join(words).encode():
+            right = [b"".join([self.bytes_b[i] for i in ids]) == w.encode() for ids, w in zip(of_b, words, strict=True)]
+            self.known.update((w, -1) for w, r in zip(words, right, strict=True) if not r)
+            words, sizes = [w for w, r in zip(words, right, strict=True) if r], sizes[right]
+            ids_b = np.fromiter(chain.from_iterable(compress(of_b, right)), np.int64)
+        if not words:
             return
-        texts = ["".join([words[k] for k in joined[i : i + 256]]) for i in range(0, len(joined), 256)] + [words[k] for k in apart]
+        joined = len(words) - sum(w in apart for w in words) if self.by_word else 0
+        texts = ["".join(words[k : min(k + 256, joined)]) for k in range(0, joined, 256)] + words[joined:]
         ids_a = np.concatenate([np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
-        ids_b = np.concatenate([np.array(of_b[k], np.int64) for k in order])
-        self.align([words[k] for k in order], np.array([len(plain[k]) for k in order]), ids_a, ids_b)
+        self.align(words, sizes, ids_a, ids_b)
 
     def align(self, words: list[str], sizes: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> None:
         """Add words whose tokens stand one behind the other."""
@@ -121,44 +125,49 @@ class Aligner:
         of_a = np.repeat(np.arange(len(ids_a)), high - low)
         self.pairs.frombytes((ids_a[of_a] << 16 | ids_b[np.repeat(low, high - low) + ramp(high - low)]).tobytes())
         word_a, word_b, word_cut = (np.searchsorted(ends, x) for x in (end_a, end_b, cuts))
-        links = np.bincount(word_a, high - low, len(words)).astype(np.int64)
-        self.first.frombytes((self.first[-1] + np.cumsum(links)).tobytes())
-        n_groups = np.bincount(word_cut, minlength=len(words))
-        self.counts.frombytes(np.stack([np.bincount(word_a, minlength=len(words)), np.bincount(word_b, minlength=len(words)), n_groups], 1).astype(np.int64).tobytes())
-
-        said_a, said_b = [str(i) for i in ids_a.tolist()], [str(i) for i in ids_b.tolist()]
-        until_a, until_b = (np.searchsorted(x, cuts, "right").tolist() for x in (end_a, end_b))
-        said, from_a, from_b = [], 0, 0
-        for i, j in zip(until_a, until_b, strict=True):
-            said.append(f"{','.join(said_a[from_a:i])}|{','.join(said_b[from_b:j])}")
-            from_a, from_b = i, j
-        at = 0
-        for word, n in zip(words, n_groups.tolist(), strict=True):
+        self.first.frombytes((self.first[-1] + np.cumsum(np.bincount(word_a, high - low, len(words)).astype(np.int64))).tobytes())
+        numbers = [np.bincount(x, minlength=len(words)) for x in (word_a, word_b, word_cut)]
+        self.counts.frombytes(np.stack(numbers, 1).astype(np.int64).tobytes())
+
+        # the tokens of a group in the order of their names, each with the mark behind it
+        cut_a, cut_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        until_a, until_b = np.searchsorted(end_a, cuts, "right"), np.searchsorted(end_b, cuts, "right")
+        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        codes[np.arange(len(ids_a)) + np.concatenate([[0], until_b])[cut_a]] = 2 * ids_a + (end_a == cuts[cut_a])
+        codes[np.arange(len(ids_b)) + until_a[cut_b]] = 2 * (ids_b + MANY) + (end_b == cuts[cut_b])
+        said = list(map(self.names.__getitem__, codes.tolist()))
+        start = 0
+        for word, end in zip(words, np.cumsum(numbers[0] + numbers[1]).tolist(), strict=True):
             self.known[word] = len(self.groups)
-            self.groups.append(";".join(said[at : at + n]).encode())
-            at += n
+            self.groups.append(b"".join(said[start:end]))
+            start = end
 
     def documents(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Tokens of A, of B, groups and links of each text; digests of the groups; all links as (text, pair)."""
         cut = [self.words(t) if t else [] for t in texts]
-        fresh = {w for words in cut for w in words}
-        if len(self.known) + len(fresh.difference(self.known)) > self.most:
+        fresh = set().union(*cut)
+        apart = {w for words in cut if words for w in (words[0], words[-1]) if not ALONE.fullmatch(w)}
+        new = fresh.difference(self.known)
+        if len(self.known) + len(new) > self.most:
             self.clear()
-        self.learn(list(fresh.difference(self.known)))
+            new = fresh
+        self.learn(list(new), apart.intersection(new))
         places = []
         for text, words in zip(texts, cut, strict=True):
-            found = [self.known[w] for w in words]
+            found = list(map(self.known.__getitem__, words))
             if -1 in found:
                 found = self.unlike(text)
             places.append(found)
-        digests = [hashlib.sha256(b";".join([self.groups[k] for k in found])).hexdigest() if found else "" for found in places]
-        owner = np.repeat(np.arange(len(texts)), [len(p) for p in places])
-        at = np.array([k for found in places for k in found], np.int64)
+        # each word ends with a mark, the last one is left out
+        digests = [hashlib.sha256(b"".join(map(self.groups.__getitem__, found))[:-1]).hexdigest() if found else "" for found in places]
+        lengths = np.array([len(p) for p in places], np.int64)
+        at = np.fromiter(chain.from_iterable(places), np.int64)
         first, counts, pairs = np.array(self.first), np.array(self.counts).reshape(-1, 3), np.frombuffer(self.pairs, np.int64)
         n_links = first[at + 1] - first[at]
-        sums = np.zeros((len(texts), 4), np.int64)
-        np.add.at(sums, owner, np.concatenate([counts[at], n_links[:, None]], 1))
-        return sums, digests, np.repeat(owner, n_links), pairs[np.repeat(first[at], n_links) + ramp(n_links)]
+        running = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(np.concatenate([counts[at], n_links[:, None]], 1), 0)])
+        ends = np.cumsum(lengths)
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        return running[ends] - running[ends - lengths], digests, np.repeat(owner, n_links), pairs[np.repeat(first[at], n_links) + ramp(n_links)]
 
     def unlike(self, text: str) -> list[int]:
         """A text with a word that B does not spell, taken whole; none if its tokens do not spell it."""
@@ -260,7 +269,7 @@ def unpack_postings(dense: np.ndarray, n: np.ndarray, docs: pa.Array, planes: pa
     return row, found, links
 
 
-def align_documents(docs: DataFrame, path_a: str, path_b: str, most: int = 8_000_000) -> DataFrame:
+def align_documents(docs: DataFrame, path_a: str, path_b: str, most: int = 2_000_000) -> DataFrame:
     """A row per document and a row per posting, see BLOCKS; the first have no pair, the second no place."""
     kinds = pa_schema(docs.sparkSession, BLOCKS)
 
@@ -337,7 +346,7 @@ def score_blocks(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     return joined.groupBy("block").applyInArrow(score, schema)
 
 
-def align_tokenizers(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, most: int = 8_000_000) -> DataFrame:
+def align_tokenizers(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, most: int = 2_000_000) -> DataFrame:
     """One row per document: its tokens, groups and links, and what its links are worth in the whole corpus."""
     blocks = stored(align_documents(docs, path_a or vocabulary_path(BYTE_LEVEL), path_b or vocabulary_path(PIECES), most), "align-blocks")
     scores = score_blocks(blocks, pair_counts(blocks))
