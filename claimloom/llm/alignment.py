@@ -56,7 +56,7 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
 class Aligner:
     """Both tokenizers, and the alignment of the words met so far (at most about ``most``, then anew)."""
 
-    def __init__(self, path_a: str, path_b: str, most: int = 400_000) -> None:
+    def __init__(self, path_a: str, path_b: str, most: int = 150_000) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -269,7 +269,7 @@ def unpack_postings(dense: np.ndarray, n: np.ndarray, docs: pa.Array, planes: pa
     return row, found, links
 
 
-def align_documents(docs: DataFrame, path_a: str, path_b: str, most: int = 2_000_000) -> DataFrame:
+def align_documents(docs: DataFrame, path_a: str, path_b: str, most: int = 1_000_000) -> DataFrame:
     """A row per document and a row per posting, see BLOCKS; the first have no pair, the second no place."""
     kinds = pa_schema(docs.sparkSession, BLOCKS)
 
@@ -289,7 +289,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, most: int = 2_000
                 whole = rows(packed, len(packed["pair"]))
                 yield from (whole.slice(k, 50_000) for k in range(0, whole.num_rows, 50_000))
 
-        for batch in slices(batches):
+        for batch in slices(batches, 2 << 20):
             for start in range(0, batch.num_rows, 16_384):
                 part = batch.slice(start, 16_384)
                 if documents and (held > most or documents + part.num_rows > MANY):
@@ -330,6 +330,7 @@ def score_blocks(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     kinds = pa_schema(blocks.sparkSession, schema)
 
     def score(table: pa.Table) -> pa.Table:
+        worker_memory().clear()  # the words are not needed any more
         table = table.combine_chunks()
         one = {name: table[name].chunk(0) for name in table.column_names}
         row, docs, links = unpack_postings(np.array(one["dense"]), np.array(one["n"]), one["docs"], one["planes"])
@@ -346,7 +347,7 @@ def score_blocks(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     return joined.groupBy("block").applyInArrow(score, schema)
 
 
-def align_tokenizers(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, most: int = 2_000_000) -> DataFrame:
+def align_tokenizers(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, most: int = 1_000_000) -> DataFrame:
     """One row per document: its tokens, groups and links, and what its links are worth in the whole corpus."""
     blocks = stored(align_documents(docs, path_a or vocabulary_path(BYTE_LEVEL), path_b or vocabulary_path(PIECES), most), "align-blocks")
     scores = score_blocks(blocks, pair_counts(blocks))
