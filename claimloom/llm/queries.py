@@ -17,6 +17,7 @@ from claimloom.llm.packing import digest_pieces, pack_documents
 from claimloom.llm.rules import COUNTS, judge, learn_rules, statistics
 from claimloom.llm.scanning import digest_spans, scan_documents
 from claimloom.llm.sharding import shard_documents
+from claimloom.llm.spelling import spelling_variants
 from claimloom.llm.warc import archive_pages
 from claimloom.session import stored
 
@@ -67,6 +68,10 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_spans(scan_documents(read_table(spark, sf_dir, "documents")))
 
 
+def op11_trie_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(read_table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ QUERIES = {
         op8_kneser_ney,
         op9_token_chat,
         op10_secret_automaton,
+        op11_trie_frontier,
         op12_pair_bitmaps,
         op13_warc,
     )
