@@ -69,29 +69,38 @@ def count_words(docs: DataFrame, least: int = 7, one_in: int = 31, most: int = 2
     return found.where(F.char_length("word") >= least).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
 def length_bit(length: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.least(length, F.lit(MASK)))
+    return bit(F.least(length, F.lit(MASK)))
+
+
+def letter_bit(code: Column) -> Column:
+    """A bit of a letter's code point, which a few letters share."""
+    return bit((code % 63).cast("int"))
 
 
 def named(text: str) -> bytes:
     return text.encode() if len(text) <= SHORT else b"#" + hashlib.sha256(text.encode()).digest()
 
 
-def path_nodes(word: str, backward: bool) -> Iterator[tuple[int, bytes, str]]:
-    """(depth, node, next letter) of the second half of a word's path, one letter earlier than the word's
+def path_nodes(word: str, backward: bool) -> Iterator[tuple[int, bytes, int]]:
+    """(depth, node, code point of the next letter) of the second half of a word's path, one letter earlier than the word's
     own edits start: words that are one letter shorter start there."""
     mark, path = (b">", word[::-1]) if backward else (b"<", word)
     start = len(path) // 2 if backward else (len(path) - 1) // 2
     running = hashlib.sha256(path[:start].encode())
     letters = path + END
     for depth in range(start, len(path) + 1):
-        yield depth, mark + (path[:depth].encode() if depth <= SHORT else b"#" + running.digest()), letters[depth]
+        yield depth, mark + (path[:depth].encode() if depth <= SHORT else b"#" + running.digest()), ord(letters[depth])
         running.update(letters[depth].encode())
 
 
 def paths(words: DataFrame) -> DataFrame:
     """id (of the word), backward, depth, node and letter of all paths."""
-    schema = "id binary, backward boolean, depth int, node binary, letter string"
+    schema = "id binary, backward boolean, depth int, node binary, letter int"
     kinds = pa_schema(words.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,14 +121,16 @@ def paths(words: DataFrame) -> DataFrame:
 
 
 def tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The steps of all words, (word, backward, depth, node, child, rest, label), and the edges they make.
+    """The steps of all words, (word, backward, depth, node, child, ahead, rest, label), and the edges they make.
 
     Only nodes where words part are kept: a label leads to the next such node, or to the end of a word.
+    ``ahead`` has the bits of the letters that follow at the child.
     """
     all_nodes = stored(paths(words), "trie-paths")
-    letters = all_nodes.select("node", "letter").distinct()
-    parting = letters.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    mine = all_nodes.join(parting, "node", "left_semi").groupBy("id", "backward").agg(F.array_sort(F.collect_list(F.struct("depth", "node"))).alias("nodes"))
+    ahead = F.bit_or(letter_bit(F.col("letter"))).alias("ahead")
+    parting = all_nodes.groupBy("node").agg(F.min("letter").alias("first"), F.max("letter").alias("last"), ahead).where("first < last").select("node", "ahead")
+    kept = all_nodes.join(parting, "node").groupBy("id", "backward")
+    mine = kept.agg(F.array_sort(F.collect_list(F.struct("depth", "node", "ahead"))).alias("nodes"))
 
     def names(batch: pa.RecordBatch) -> dict:
         return {"word": batch.column(0), "id": [named(w) for w in batch.column(0).to_pylist()]}
@@ -130,12 +141,12 @@ def tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     following = F.get("nodes", F.col("k") + 1)
     rest = F.substring(letters, F.col("here.depth") + 1, F.char_length("word") + 1)
     steps = placed.select(
-        "word", "backward", F.col("here.depth").alias("depth"), F.col("here.node").alias("node"), following["node"].alias("child"), rest.alias("rest"), (following["depth"] - F.col("here.depth")).alias("n")
+        "word", "backward", F.col("here.depth").alias("depth"), F.col("here.node").alias("node"), following["node"].alias("child"), following["ahead"].alias("ahead"), rest.alias("rest"), (following["depth"] - F.col("here.depth")).alias("n")
     ).withColumn("label", F.when(F.col("n").isNull(), F.col("rest")).otherwise(F.substring("rest", F.lit(1), F.col("n"))))
     steps = stored(steps.drop("n"), "trie-steps")
-    edges = steps.groupBy("node", F.substring("label", 1, 1).alias("letter")).agg(
-        F.first("label").alias("label"), F.first("child").alias("child"), F.max(F.when(F.col("child").isNull(), F.col("word"))).alias("found"), F.bit_or(length_bit(F.char_length("word"))).alias("lengths")
-    )
+    # what an edge leads to is the same for all words on it; only an edge to the end of a word has one word
+    found = F.when(F.col("child").isNull(), F.col("word")).alias("found")
+    edges = steps.groupBy("node", F.substring("label", 1, 1).alias("letter"), "label", "child", "ahead", found).agg(F.bit_or(length_bit(F.char_length("word"))).alias("lengths"))
     return steps, stored(edges, "trie-edges")
 
 
@@ -144,7 +155,7 @@ def one_edit_pairs(words: DataFrame) -> DataFrame:
     steps, edges = tries(words)
     n = F.char_length("word")
     start = F.when(F.col("backward"), n - F.floor(n / 2)).otherwise(F.floor(n / 2))
-    edge = edges.select(F.col("node"), F.col("letter"), F.col("label").alias("_label"), F.col("child").alias("_child"), "found", "lengths")
+    edge = edges.select(F.col("node"), F.col("letter"), F.col("label").alias("_label"), F.col("child").alias("_child"), F.col("ahead").alias("_ahead"), "found", "lengths")
     size = F.char_length("_label")
 
     def fits(target: Column) -> Column:
@@ -153,9 +164,12 @@ def one_edit_pairs(words: DataFrame) -> DataFrame:
     def after(k: int) -> Column:  # what is left behind the label and k letters more
         return F.substring("rest", size + 1 + k, F.char_length("rest"))
 
+    def goes_on(left: Column) -> Column:
+        return F.col("_child").isNull() | (F.col("_ahead").bitwiseAND(letter_bit(F.ascii(left))) != 0)
+
     begun = steps.where((F.col("depth") >= start) & (F.col("depth") < n)).select("word", "rest", "node")
-    replaced = (F.col("letter") > F.substring("rest", 1, 1)) & F.startswith(F.substring("rest", F.lit(2), F.char_length("rest")), F.substring("_label", F.lit(2), size)) & fits(n)
-    left_out = F.startswith(F.substring("rest", F.lit(2), F.char_length("rest")), F.col("_label")) & fits(n - 1)
+    replaced = (F.col("letter") > F.substring("rest", 1, 1)) & F.startswith(F.substring("rest", F.lit(2), F.char_length("rest")), F.substring("_label", F.lit(2), size)) & fits(n) & goes_on(after(0))
+    left_out = F.startswith(F.substring("rest", F.lit(2), F.char_length("rest")), F.col("_label")) & fits(n - 1) & goes_on(after(1))
     met = begun.join(edge, "node").where(replaced | left_out)
     both = F.array(
         F.when(replaced, F.struct(after(0).alias("rest"), n.alias("target"))), F.when(left_out, F.struct(after(1).alias("rest"), (n - 1).alias("target")))
@@ -165,7 +179,7 @@ def one_edit_pairs(words: DataFrame) -> DataFrame:
     pairs = [level.where("node IS NULL").select("word", "found")]
     while not (states := level.where("node IS NOT NULL").select(*STATE)).isEmpty():
         asked = states.withColumn("letter", F.substring("rest", 1, 1))
-        met = asked.join(edge, ["node", "letter"]).where(F.startswith("rest", "_label") & fits(F.col("target")))
+        met = asked.join(edge, ["node", "letter"]).where(F.startswith("rest", "_label") & fits(F.col("target")) & goes_on(after(0)))
         level = stored(met.select("word", after(0).alias("rest"), F.col("_child").alias("node"), "target", "found"), "trie-states")
         pairs.append(level.where("node IS NULL").select("word", "found"))
     every = pairs[0]
