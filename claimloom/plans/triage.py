@@ -9,6 +9,7 @@ from claimloom.config.schemas import TEXT_CLAIM
 from claimloom.config.vocabulary import CODE_VOCABULARY, TEXT_VOCABULARY
 from claimloom.functions import text
 from claimloom.operators import features, metrics, models, series
+from claimloom.operators.boosting import Setting, load_boosted, search_boosted, train_boosted
 from claimloom.plans import views
 from claimloom.session import stored, work_path
 from claimloom.sources.readers import read_training
@@ -77,13 +78,27 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.groupBy("labels").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test"))
 
 
+MULTICLASS = Setting(models.BOOSTING["maxDepth"], models.BOOSTING["stepSize"], models.BOOSTING["maxIter"], seed=models.BOOSTING["seed"])
+
+
 def triage_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trained on one side, stored, loaded and used on the other side."""
-    split = stored(features.stratified_split(views.claims(spark, sf_dir), "labels", ["claim_id"]), "split")
-    model = models.train_multiclass(split.filter(~F.col("is_test")), TEXT_COLUMNS, "labels", keys=["claim_id"])
+    """Trained on one side, for all classes jointly, stored, loaded and used on the other side."""
+    claims = features.normalise_columns(views.claims(spark, sf_dir), TEXT_COLUMNS)
+    split = stored(features.stratified_split(claims, "labels", ["claim_id"]), "split")
+    model = train_boosted(split.filter(~F.col("is_test")), TEXT_COLUMNS, "labels", MULTICLASS, keys=["claim_id"])
     path = work_path(spark, "model")
-    models.save_model(model, path)
-    return models.score(split.filter("is_test"), models.load_model(path), ["claim_id", "labels"])
+    model.save(spark, path)
+    return load_boosted(spark, path).score(split.filter("is_test"), ["claim_id", "labels"])
+
+
+def triage_score_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every scored claim: whether its confidence is a percentage with two decimals, above that of a guess,
+    and whether its class is one of the training's."""
+    scored = triage_score(spark, sf_dir)
+    classes = stored(views.claims(spark, sf_dir).select(F.col("labels").alias("recommendedServiceCode")).distinct(), "classes")
+    known = scored.join(classes.withColumn("known_class", F.lit(True)), "recommendedServiceCode", "left")
+    percent = F.col("confidenceScore").rlike(r"^[0-9]{1,3}\.[0-9]{2}$") & F.col("confidenceScore").cast("double").between(20, 100)
+    return known.select("claim_id", "labels", percent.alias("is_percentage"), F.coalesce("known_class", F.lit(False)).alias("known_class"))
 
 
 def triage_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,34 +118,35 @@ def triage_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.score(split.filter("is_test"), model, ["event_id", "labels"])
 
 
-SMALL_GRID = {
+# points of FULL_GRID; the numbers of rounds are prefixes of one fit
+GRID = {
     "maxDepth": [2, 3],
     "stepSize": [0.1],
-    "maxIter": [5],
-    "subsamplingRate": [1.0],
-    "featureSubsetStrategy": ["0.8", "all"],
+    "maxIter": [50, 100],
+    "subsamplingRate": [0.8, 1.0],
+    "featureSubsetStrategy": ["0.8"],
 }
 
 
 def searched(spark: SparkSession, sf_dir: str):
-    """Rows with their side, and the search over the training side."""
+    """Rows with their side, the results of the search over the training side, and its best model."""
     split = stored(features.hash_split(repeat_claims(spark, sf_dir), ["event_id"], test=0.3), "split")
-    train = split.filter(~F.col("is_test"))
-    return split, *models.grid_search(train, CODE_COLUMNS, "labels", ["event_id"], SMALL_GRID)
+    return split, *search_boosted(split.filter(~F.col("is_test")), CODE_COLUMNS, "labels", ["event_id"], GRID)
 
 
 def triage_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-validated accuracy of every grid point."""
-    split, _, search = searched(spark, sf_dir)
-    return models.grid_results(split, search, SMALL_GRID)
+    """Rows and right answers of every grid point and fold."""
+    _, results, _ = searched(spark, sf_dir)
+    rows = [(*[str(point[name]) for name in GRID], fold, n, right) for point, fold, n, right in results]
+    return spark.createDataFrame(rows, ", ".join([f"{name} string" for name in GRID] + ["fold int", "n bigint", "n_right bigint"]))
 
 
 def triage_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best grid point's answers on the held-out side, and how many are right."""
-    split, best, _ = searched(spark, sf_dir)
-    scored = models.score(split.filter("is_test"), best, ["event_id", "labels"])
-    right = F.avg((F.col("labels") == F.col("recommendedServiceCode")).cast("int"))
-    return scored.groupBy("labels").agg(F.count(F.lit(1)).alias("n"), (right > 0.9).alias("mostly_right"))
+    """The best grid point's answers on the held-out side: rows and right answers of each class."""
+    split, _, best = searched(spark, sf_dir)
+    scored = best.score(split.filter("is_test"), ["event_id", "labels"])
+    right = F.count_if(F.col("labels") == F.col("recommendedServiceCode"))
+    return scored.groupBy("labels").agg(F.count(F.lit(1)).alias("n"), right.alias("n_right"))
 
 
 def demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +216,7 @@ QUERIES = {
     "stratified_rows": stratified_rows,
     "stratified_split": stratified_split,
     "triage_score": triage_score,
+    "triage_score_form": triage_score_form,
     "triage_multiclass": triage_multiclass,
     "triage_binary": triage_binary,
     "triage_grid": triage_grid,
@@ -260,10 +277,19 @@ ORACLE = {
         select o_orderkey, name || '_' || answer as feature, position from known join numbered using (col, answer)""",
     "hash_split": f"""with {CLAIMS_SQL} select claim_id, labels,
         ('0x' || substr(md5('42|' || claim_id), 1, 15))::bigint / 1152921504606846976.0 < 0.3 as is_test from claims""",
+    # the labels follow a rule on the answers, which a right search finds: all held-out answers are right
     "triage_holdout": f"""with claims as ({views.coded_claims_sql()}), labelled as (select event_id,
           case when "PerilTypeID" = 'HAIL' and "Status" in ('CSLS', 'CSLT') then 'yes' else 'no' end as labels from claims)
-        select labels, count(*) as n, true as mostly_right from labelled
+        select labels, count(*) as n, count(*) as n_right from labelled
         where ('0x' || substr(md5('42|' || event_id), 1, 15))::bigint / 1152921504606846976.0 < 0.3 group by labels""",
+    "triage_grid": """with hashed as (select ('0x' || substr(md5('42|' || event_id), 1, 15))::bigint as h from events),
+        folds as (select cast(h % 3 as integer) as fold, count(*) as n from hashed where h / 1152921504606846976.0 >= 0.3 group by 1)
+        select d as "maxDepth", '0.1' as "stepSize", r as "maxIter", s as "subsamplingRate", '0.8' as "featureSubsetStrategy", fold, n, n as n_right
+        from folds, unnest(['2', '3']) as a(d), unnest(['50', '100']) as b(r), unnest(['0.8', '1.0']) as c(s)""",
+    "triage_score_form": f"""with {CLAIMS_SQL}, hashed as (select claim_id, labels, ('0x' || substr(md5('42|' || claim_id), 1, 15))::bigint as h from claims),
+        sides as (select *, row_number() over (partition by labels order by h, claim_id) <= round(count(*) over (partition by labels) * 0.25) as is_test
+          from hashed)
+        select claim_id, labels, true as is_percentage, true as known_class from sides where is_test""",
     "stratified_rows": f"""with {CLAIMS_SQL}, hashed as (select claim_id, labels, ('0x' || substr(md5('42|' || claim_id), 1, 15))::bigint as h from claims)
         select claim_id, labels, row_number() over (partition by labels order by h, claim_id)
           <= round(count(*) over (partition by labels) * 0.25) as is_test from hashed""",
