@@ -2,8 +2,13 @@
 
 The model follows the published additive form (Taylor & Letham, "Forecasting at Scale", 2018): a
 piecewise linear trend with change points in the first 80 % of the history and a yearly Fourier
-season. It is fitted by ridge least squares without sampling, so equal input gives equal output; it
-is not numerically equal to a Bayesian fit.
+season. The changes of slope have a Laplace prior, so that most are close to zero; the fit is the most likely
+one, found by reweighted least squares without sampling, so equal input gives equal output.
+
+The band has three parts: the noise, the uncertainty of the trend (with change points up to the end of
+the history), and the change points still to come. These are taken to arrive as often as in the history, with
+changes of the size that the series shows, so the variance they add to the trend grows with the cube of the
+time ahead.
 
 What scales with the data is the weekly aggregation in front (``series.weekly_series``). One group
 here is one series of weeks, a few hundred rows whatever the number of invoices.
@@ -30,8 +35,10 @@ YEAR = 365.25
 CHANGE_POINTS = 25
 FOURIER_PAIRS = 10
 BAND = 1.2816  # 80 % of a normal distribution
-TREND_PENALTY = 1.0
-SEASON_PENALTY = 0.01
+CHANGE_SCALE = 0.05  # of the Laplace prior, with time and values scaled to one
+SEASON_SCALE = 10.0
+STEPS = 30
+KNOWN_PART = 0.8  # of the history, in which change points are fitted
 
 
 def _design(days: np.ndarray, scale: float, knots: np.ndarray, pairs: int) -> np.ndarray:
@@ -41,18 +48,48 @@ def _design(days: np.ndarray, scale: float, knots: np.ndarray, pairs: int) -> np
     return np.hstack([np.ones((len(t), 1)), t[:, None], hinges, np.sin(angles), np.cos(angles)])
 
 
-def fit_predict(days: np.ndarray, y: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, float]:
-    """Prediction for the days ahead and the residual deviation; days count from the first point."""
+def fit_trend(x: np.ndarray, y: np.ndarray, changes: int) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """The most likely coefficients of level, slope, changes and season, their covariance, the mean square of a
+    change and the residual variance.
+
+    |d| is bounded by d * d / (2 c) + c / 2, which is tight for c = |d|: each step is a least-squares fit. The
+    scale of the changes and the noise are learned from the series: each step takes what the coefficients and
+    their uncertainty say (expectation maximisation).
+    """
+    season = x.shape[1] - 2 - changes
+    size, spread, noise = np.full(changes, CHANGE_SCALE), CHANGE_SCALE, max(float(np.var(y)), 1e-12)
+    gram, moments = x.T @ x, x.T @ y
+    free, wide = np.full(2, 1e-9), np.full(season, SEASON_SCALE**-2)
+    for _ in range(STEPS):
+        # of equally wide priors, for the uncertainty
+        prior = np.concatenate([free, np.full(changes, 1 / (2 * spread**2)), wide])
+        known = np.linalg.inv(gram / noise + np.diag(prior))
+        mean = known @ moments / noise
+        sparse = np.concatenate([free, 1 / (spread * np.maximum(size, 1e-4)), wide])
+        beta = np.linalg.solve(gram + noise * np.diag(sparse), moments)
+        size = np.abs(beta[2 : 2 + changes])
+        square = mean[2 : 2 + changes] ** 2 + np.diag(known)[2 : 2 + changes]
+        spread = max(float(np.sqrt(np.mean(square) / 2)) if changes else 0.0, 1e-4)
+        noise = max((float(np.sum((y - x @ mean) ** 2)) + float(np.sum(known * gram))) / len(y), 1e-12)
+    return beta, known, 2 * spread**2, noise
+
+
+def fit_predict(days: np.ndarray, y: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prediction for the days ahead and its deviation on each; days count from the first point."""
     if len(y) < 2 or not np.any(y):
-        return np.full(len(ahead), float(np.mean(y))), 0.0
+        return np.full(len(ahead), float(np.mean(y))), np.zeros(len(ahead))
     scale, top = float(days[-1]), float(np.abs(y).max())
-    knots = np.linspace(0, 0.8, min(CHANGE_POINTS, len(y) // 3) + 1)[1:]
+    knots = np.linspace(0, KNOWN_PART, min(CHANGE_POINTS, len(y) // 3) + 1)[1:]
     pairs = min(FOURIER_PAIRS, len(y) // 8) if scale >= 2 * 365 else 0
-    x = _design(days, scale, knots, pairs)
-    penalty = np.concatenate([[0, 0], np.full(len(knots), TREND_PENALTY), np.full(2 * pairs, SEASON_PENALTY)])
-    beta = np.linalg.solve(x.T @ x + np.diag(penalty) + 1e-9 * np.eye(x.shape[1]), x.T @ (y / top))
-    spread = float(np.std(y / top - x @ beta)) * top
-    return _design(ahead, scale, knots, pairs) @ beta * top, spread
+    beta, *_ = fit_trend(_design(days, scale, knots, pairs), y / top, len(knots))
+    # late changes are not fitted, but they may have come
+    every = np.linspace(0, 1, round(len(knots) / KNOWN_PART) + 1)[1:]
+    _, known, change, noise = fit_trend(_design(days, scale, every, pairs), y / top, len(every))
+    trend = 2 + len(every)
+    x = _design(ahead, scale, every, 0)
+    # a change d at time s moves the trend by d * (t - s)
+    to_come = len(every) * change * np.maximum(ahead / scale - 1, 0) ** 3 / 3
+    return _design(ahead, scale, knots, pairs) @ beta * top, np.sqrt(noise + to_come + np.sum((x @ known[:trend, :trend]) * x, 1)) * top
 
 
 def _forecast_series(series: pd.DataFrame) -> pd.DataFrame:

@@ -18,7 +18,7 @@ from claimloom.operators.series import monthly_rollup, publish_forecast
 from claimloom.plans.invoices import LINES_SQL, LOAD_DATE, forecast_by_country, payable_monthly
 from claimloom.plans.invoices import ORACLE as INVOICE_SQL
 from claimloom.session import stored, work_path
-from claimloom.sources import sinks
+from claimloom.sources import manifest, sinks
 from claimloom.sources.readers import parse_runs, read_csv_strings, read_forecasts, view_frame
 from claimloom.sources.versions import read_current
 from claimloom.sources.versions import snapshot_replace as replace_snapshot
@@ -155,19 +155,21 @@ def upsert_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_snapshot(payable_monthly(spark, sf_dir), path, "1")
     published = read_current(spark, path)
     updates = published.filter(F.col("forecast_date") >= "1999-01-01").withColumn("Amount", -F.col("Amount"))
-    sinks.upsert_version(path, updates, PUBLISHED_KEYS, "2")
-    return read_current(spark, path)
+    table = work_path(spark, "published")
+    for rows in (published, updates):
+        manifest.upsert_table(table, rows, PUBLISHED_KEYS)
+    return manifest.read_table(spark, table)
 
 
 def forecast_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecasts fitted, summed by month, published and upserted into the months paid so far, twice."""
     path = work_path(spark, "history")
-    sinks.upsert_version(path, payable_monthly(spark, sf_dir).withColumn("Amount", F.col("Amount").cast("double")), PUBLISHED_KEYS, "paid")
+    manifest.upsert_table(path, payable_monthly(spark, sf_dir).withColumn("Amount", F.col("Amount").cast("double")), PUBLISHED_KEYS)
     months = monthly_rollup(forecast_by_country(spark, sf_dir), ["region"], "ds", "yhat")
     fitted = stored(publish_forecast(months, "region", "yhat", LOAD_DATE), "fitted")
-    for run in ("first", "again"):
-        sinks.upsert_version(path, fitted.unionByName(fitted), PUBLISHED_KEYS, run)
-    return read_current(spark, path).select("forecast_date", "Region", "Load_date", "Source")
+    for _ in range(2):
+        manifest.upsert_table(path, fitted.unionByName(fitted), PUBLISHED_KEYS)
+    return manifest.read_table(spark, path).select("forecast_date", "Region", "Load_date", "Source")
 
 
 def forecast_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -285,7 +285,7 @@ def test_views(spark):
     assert readers.warehouse_query(spark, "select sum(id) as s from {t}", t=spark.range(4)).first().s == 6
 
 
-def test_branch_rules(spark):
+def test_branch_lines(spark):
     """One sample per way a branch is decided."""
     want = {
         "WG2A": ("New South Wales", "CCS"), "47CAT": ("Queensland", "CCS"), "DW5E": ("South Australia", "CCS"), "33CAT": ("Tasmania", "CCS"),

@@ -132,6 +132,36 @@ def weekly(values, region="A"):
     return [(region, start + timedelta(weeks=i), float(v)) for i, v in enumerate(values)]
 
 
+def simulated(rng, size, noise, weeks=200, ahead=40, changes=25):
+    """A trend that changes its slope now and then, also later, with season and noise."""
+    days = 7.0 * np.arange(weeks + ahead)
+    t = days / days[weeks - 1]
+    count = rng.poisson(changes * t[-1])
+    bends = np.maximum(t[:, None] - rng.uniform(0, t[-1], count), 0) * rng.laplace(0, size, count)
+    return days, 5 + rng.normal() * t + bends.sum(1) + 0.3 * np.sin(2 * np.pi * days / 365.25) + rng.normal(0, noise, len(t))
+
+
+@pytest.mark.parametrize("size, noise", [(0.1, 0.05), (0.1, 0.2), (0.3, 0.2), (0.6, 0.2)])
+def test_forecast_band_covers_what_comes(size, noise):
+    rng, inside = np.random.default_rng(4), []
+    for _ in range(150):
+        days, y = simulated(rng, size, noise)
+        yhat, spread = forecast.fit_predict(days[:200], y[:200], days[200:])
+        assert (np.diff(spread) > 0).all()
+        inside.append(np.abs(y[200:] - yhat) <= forecast.BAND * spread)
+    assert 0.75 <= np.mean(inside) <= 0.85
+
+
+def test_forecast_changes_are_sparse():
+    days = 7.0 * np.arange(150)
+    knots = np.linspace(0, 0.8, 26)[1:]
+    y = 3 + np.maximum(days / days[-1] - knots[12], 0) * 8 + np.random.default_rng(1).normal(0, 0.02, 150)
+    beta, *_ = forecast.fit_trend(forecast._design(days, days[-1], knots, 0), y / y.max(), len(knots))
+    sizes = np.abs(beta[2:])
+    # a ridge would spread the change over all knots
+    assert sizes.argmax() == 12 and sizes[12] > 0.7 * sizes.sum() and (sizes < 0.01 * sizes.max()).sum() > 12
+
+
 def test_forecast_recovers_trend_and_season(spark):
     t = np.arange(200)
     truth = 100 + 0.5 * t + 20 * np.sin(2 * np.pi * t * 7 / 365.25)
