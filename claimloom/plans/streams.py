@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.plans import views
-from claimloom.plans.invoices import AFTER, LOAD_DATE
+from claimloom.plans.invoices import AFTER, HORIZON_SQL, LOAD_DATE, weekly_sql
 from claimloom.session import work_path
 from claimloom.streaming.flows import compact, delta_stream, drain, log_stream, merged, retrain_stream
 
@@ -78,15 +78,25 @@ def stream_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_retrain_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months that the refreshed forecasts have."""
+    return stream_retrain(spark, sf_dir).select("forecast_date", "Region", "Load_date", "Source")
+
+
 QUERIES = {
     "stream_log": stream_log,
     "stream_rejects": stream_rejects,
     "stream_drain": stream_drain,
     "stream_delta": stream_delta,
     "stream_retrain": stream_retrain,
+    "stream_retrain_months": stream_retrain_months,
 }
 
 ORACLE = {
+    "stream_retrain_months": f"""with {weekly_sql("country_code")}, {HORIZON_SQL}, steps as (select country_code, last_week,
+        unnest(generate_series(1, periods)) as i from horizon)
+        select distinct last_day(cast(last_week + cast(7 * i as integer) as date)) as forecast_date, country_code as "Region",
+          date '{LOAD_DATE}' as "Load_date", 'Forecast' as "Source" from steps""",
     "stream_log": """select event_id, user_id, event_type, value from events
         where event_type <> 'error' and not (event_type = 'signup' and user_id % 7 = 0)""",
     "stream_rejects": """select event_id, case when event_type = 'error' then length('{"event_id": ' || event_id) end as size

@@ -8,17 +8,20 @@ left the buckets alone that this upsert has read, its files are still right and
 it reads those buckets again. So no update is lost, and readers always see one whole manifest.
 
 Null keys match each other; repeated updates of a key count once, the last by ``newest``, then by all columns.
-An upsert without rows commits nothing, but it makes the table if there is none. The columns and the number of
-buckets are those of the first upsert; updates need these columns, in any order. ``vacuum`` removes folders
-that no kept manifest names. The log needs a file system that renames atomically (HDFS) or links (local).
+``change_table`` puts together old and new rows in another way, such as adding up. A change may carry the name
+and number of a batch: the manifest remembers the last number of each name, and a batch that comes again
+changes nothing. A change without rows commits nothing but its number, and makes the table if there is none.
+The columns and the number of buckets are those of the first change; others need these columns, in any order.
+``vacuum`` removes old manifests and the folders that no kept one names. The log needs a file system that
+renames atomically (HDFS) or links (local).
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,12 +41,13 @@ class Manifest:
 
     number: int
     schema: str
-    keys: tuple[str, ...]
+    keys: tuple[str, ...]  # what is hashed
     buckets: int
     folders: dict[int, str]
+    applied: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
-        return json.dumps({"schema": self.schema, "keys": self.keys, "buckets": self.buckets, "folders": self.folders})
+        return json.dumps({"schema": self.schema, "keys": self.keys, "buckets": self.buckets, "folders": self.folders, "applied": self.applied})
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -57,7 +61,7 @@ def read_manifest(spark: SparkSession, path: str, number: int | None = None) ->
         return None
     number = numbers[-1] if number is None else number
     found = json.loads(read_file(spark, f"{path}/log/{number:020d}{SUFFIX}"))
-    return Manifest(number, found["schema"], tuple(found["keys"]), found["buckets"], {int(b): f for b, f in found["folders"].items()})
+    return Manifest(number, found["schema"], tuple(found["keys"]), found["buckets"], {int(b): f for b, f in found["folders"].items()}, found["applied"])
 
 
 def commit(spark: SparkSession, path: str, manifest: Manifest) -> bool:
@@ -93,48 +97,72 @@ def _write_buckets(rows: DataFrame, path: str, manifest: Manifest) -> dict[int,
     return {int(n.split("=")[1]): f"{folder}/{n}" for n in names}
 
 
-def upsert_table(path: str, updates: DataFrame, keys: Sequence[str], newest: Sequence[str] = (), buckets: int = 64, attempts: int = 20) -> int:
-    """Replace or add the rows of some keys; returns the number of the commit.
+def touched_buckets(rows: DataFrame, manifest: Manifest) -> list[int]:
+    """The buckets that some rows fall into."""
+    return sorted(r[0] for r in rows.select(bucket_of(manifest.keys, manifest.buckets)).distinct().collect())
+
 
-    ``attempts``: how often other writers may come first; RuntimeError beyond that, with nothing changed.
+def change_table(
+    path: str,
+    updates: DataFrame,
+    spread: Sequence[str],
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    buckets: int = 64,
+    batch: tuple[str, int] | None = None,
+    attempts: int = 20,
+) -> int:
+    """Replace the rows of the buckets that updates fall into by ``combine(old rows, updates)``.
+
+    ``spread``: the columns that choose a row's bucket, part of what ``combine`` goes by. Returns the number of
+    the commit. ``attempts``: how often other writers may come first; RuntimeError beyond that, with
+    nothing changed.
     """
     spark = updates.sparkSession
     updates = stored(updates, "updates")
     written: dict[int, str] = {}
     based: Manifest | None = None
     for _ in range(attempts):
-        now = read_manifest(spark, path)
-        if now is None:
-            now = Manifest(-1, updates.schema.json(), tuple(keys), buckets, {})
-        if tuple(keys) != now.keys:
+        now = read_manifest(spark, path) or Manifest(-1, updates.schema.json(), tuple(spread), buckets, {})
+        if tuple(spread) != now.keys:
             raise ValueError(f"the table's keys are {now.keys}")
+        if batch is not None and now.applied.get(batch[0], -1) >= batch[1]:
+            return now.number
         schema = StructType.fromJson(json.loads(now.schema))
         rows = updates.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema])
         if based is None:
-            touched = sorted(r[0] for r in rows.select(bucket_of(now.keys, now.buckets)).distinct().collect())
-            stale = touched
+            stale = touched = touched_buckets(rows, now)
         else:
             stale = [b for b in touched if now.folders.get(b) != based.folders.get(b)]
-        if not touched and now.number >= 0:
+        if not touched and now.number >= 0 and batch is None:
             return now.number
         if stale:
             mine = rows.where(bucket_of(now.keys, now.buckets).isin(stale))
-            written |= _write_buckets(upsert(read_buckets(spark, path, now, stale), mine, keys, newest), path, now)
+            written |= _write_buckets(combine(read_buckets(spark, path, now, stale), mine), path, now)
         based = now
-        if commit(spark, path, Manifest(now.number + 1, now.schema, now.keys, now.buckets, {**now.folders, **written})):
+        applied = now.applied if batch is None else now.applied | dict([batch])
+        if commit(spark, path, replace(now, number=now.number + 1, folders={**now.folders, **written}, applied=applied)):
             return now.number + 1
     raise RuntimeError(f"other writers came first {attempts} times")
 
 
+def upsert_table(path: str, updates: DataFrame, keys: Sequence[str], newest: Sequence[str] = (), buckets: int = 64, attempts: int = 20) -> int:
+    """Replace or add the rows of some keys; returns the number of the commit."""
+    return change_table(path, updates, keys, lambda old, new: upsert(old, new, keys, newest), buckets, attempts=attempts)
+
+
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Remove the data folders that none of the newest manifests names; readers of older ones and writers
-    must have finished. Returns the folders."""
-    kept = [read_manifest(spark, path, n) for n in _numbers(spark, path)[-max(1, keep) :]]
+    """Remove all but the newest manifests, and the data folders that these do not name; readers of older ones
+    and writers must have finished. Returns the folders."""
+    numbers = _numbers(spark, path)
+    old, kept = numbers[: -max(1, keep)], [read_manifest(spark, path, n) for n in numbers[-max(1, keep) :]]
+    for number in old:
+        remove_folder(spark, f"{path}/log/{number:020d}{SUFFIX}")
     live = {f for m in kept for f in m.folders.values()}
     gone = []
     for folder in list_folders(spark, f"{path}/data"):
-        for name in list_folders(spark, f"{path}/data/{folder}"):
-            if f"data/{folder}/{name}" not in live:
-                remove_folder(spark, f"{path}/data/{folder}/{name}")
-                gone.append(f"data/{folder}/{name}")
+        held = list_folders(spark, f"{path}/data/{folder}")
+        dead = [n for n in held if f"data/{folder}/{n}" not in live]
+        gone += [f"data/{folder}/{n}" for n in dead]
+        for name in [f"data/{folder}"] if dead == held else [f"data/{folder}/{n}" for n in dead]:
+            remove_folder(spark, f"{path}/{name}")
     return gone

@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 from claimloom.functions.dates import week_ending
 from claimloom.operators.forecast import forecast_regions
 from claimloom.operators.incremental import delta, latest_per_key
+from claimloom.session import stored
+from claimloom.sources import manifest
 from claimloom.sources.sinks import replace_partition
 from claimloom.sources.storage import exists, list_folders, remove_folder
 from claimloom.sources.versions import prune, read_current, versions, write_version
@@ -132,6 +134,27 @@ def compact(
             remove_folder(spark, f"{out}/batches/{name}")
 
 
+def fold_weeks(weeks: DataFrame, state: str, batch_id: int, buckets: int = 64) -> DataFrame:
+    """Add weekly sums ``(region, day, y)`` to a state; returns all weeks of the regions that they are of.
+
+    The state has one row per region and week, in buckets of regions: a batch rewrites the buckets of its
+    regions, and old folders go, so neither rows nor files grow with the batches. A batch that was added
+    before is not added again.
+    """
+
+    def add_up(old: DataFrame, new: DataFrame) -> DataFrame:
+        return old.unionByName(new).groupBy("region", "day").agg(F.sum("y").cast(old.schema["y"].dataType).alias("y"))
+
+    session = weeks.sparkSession
+    weeks = stored(weeks, "week-sums")
+    manifest.change_table(state, weeks, ["region"], add_up, buckets, ("weeks", batch_id))
+    manifest.vacuum(session, state)
+    now = manifest.read_manifest(session, state)
+    mine = manifest.read_buckets(session, state, now, manifest.touched_buckets(weeks, now))
+    changed = weeks.select(F.col("region").alias("changed")).distinct()
+    return mine.join(changed, F.col("region").eqNullSafe(F.col("changed")), "left_semi")
+
+
 def retrain_stream(
     spark: SparkSession,
     folder: str,
@@ -145,24 +168,18 @@ def retrain_stream(
 ) -> StreamingQuery:
     """Refresh the forecast of each region for which files arrive below ``region=<name>/``.
 
-    A batch's weekly sums are stored as its part of the state, and the series of the regions in the batch
-    are built from all parts: arrivals are read once, and what is read again is one row per week and
-    batch. Forecasts are kept per region and load date, so a refresh replaces that date's rows only.
+    A batch's weekly sums are folded into the state, and the series of the regions in the batch are built
+    from it: arrivals are read once, and what is read again is one row per region and week. Forecasts are
+    kept per region and load date, so a refresh replaces that date's rows only.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
         known = batch.filter(F.col("day").isNotNull() & F.col("y").isNotNull())
         if after is not None:
             known = known.filter(F.col("day") > F.lit(after).cast("date"))
         # week ends stand for their days
         sums = known.groupBy("region", week_ending(F.col("day")).alias("day")).agg(F.sum("y").alias("y"))
-        path = f"{state}/{BATCH}{batch_id:020d}"
-        sums.write.mode("overwrite").parquet(path)
-        changed = session.read.schema(sums.schema).parquet(path).select(F.col("region").alias("changed")).distinct()
-        weeks = session.read.schema(sums.schema).parquet(state)
-        weeks = weeks.join(changed, F.col("region").eqNullSafe(F.col("changed")), "left_semi")
-        replace_partition(forecast_regions(weeks, load_date), out, ["Region", "Load_date"])
+        replace_partition(forecast_regions(fold_weeks(sums, state, batch_id), load_date), out, ["Region", "Load_date"])
 
     arrivals = spark.readStream.schema(f"{schema}, region string").parquet(folder)
     return _start(arrivals, checkpoint, once).foreachBatch(refresh).start()

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import random
 import threading
 from collections import Counter
+from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from claimloom.operators import forecast
 from claimloom.sources import manifest
 from claimloom.sources.manifest import Manifest, commit, read_manifest, read_table, upsert_table, vacuum
 from claimloom.sources.storage import create_file, read_file
+from claimloom.streaming import flows
 
 SCHEMA = "id bigint, part string, v string, at int"
 
@@ -104,3 +110,36 @@ def test_late_writer_keeps_files_that_are_still_right(spark, tmp_path, monkeypat
     assert read_manifest(spark, path).folders[mine[0]] == written[0]
     assert {r.v for r in read_table(spark, path).where(f"id IN (1, {others})").collect()} == {"late", "first"}
     assert not commit(spark, path, Manifest(0, "{}", (), 1, {}))
+
+
+def test_state_of_weeks_stays_small(spark, tmp_path):
+    """Twenty batches, one of them twice: files are bounded, and the sums are those of all rows at once."""
+    state, some = str(tmp_path / "s"), random.Random(2)
+    every: Counter = Counter()
+    for batch in range(20):
+        rows = [(some.choice(["a", "b", "c", None]), date(2024, 1, 7) + timedelta(weeks=some.randrange(30)), Decimal(some.randrange(1000)) / 100) for _ in range(40)]
+        for region, day, y in rows:
+            every[region, day] += y
+        df = spark.createDataFrame(rows, "region string, day date, y decimal(18,2)").groupBy("region", "day").agg(F.sum("y").alias("y"))
+        got = flows.fold_weeks(df, state, batch, buckets=4)
+        if batch == 7:
+            got = flows.fold_weeks(df, state, batch, buckets=4)
+        regions = {r[0] for r in rows}
+        if batch in (0, 7, 19):
+            assert {(r.region, r.day): r.y for r in got.collect()} == {k: v for k, v in every.items() if k[0] in regions}
+        files = [p for p in (tmp_path / "s").rglob("*.parquet")]
+        assert len(files) <= 2 * 4 * 2 and len(list((tmp_path / "s" / "log").glob("*.json"))) <= 2
+    assert read_table(spark, state).count() == len(every)
+
+
+def test_forecast_from_the_state_equals_one_of_all_rows(spark, tmp_path):
+    lines = [(r, date(2020, 1, 5) + timedelta(days=3 * k), Decimal(10 + k % 7 + (r == "b") * 5)) for k in range(250) for r in "ab"]
+    schema = "region string, day date, y decimal(18,2)"
+    want = forecast.forecast_regions(spark.createDataFrame(lines, schema), "2024-01-01")
+    paths = [str(tmp_path / n) for n in ("in", "out", "state", "checkpoint")]
+    for part in range(3):
+        spark.createDataFrame(lines[part::3], schema).write.mode("append").partitionBy("region").parquet(paths[0])
+        flows.retrain_stream(spark, paths[0], "day date, y decimal(18,2)", *paths[1:], "2024-01-01").awaitTermination()
+    columns = ["Region", "forecast_date", "Amount"]
+    got = {(r[0], r[1]): r[2] for r in spark.read.parquet(paths[1]).select(*columns).collect()}
+    assert got == pytest.approx({(r[0], r[1]): r[2] for r in want.select(*columns).collect()})
