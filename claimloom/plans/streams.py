@@ -9,6 +9,7 @@ from claimloom.plans import views
 from claimloom.plans.invoices import AFTER, HORIZON_SQL, LOAD_DATE, weekly_sql
 from claimloom.session import work_path
 from claimloom.streaming.flows import compact, delta_stream, drain, log_stream, merged, retrain_stream
+from claimloom.streaming.ledger import drain_each, read_ledger
 
 EVENT = "event_id bigint, user_id bigint, event_type string, value double"
 CHANGE = "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz"
@@ -56,6 +57,23 @@ def stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENT).parquet(out).drop("batch")
 
 
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every attempt at every event: errors fail each time, some purchases the first time only."""
+    source, ledger, state = (work_path(spark, n) for n in ("messages", "ledger", "state"))
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events.write.option("maxRecordsPerFile", 2_000).json(source)
+
+    def work(message: dict, attempt: int) -> str:
+        if message["event_type"] == "error":
+            raise ValueError(f"event {message['event_id']}")
+        if message["event_type"] == "purchase" and message["user_id"] % 10 == 0 and attempt == 1:
+            raise TimeoutError("busy")
+        return f"{message['user_id']}:{message['event_type']}"
+
+    drain_each(spark, source, EVENT, work, ledger, state).awaitTermination()
+    return read_ledger(spark, ledger, EVENT).select("event_id", "attempt", "status", "result", "error")
+
+
 def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest event per user from a stream of changes, compacted once."""
     source, out, state = (work_path(spark, n) for n in ("changes", "newest", "state"))
@@ -87,6 +105,7 @@ QUERIES = {
     "stream_log": stream_log,
     "stream_rejects": stream_rejects,
     "stream_drain": stream_drain,
+    "stream_ledger": stream_ledger,
     "stream_delta": stream_delta,
     "stream_retrain": stream_retrain,
     "stream_retrain_months": stream_retrain_months,
@@ -101,6 +120,12 @@ ORACLE = {
         where event_type <> 'error' and not (event_type = 'signup' and user_id % 7 = 0)""",
     "stream_rejects": """select event_id, case when event_type = 'error' then length('{"event_id": ' || event_id) end as size
         from events where event_type = 'error' or (event_type = 'signup' and user_id % 7 = 0)""",
+    "stream_ledger": """with tries as (select *, unnest(case when event_type = 'error' then [1, 2, 3]
+          when event_type = 'purchase' and user_id % 10 = 0 then [1, 2] else [1] end) as attempt from events),
+        known as (select *, event_type = 'error' as bad, event_type = 'purchase' and user_id % 10 = 0 and attempt = 1 as busy from tries)
+        select event_id, attempt, case when bad and attempt = 3 then 'dead' when bad or busy then 'failed' else 'done' end as status,
+          case when not bad and not busy then user_id || ':' || event_type end as result,
+          case when bad then 'ValueError: event ' || event_id when busy then 'TimeoutError: busy' end as error from known""",
     "stream_drain": "select event_id, user_id, event_type, value from events",
     "stream_delta": """select event_id, user_id, event_type, value from events
         qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
