@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import queue
+import time
+import uuid
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -93,17 +97,42 @@ def error_text(error: Exception) -> str:
     return f"{type(error).__name__}: {lines[0]}" if lines else type(error).__name__
 
 
-def run_isolated(spark: SparkSession, tasks: dict[str, Callable[[], int]], parallel: int = 4) -> DataFrame:
-    """Run independent loads; a failing one is reported as a row and does not stop the others."""
+def run_isolated(spark: SparkSession, tasks: dict[str, Callable[[], int]], parallel: int = 4, seconds: float | None = None) -> DataFrame:
+    """Run independent loads; a failing one is reported as a row and does not stop the others.
 
-    def attempt(name: str) -> tuple[str, bool, int | None, str | None]:
+    Each load has a thread, a scheduler pool (used if ``spark.scheduler.mode`` is FAIR) and a job tag of its
+    own. After ``seconds`` the jobs with its tag are cancelled, its row says so, and its place goes to the next
+    load, also if it hangs outside of Spark. What such a load writes later is replaced by its next run.
+    """
+    context, run = spark.sparkContext, uuid.uuid4().hex
+    outcomes: queue.Queue[tuple] = queue.Queue()
+    rows: dict[str, tuple] = {}
+    waiting, until = list(tasks), {}
+
+    def attempt(name: str) -> None:
         try:
-            return name, True, tasks[name](), None
+            context.setLocalProperty("spark.scheduler.pool", name)
+            context.addJobTag(f"{run}-{name}")
+            outcomes.put((name, True, tasks[name](), None))
         except Exception as error:  # noqa: BLE001 - any failure of a source becomes its status
-            return name, False, None, error_text(error)
-
-    with ThreadPoolExecutor(parallel) as pool:
-        return spark.createDataFrame(list(pool.map(attempt, tasks)), LOAD_STATUS)
+            outcomes.put((name, False, None, error_text(error)))
+
+    while waiting or until:
+        while waiting and len(until) < parallel:
+            name = waiting.pop(0)
+            until[name] = time.monotonic() + seconds if seconds is not None else math.inf
+            InheritableThread(attempt, args=(name,), daemon=True).start()
+        left = min(until.values()) - time.monotonic()
+        try:
+            outcome = outcomes.get(timeout=max(0.0, left) if left < math.inf else None)
+            if until.pop(outcome[0], None) is not None:
+                rows[outcome[0]] = outcome
+        except queue.Empty:
+            for name in [n for n, end in until.items() if end <= time.monotonic()]:
+                context.cancelJobsWithTag(f"{run}-{name}")
+                del until[name]
+                rows[name] = (name, False, None, f"TimeoutError: not done after {seconds:g} seconds")
+    return spark.createDataFrame([rows[name] for name in tasks], LOAD_STATUS)
 
 
 def load_task(spec: TableSpec, reader: Reader, out: str, low: str, high: str | None, version: str) -> Callable[[], int]:
@@ -133,10 +162,11 @@ def run_loads(
     high: str | None,
     version: str,
     parallel: int = 4,
+    seconds: float | None = None,
 ) -> DataFrame:
     """Load every table by its mode; one status row ``(source, ok, rows, error)`` each."""
     tasks = {s.name: load_task(s, reader, out, low, high, version) for s in specs}
-    return run_isolated(spark, tasks, parallel)
+    return run_isolated(spark, tasks, parallel, seconds)
 
 
 def load_source(
@@ -148,11 +178,12 @@ def load_source(
     marks: str,
     high: str,
     first_mark: str = "1900-01-01",
+    seconds: float | None = None,
 ) -> DataFrame:
     """One incremental run: read the mark, load all tables, advance the mark if all succeeded."""
     low = read_mark(spark, marks, source, first_mark)
     version = "".join(ch for ch in high if ch.isdigit())
-    status = run_loads(spark, specs, reader, out, low, high, version)
+    status = run_loads(spark, specs, reader, out, low, high, version, seconds=seconds)
     if status.filter(~F.col("ok")).isEmpty():
         advance_mark(spark, marks, source, high, high)
     return status

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.config.rules import BRANCH_DIVISIONS, SERVICE_LINES
-from claimloom.functions.casts import cast_columns
+from claimloom.functions.casts import cast_cells, cast_columns
 from claimloom.functions.dates import parse_date_columns
 from claimloom.functions.records import parse_json, to_json_col
 from claimloom.functions.text import clean_columns, file_stem, path_part
@@ -108,16 +108,35 @@ def branch_service_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return branch_lines(views.branch_claims(spark, sf_dir), "branch_id")
 
 
-def cast_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts and ids as text, some malformed, back to double and long."""
+def amount_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts and ids as text, some malformed."""
     amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
-    text = views.table(spark, sf_dir, "lineitem").select(
+    return views.table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         F.when(F.col("l_returnflag") == "R", "n/a").otherwise(amount).alias("INVOICE_AMT"),
         F.when(F.col("l_linestatus") == "O", "none").otherwise(F.col("l_suppkey").cast("string")).alias("CLIENT_PGM_ID"),
     )
-    return cast_columns(text, {"INVOICE_AMT": "double", "CLIENT_PGM_ID": "bigint"}, on_error="null")
+
+
+AMOUNT_TYPES = {"INVOICE_AMT": "double", "CLIENT_PGM_ID": "bigint"}
+
+
+def cast_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts and ids as text, back to double and long."""
+    return cast_columns(amount_texts(spark, sf_dir), AMOUNT_TYPES, on_error="null")
+
+
+def cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of these texts that do not convert."""
+    return cast_cells(amount_texts(spark, sf_dir), AMOUNT_TYPES, ["l_orderkey", "l_partkey"], "curate")[1]
+
+
+def cast_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, converted cells and rejects of each column, the rejects as observed by the pass that casts."""
+    rows, _, counts = cast_cells(amount_texts(spark, sf_dir), AMOUNT_TYPES, ["l_orderkey", "l_partkey"], "curate")
+    names = F.array(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("converted"), F.lit(counts[c]).cast("long").alias("rejects")) for c in AMOUNT_TYPES])
+    return rows.agg(F.count("*").alias("n"), names.alias("_columns")).select("n", F.explode("_columns").alias("_c")).select("n", "_c.*")
 
 
 def parse_date_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,6 +194,8 @@ QUERIES = {
     "branch_division": branch_division,
     "branch_service_line": branch_service_line,
     "cast_strings": cast_strings,
+    "cast_rejects": cast_rejects,
+    "cast_reject_counts": cast_reject_counts,
     "parse_date_fallback": parse_date_fallback,
     "clean_columns": clean_ledger_columns,
     "json_props": json_props,
@@ -287,6 +308,11 @@ ORACLE = {
           as "INVOICE_AMT",
         try_cast(case when l_linestatus = 'O' then 'none' else cast(l_suppkey as varchar) end as bigint) as "CLIENT_PGM_ID"
         from lineitem""",
+    "cast_rejects": """select 'curate' as stage, l_orderkey, l_partkey, 'INVOICE_AMT' as "column", 'n/a' as text from lineitem where l_returnflag = 'R'
+        union all select 'curate', l_orderkey, l_partkey, 'CLIENT_PGM_ID', 'none' from lineitem where l_linestatus = 'O'""",
+    "cast_reject_counts": """select count(*) as n, 'INVOICE_AMT' as "column", count(*) filter (l_returnflag <> 'R') as converted,
+          count(*) filter (l_returnflag = 'R') as rejects from lineitem
+        union all select count(*), 'CLIENT_PGM_ID', count(*) filter (l_linestatus <> 'O'), count(*) filter (l_linestatus = 'O') from lineitem""",
     "parse_date_fallback": """select o_orderkey, cast(o_orderdate as date) as day_first, cast(o_orderdate as date) as year_first
         from orders""",
     "clean_columns": """select c_nationkey as "Posting_Date", c_acctbal as "Amount__LCY", c_name as "Name",
