@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment, DataFrame operations only.
 
-The mix is counted in blocks of equal word numbers. Sources get whole blocks by the highest quotients
-``weight / (2 k + 1)``, and each source's blocks are dealt over its shards the same way. The documents
-of a shard lie end to end in a seeded order, and the shard's quota is filled with whole passes over
-that line and one seeded run of blocks.
+The mix is counted in blocks of equal word numbers, the same at every size of the tables; a block of one word
+brings each source within a few words of its target, however small it is beside the others. Sources get
+whole blocks by the highest quotients ``weight / (2 k + 1)``, and each source's blocks are dealt over its shards
+the same way. The documents of a shard lie end to end in a seeded order, and the shard's quota is filled with
+whole passes over that line and one seeded run of blocks.
 
 Apportioning needs no list of all blocks: with N seats and m cells the last seat's quotient lies between
 N/(2N+m) and N/(2N-m) of the mean, which fixes all seats but about 2m; only those are ranked.
@@ -79,13 +80,13 @@ def mix_sources(
     share: float = 1.5,
     most: int = 2,
     seed: str = "mix",
-    blocks: int = 100_000,
+    block: int = 1,
     keyed: bool = False,
 ) -> DataFrame:
     """Words that the mix takes from each document; ``keyed`` adds the ``row_key`` of id and text.
 
-    ``blocks``: into how many blocks all words are cut, so that a block is one word for small tables.
-    A source's taken words differ from its target by less than a block for each of its 16 shards.
+    ``block``: words of a block. A source's taken words differ from its target by less than a block for each of
+    its 16 shards.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     rows = docs.select(
@@ -102,11 +103,11 @@ def mix_sources(
     rows = stored(rows, "mix-rows")
     cells = rows.groupBy("src", "shard").agg(F.sum("size").alias("line"))
     sources = source_targets(cells.groupBy("src").agg(F.sum("line").alias("source_size")), weights, share, most)
-    block = F.greatest(F.lit(1).cast("long"), F.floor(F.sum("source_size").over(Window.partitionBy("all")) / blocks))
-    sources = sources.withColumn("block", block).withColumn("seats", F.floor(F.col("wanted") / F.col("block") + 0.5))
+    sources = sources.withColumn("block", F.lit(block).cast("long")).withColumn("seats", F.floor(F.col("wanted") / block + 0.5))
     sources = apportion(sources, ["all"], ["src"], "target", "seats", "quota").select("src", "source_size", "target", "block", "quota")
     cells = apportion(cells.join(sources, "src"), ["src"], ["shard"], "line", "quota", "taken")
     length = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("line") / F.col("block")))
+    # quotients can give a cell a seat more than its share, no document is taken more than ``most`` times
     cells = cells.withColumn("length", length).withColumn("taken", F.least(F.col("taken"), F.col("length") * most))
     first = hex_number(F.md5(F.concat(F.lit(f"{seed}:"), "src", F.lit(":"), "shard").cast("binary")), 1, 8)
     cells = cells.select(
@@ -130,7 +131,8 @@ def mix_sources(
     )
 
 
-#: The same mix in SQL, with the default parameters.
+#: The same mix in SQL, with the default parameters. The seats of a cell lie within half the number of cells of its
+#: share, so only those are ranked.
 MIX_SQL = r"""
 WITH rows AS (
   SELECT doc_id, coalesce('0' || source, '1') AS src,
@@ -140,8 +142,7 @@ WITH rows AS (
 ), sized AS (SELECT src, sum(size)::BIGINT AS source_size FROM rows GROUP BY src),
 capped AS (
   SELECT *, ([3, 1, 2])[((row_number() OVER (ORDER BY src) - 1) % 3 + 1)::INT] AS weight, source_size * 2 AS cap,
-    sum(source_size) OVER ()::DOUBLE * 1.5 AS wanted,
-    greatest(1, floor(sum(source_size) OVER ()::DOUBLE / 100000)::BIGINT) AS block
+    sum(source_size) OVER ()::DOUBLE * 1.5 AS wanted
   FROM sized
 ), levels AS (
   SELECT *, (wanted - coalesce(sum(cap) OVER before, 0)::DOUBLE)
@@ -149,28 +150,33 @@ capped AS (
   FROM capped
   WINDOW before AS (ORDER BY cap::DOUBLE / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), targets AS (
-  SELECT src, source_size, block, floor(wanted / block + 0.5)::BIGINT AS seats,
+  SELECT src, source_size, floor(wanted + 0.5)::BIGINT AS seats,
     least(cap::DOUBLE, max(CASE WHEN level <= cap::DOUBLE / weight THEN level END) OVER () * weight) AS target
   FROM levels
-), seat_rank AS (
-  SELECT src, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, src, k) AS place, seats
-  FROM targets, range(0, 150000) AS r(k)
-  WHERE target > 0 AND k <= target / block * 2 + 2
+), source_shares AS (
+  SELECT *, count(*) OVER () AS m, floor(target / sum(target) OVER () * seats)::BIGINT AS share FROM targets WHERE target > 0
+), source_seats AS (SELECT *, greatest(0, share - m - 2) AS sure FROM source_shares),
+source_rank AS (
+  SELECT src, seats - sum_sure AS remaining, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, src, k) AS place
+  FROM (SELECT *, unnest(range(sure, sure + 2 * m + 6)) AS k FROM (SELECT *, sum(sure) OVER () AS sum_sure FROM source_seats))
 ), quotas AS (
-  SELECT t.*, coalesce(q.quota, 0) AS quota FROM targets t
-  LEFT JOIN (SELECT src, count(*) AS quota FROM seat_rank WHERE place <= seats GROUP BY src) q USING (src)
+  SELECT t.*, coalesce(s.sure + w.won, 0) AS quota FROM targets t LEFT JOIN source_seats s USING (src)
+  LEFT JOIN (SELECT src, count(*) FILTER (place <= remaining) AS won FROM source_rank GROUP BY src) w USING (src)
 ), cells AS (
   SELECT src, substr(digest, 1, 1) AS shard, sum(size)::BIGINT AS line FROM rows GROUP BY ALL
-), cell_rank AS (
-  SELECT src, shard, quota, row_number() OVER (PARTITION BY src ORDER BY line::DOUBLE / (2 * k + 1) DESC, shard, k) AS place
-  FROM cells JOIN quotas USING (src), range(0, 150000) AS r(k)
-  WHERE line > 0 AND quota > 0 AND k <= line::DOUBLE / source_size * quota * 2 + 2
+), cell_shares AS (
+  SELECT c.*, quota, count(*) OVER (PARTITION BY src) AS m, floor(line::DOUBLE / source_size * quota)::BIGINT AS share
+  FROM cells c JOIN quotas USING (src) WHERE line > 0 AND quota > 0
+), cell_seats AS (SELECT *, greatest(0, share - m - 2) AS sure FROM cell_shares),
+cell_rank AS (
+  SELECT src, shard, quota - sum_sure AS remaining,
+    row_number() OVER (PARTITION BY src ORDER BY line::DOUBLE / (2 * k + 1) DESC, shard, k) AS place
+  FROM (SELECT *, unnest(range(sure, sure + 2 * m + 6)) AS k FROM (SELECT *, sum(sure) OVER (PARTITION BY src) AS sum_sure FROM cell_seats))
 ), filled AS (
-  SELECT c.*, t.source_size, t.target, t.block, greatest(1, ceil(line::DOUBLE / block)::BIGINT) AS length,
-    least(coalesce(w.won, 0), 2 * greatest(1, ceil(line::DOUBLE / block)::BIGINT)) AS quota,
+  SELECT c.*, t.source_size, t.target, greatest(1, c.line) AS length, least(coalesce(s.sure + w.won, 0), 2 * greatest(1, c.line)) AS quota,
     ('0x' || substr(md5('mix:' || src || ':' || shard), 1, 8))::BIGINT AS seeded
-  FROM cells c JOIN quotas t USING (src)
-  LEFT JOIN (SELECT src, shard, count(*) AS won FROM cell_rank WHERE place <= quota GROUP BY ALL) w USING (src, shard)
+  FROM cells c JOIN quotas t USING (src) LEFT JOIN cell_seats s USING (src, shard)
+  LEFT JOIN (SELECT src, shard, count(*) FILTER (place <= remaining) AS won FROM cell_rank GROUP BY ALL) w USING (src, shard)
 ), laid AS (
   SELECT *, substr(digest, 1, 1) AS shard, coalesce(sum(size) OVER (PARTITION BY src, substr(digest, 1, 1)
     ORDER BY digest, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
@@ -178,7 +184,7 @@ capped AS (
 )
 SELECT doc_id, size, source_size, target,
   (quota // length * size
-   + greatest(0, least(start + size, least((seeded % length + quota % length) * block, line)) - greatest(start, seeded % length * block))
-   + greatest(0, least(start + size, greatest(0, seeded % length + quota % length - length) * block) - start))::BIGINT AS taken
+   + greatest(0, least(start + size, least(seeded % length + quota % length, line)) - greatest(start, seeded % length))
+   + greatest(0, least(start + size, greatest(0, seeded % length + quota % length - length)) - start))::BIGINT AS taken
 FROM laid JOIN filled USING (src, shard)
 """

@@ -27,6 +27,7 @@ from claimloom.llm.packing import vocabulary_path as pack_vocabulary
 from claimloom.llm.rules import COUNTS, FEATURES, cover, judge, learn_rules, statistics
 from claimloom.llm.scanning import build_scanner, digest_spans, scan_documents, scan_texts
 from claimloom.llm.sharding import jump, shard_documents
+from tests.llm.conftest import SCHEMA, document
 from tests.oracle import compare, connect
 
 SPACE = r"[^\x20\x09-\x0D]+"
@@ -342,6 +343,25 @@ def test_mixing_edges(edge, nothing):
     assert mix_sources(nothing).count() == 0
 
 
+def test_mixing_small_sources_beside_a_large_one(spark):
+    """The first lines of the contract: targets stop at twice a source, and all taken words come near them."""
+    sizes = {"a": 200_000, "b": 1_200, "c": 40, "d": 3, None: 700}
+    rows = []
+    for source, size in sizes.items():
+        step = max(1, size // 37)
+        rows += [document(len(rows) + k, "w " * min(step, size - k * step), "en", source) for k in range(-(-size // step))]
+    got = mix_sources(spark.createDataFrame(rows, SCHEMA)).collect()
+    taken, target = Counter(), {}
+    for g in got:
+        assert 0 <= g.taken <= 2 * g.size
+        taken[g.source_size] += g.taken
+        target[g.source_size] = g.target
+    assert target.keys() == set(sizes.values())
+    assert sum(target.values()) == pytest.approx(1.5 * sum(sizes.values()))
+    assert all(target[n] == 2 * n for n in (1_200, 40, 3, 700)) and target[200_000] == pytest.approx(1.5 * sum(sizes.values()) - 2 * 1_943)
+    assert all(abs(taken[n] - target[n]) <= 1 for n in target)
+
+
 def test_apportion_highest_quotients(spark):
     draw = random.Random(2)
     for n, seats in ((1, 5), (7, 3), (7, 40), (30, 1000)):
