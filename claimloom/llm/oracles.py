@@ -27,9 +27,8 @@ FROM sets JOIN reached ON id = doc_id GROUP BY doc_id, s
 
 
 def _pieces(paragraph: str) -> str:
-    for end in ENDS:
-        paragraph = f"replace({paragraph}, '{end}', '{end}' || chr(1))"
-    return f"list_filter(string_split({paragraph}, chr(1)), lambda x: x <> '')"
+    ends = "".join(ENDS)
+    return f"regexp_extract_all({paragraph}, '[^{ends}]*[{ends}]|[^{ends}]+')"
 
 
 def _mark(text: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import inspect
 import random
 import re
@@ -151,6 +152,16 @@ def test_fingerprints(spark, sf_dir, edge, nothing):
     assert fingerprint_documents(nothing).count() == 0
 
 
+def test_different_texts_have_different_roots(spark):
+    """Control characters, marks and empty lines in all places."""
+    texts = ["", "\x01", "a.b", "a.\x01b", "a\x01.b", "a.b\x01", "\x01a.b", "a..b", "a.\n.b", "a.\n\n.b", "a.b\n", "\na.b", "\n", "\n\n", "\n\n\n", "a\n\n\nb", "a\n\nb", "a,b", "a, b", "\0", "a\0.b"]
+    texts += ["".join(t) for t in itertools.product(".a\n\x01", repeat=4)]
+    texts = sorted(set(texts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.fingerprint[:32] for r in fingerprint_documents(df).collect()}
+    assert len(got) == len(texts)
+
+
 def test_fingerprint_next_over_many_ranges(spark):
     from claimloom.llm.merkle import with_next
 
