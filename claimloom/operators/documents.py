@@ -22,6 +22,7 @@ from claimloom.operators.lookups import (
     first_per_key,
     lookup_first,
     listed_hits,
+    tie_break,
     update_from,
 )
 from claimloom.session import stored
@@ -226,7 +227,7 @@ def update_child_documents(
     times and should be a stored table.
     """
     linked = policies_with_declaration(policies, declarations)
-    by_id = first_per_key(target, ["documentId"], RECORD_ORDER)
+    by_id = first_per_key(target, ["documentId"], [*RECORD_ORDER, tie_break(target, ["documentId", *RECORD_ORDER])])
     arrays = {"childDocumentIds": "applied", "extractedFormNumbers": "form_ids"}
     children = {
         "childDocumentIds": F.struct(

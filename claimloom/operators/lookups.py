@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def tie_break(df: DataFrame, used: Sequence[str]) -> Column:
+    """A number from all columns but ``used``, to order rows that agree in those; maps are left out."""
+    others = [f.name for f in df.schema.fields if f.name not in used and "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(F.lit(0), *others)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """First row per key; each map task keeps one row per key before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -70,21 +76,24 @@ def apply_updates(
 ) -> DataFrame:
     """Target with columns set from ``updates`` (unique per key) where the key occurs, nulls included.
 
-    With ``first_only`` (columns that order the target rows and are unique per key) only the first
-    target row of each key is changed.
+    With ``first_only`` (columns that order the target rows) only the first target row of each key is
+    changed. Rows that agree in these columns are ordered by ``tie_break``; of equal rows one is changed.
     """
-    new = F.struct(*[F.col(c) for c in columns]).alias("_new")
-    on = {key: key}
+    parts = [F.struct(*[F.col(c) for c in columns]).alias("_new"), F.col(key).alias("_key")]
     if first_only:
         # the first target per key is an aggregate, so a key with many targets needs no big window
         firsts = target.groupBy(key).agg(F.min(F.struct(*first_only)).alias("_first"))
         updates = updates.join(firsts, key)
-        on |= {c: f"_first.{c}" for c in first_only}
-    slim = updates.select(new, *[F.col(c).alias(f"_key{i}") for i, c in enumerate(on.values())])
-    terms = [F.col(f"_left.{key}") == F.col("_right._key0")]
-    terms += [F.col(f"_left.{c}").eqNullSafe(F.col(f"_right._key{i}")) for i, c in enumerate(on) if i]
-    joined = target.alias("_left").join(slim.alias("_right"), reduce(Column.__and__, terms), "left")
+        parts.append(F.col("_first"))
+    left = target.withColumn("_tie", tie_break(target, [key, *first_only])) if first_only else target
+    joined = left.alias("_left").join(updates.select(*parts).alias("_right"), F.col(f"_left.{key}") == F.col("_right._key"), "left")
     hit = F.col("_right._new").isNotNull()
+    if first_only:
+        # only rows that agree in the order too share a window
+        twins = Window.partitionBy(f"_left.{key}", *[f"_left.{c}" for c in first_only]).orderBy("_left._tie")
+        joined = joined.withColumn("_twin", F.row_number().over(twins))
+        same = [F.col(f"_left.{c}").eqNullSafe(F.col(f"_right._first.{c}")) for c in first_only]
+        hit = reduce(Column.__and__, [hit, F.col("_twin") == 1, *same])
     changed = {t: F.when(hit, F.col(f"_right._new.{t}")).otherwise(F.col(f"_left.{t}")).alias(t) for t in columns}
     return joined.select(*[changed.get(c, F.col(f"_left.{c}")) for c in target.columns])
 

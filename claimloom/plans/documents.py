@@ -197,11 +197,28 @@ def migrated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-def migrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order: documents with declaration data and children, leases without."""
+def whole_migration(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     collections = (leases, views.clients, views.policies, views.declarations, views.prompts)
     frames = [read(spark, sf_dir) for read in (views.documents, *collections)]
-    return migration.migrate_all(*frames, created=CREATED)["documents"].select(
+    return migration.migrate_all(*frames, created=CREATED)
+
+
+def migrated_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads that the full migration stores apart, of documents and leases."""
+    return whole_migration(spark, sf_dir)["payloads"].select(
+        "jsonId", F.sha2("JsonData", 256).alias("digest"), F.length("JsonData").cast("bigint").alias("size"), F.date_format("CreatedDate", "yyyy-MM-dd").alias("created")
+    )
+
+
+def migrated_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all stages of the full migration reject, per stage and reason."""
+    rejects = whole_migration(spark, sf_dir)["rejects"]
+    return rejects.groupBy("stage", "reason").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
+
+
+def migrate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order: documents with declaration data and children, leases without."""
+    return whole_migration(spark, sf_dir)["documents"].select(
         "documentId",
         "uniqueId",
         "documentSubTag",
@@ -230,6 +247,8 @@ QUERIES = {
     "migrated_counts": migrated_counts,
     "migrate_union": migrate_union,
     "migrate_all": migrate_all,
+    "migrated_payloads": migrated_payloads,
+    "migrated_rejects": migrated_rejects,
 }
 
 
@@ -272,6 +291,11 @@ children as (select dec_id, string_agg(concat_ws('|', t."documentId", t."documen
 form_entries as (select dec_id, unnest(form_ids) as ref, generate_subscripts(form_ids, 1) as pos from winners),
 forms as (select dec_id, string_agg(concat_ws('|', t."FormNumber", t.form), ';' order by pos) as forms
   from form_entries a join target t on t."documentId" = a.ref where length(t."FormNumber") > 0 group by dec_id)"""
+MISSES = """a as (select unnest(applied) as ref from linked), f as (select unnest(form_ids) as ref from linked),
+misses as (select 'applied endorsement not found' as reason, a.ref from a where ref not in (select "documentId" from target)
+  union all select 'form number not found', f.ref from f
+    where ref not in (select "documentId" from target where length("FormNumber") > 0)
+  union all select 'no applied endorsements', policy_id from linked where applied is null)"""
 
 ORACLE = {
     "lookup_scalar": f"""with {DOCS}, {CLIENTS} select "ID", "CarrierName", (select min(_id) from clients where "ClientName" = "CarrierName")
@@ -304,11 +328,15 @@ ORACLE = {
     "child_documents": f"""with {TARGET}, {LINKED}, {WINNERS} select "documentId", coalesce(children, '') as children,
         coalesce(forms, '') as forms from target left join children c on c.dec_id = "documentId"
         left join forms f on f.dec_id = "documentId\"""",
-    "child_misses": f"""with {TARGET}, {LINKED}, a as (select unnest(applied) as ref from linked), f as (select unnest(form_ids) as ref from linked),
-        misses as (select 'applied endorsement not found' as reason, a.ref from a where ref not in (select "documentId" from target)
-          union all select 'form number not found', f.ref from f
-            where ref not in (select "documentId" from target where length("FormNumber") > 0)
-          union all select 'no applied endorsements', policy_id from linked where applied is null)
+    "migrated_payloads": f"""with {DOCS}, stored as (select {JSON_ID} as "jsonId", "JsonData" as payload from docs
+          union all select sha256('l' || page_id || '|' || html), html from pages where trim(html) not in ('', '{{}}', '[]', 'null'))
+        select "jsonId", sha256(payload) as digest, length(payload) as size, '{CREATED}' as created from stored where "jsonId" is not null""",
+    "migrated_rejects": f"""with {TARGET}, {LINKED}, {MISSES}, all_stages as (
+          select 'Documents' as stage, 'no document type' as reason, "ID" as id from docs where "DocumentType" is null
+          union all select 'Declaration', 'no declaration documents', _id from decs where "DeclarationDocumentID" is null
+          union all select 'Child_documents', reason, ref from misses)
+        select stage, reason, count(*) as n, count(distinct id) as ids from all_stages group by stage, reason""",
+    "child_misses": f"""with {TARGET}, {LINKED}, {MISSES}
         select reason, count(*) as n, count(distinct ref) as ids from misses group by reason""",
     "part_rows": f"""with {DOCS} select 'd' || conv_id as "documentId", 'Merged Document' as "documentTag", "CarrierName" as "clientName", turn,
         'd' || conv_id || '_' || turn as part, 'T' || turn as form from conversations join docs on "ID" = 'd' || conv_id""",

@@ -19,7 +19,7 @@ from claimloom.plans.invoices import LINES_SQL, LOAD_DATE, forecast_by_country,
 from claimloom.plans.invoices import ORACLE as INVOICE_SQL
 from claimloom.session import stored, work_path
 from claimloom.sources import manifest, sinks
-from claimloom.sources.readers import parse_runs, read_csv_strings, read_forecasts, view_frame
+from claimloom.sources.readers import parse_runs, read_csv_strings, read_forecasts, read_runs, view_frame
 from claimloom.sources.versions import read_current
 from claimloom.sources.versions import snapshot_replace as replace_snapshot
 
@@ -83,6 +83,7 @@ def hub_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view_frame(spark, "invoice_view").select(
         "document_num", "invoice_amt", "payment_amt", F.col("country_code").alias("c_code")
     )
+    spark.catalog.dropTempView("invoice_view")  # the frame is resolved and no longer needs the name
     typed = cast_columns(rows, {"invoice_amt": "double", "payment_amt": "double"}, on_error="null")
     sinks.replace_partition(typed, path, ["c_code"])
     return spark.read.schema(typed.schema).parquet(path)
@@ -202,6 +203,13 @@ def runs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_runs(views.run_files(spark, sf_dir)).drop("ts")
 
 
+def runs_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of tracked runs, one small file per metric and parameter, scanned into a long table."""
+    path = work_path(spark, "runs")
+    sinks.write_files(views.run_histories(spark, sf_dir), path)
+    return read_runs(spark, path).drop("ts")
+
+
 def best_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_of(parse_runs(views.run_files(spark, sf_dir)), "eval_rmse")
 
@@ -229,6 +237,7 @@ QUERIES = {
     "latest_file_per_country": latest_file_per_country,
     "fan_out": fan_out,
     "runs_long": runs_long,
+    "runs_folder": runs_folder,
     "best_run": best_run,
     "pivot_runs": pivot_runs,
 }
@@ -306,6 +315,9 @@ ORACLE = {
         union all select experiment, run, 'params', 'lr', cast(c_custkey as varchar), null from runs
         union all select experiment, run, 'params', 'momentum', c_mktsegment, null from runs
         union all select experiment, run, 'tags', 'mlflow.parentRunId', 'parent ' || c_mktsegment, null from runs""",
+    "runs_folder": """with runs as (select cast(c_nationkey as varchar) as experiment, 'b' || c_custkey // 1000 as run, c_acctbal, c_custkey from customer)
+        select experiment, run, 'metrics' as kind, 'account balance' as name, cast(cast(c_acctbal as decimal(18,2)) as varchar) as value, c_custkey as step from runs
+        union all select experiment, run, 'params', 'a+b', cast(count(*) as varchar), null from runs group by experiment, run""",
     "best_run": f"""with {RUNS_SQL} select experiment, 'parent ' || c_mktsegment as parent, run, cast(number as double) as eval_rmse
         from runs qualify row_number() over (partition by experiment, c_mktsegment order by number, run) = 1""",
     "pivot_runs": f"with {RUNS_SQL} select experiment, run, cast(c_custkey as varchar) as lr, c_mktsegment as momentum from runs",

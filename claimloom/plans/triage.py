@@ -185,9 +185,9 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def guessed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order status against a rule on the price."""
+    """Order status against a rule on the price, which gives no answer or an unknown class for some."""
     price = F.col("o_totalprice")
-    guess = F.when(price < 100000, "F").when(price < 300000, "O").otherwise("P")
+    guess = F.when(price < 100000, "F").when(price < 300000, "O").when(price < 400000, "P").when(price < 420000, "X")
     return views.table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus", guess.alias("guess"))
 
 
@@ -248,7 +248,8 @@ rows as (select item, day, demand, promo, cast(dayofweek(day) in (0, 6) as bigin
   cast(strftime(day, '%m-%d') in ('01-01', '12-25') as integer) as holiday,
   lag(demand) over (partition by item order by day) as previous_days_demand from daily)"""
 GUESS_SQL = """guesses as (select o_orderpriority, o_orderstatus,
-  case when o_totalprice < 100000 then 'F' when o_totalprice < 300000 then 'O' else 'P' end as guess from orders)"""
+  case when o_totalprice < 100000 then 'F' when o_totalprice < 300000 then 'O'
+    when o_totalprice < 400000 then 'P' when o_totalprice < 420000 then 'X' end as guess from orders)"""
 
 ORACLE = {
     "one_hot_learned": "select event_id, "
@@ -302,14 +303,14 @@ ORACLE = {
         from rows where previous_days_demand is not null group by item)
         select item, n, round(a / n, 6) as mae, round(s / n, 6) as mse, round(sqrt(s / n), 6) as rmse, round(1 - s / n / v, 6) as r2
         from sums""",
-    "accuracy": f"""with {GUESS_SQL} select o_orderpriority, avg(cast(o_orderstatus = guess as integer)) as accuracy from guesses
+    "accuracy": f"""with {GUESS_SQL} select o_orderpriority, avg(cast(coalesce(o_orderstatus = guess, false) as integer)) as accuracy from guesses
         group by all""",
     "confusion_matrix": f"""with {GUESS_SQL} select o_orderstatus as label, count(*) filter (guess = 'F') as "predicted_F",
         count(*) filter (guess = 'O') as "predicted_O", count(*) filter (guess = 'P') as "predicted_P",
-        0 as predicted_other from guesses group by all""",
-    "class_report": f"""with {GUESS_SQL}, classes as (select unnest(['F', 'O', 'P']) as class),
+        count(*) filter (guess = 'X' or guess is null) as predicted_other from guesses group by all""",
+    "class_report": f"""with {GUESS_SQL}, classes as (select unnest(['F', 'O', 'P', 'X']) as class),
         c as (select class, (select count(*) from guesses where o_orderstatus = class) as support,
           (select count(*) from guesses where guess = class) as predicted,
           (select count(*) from guesses where guess = class and o_orderstatus = class) as hits from classes)
-        select class, hits / predicted as "precision", hits / support as recall, 2.0 * hits / (predicted + support) as f1, support from c""",
+        select class, coalesce(hits / nullif(predicted, 0), 0) as "precision", coalesce(hits / nullif(support, 0), 0) as recall, 2.0 * hits / (predicted + support) as f1, support from c""",
 }

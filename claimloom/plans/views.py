@@ -347,6 +347,21 @@ def run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.explode(rows).alias("f")).select("f.*")
 
 
+def run_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracked-run files ``(path, value)``: a run per nation and 1,000 customer keys, a metric step per customer."""
+    step = F.struct("c_custkey", F.concat_ws(" ", F.lit("1700000000000"), F.col("c_acctbal").cast("decimal(18,2)"), "c_custkey").alias("line"))
+    runs = table(spark, sf_dir, "customer").groupBy(
+        F.concat_ws("/", "c_nationkey", F.concat(F.lit("b"), F.floor(F.col("c_custkey") / 1000).cast("string"))).alias("base")
+    ).agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    files = {
+        "/metrics/account balance": F.array_join(F.transform("steps", lambda s: s["line"]), "\n"),
+        "/params/a+b": F.size("steps").cast("string"),
+        "/meta.yaml": F.lit("not read"),
+    }
+    rows = F.array(*[F.struct(F.concat("base", F.lit(p)).alias("path"), v.alias("value")) for p, v in files.items()])
+    return runs.select(F.explode(rows).alias("f")).select("f.*")
+
+
 def daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantity, price and promotion per brand and day."""
     lines = table(spark, sf_dir, "lineitem").join(

@@ -150,6 +150,11 @@ def parse_runs(files: DataFrame, path: str = "path", text: str = "value") -> Dat
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    """Tracked-run folder as a long table; each small file is one row of text."""
+    """Tracked-run folder as a long table; each small file is one row of text.
+
+    Names may hold any character: file paths come URL-encoded and are decoded part by part.
+    Spark leaves out files without any byte.
+    """
     files = spark.read.options(recursiveFileLookup=True, wholetext=True).text(root)
-    return parse_runs(files.select(F.col("_metadata.file_path").alias("path"), "value"))
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return parse_runs(files.select(path.alias("path"), "value"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +50,31 @@ def export_csv_by(df: DataFrame, column: str, path: str, rows_per_file: int = 0)
     writer.csv(path)
 
 
+def write_files(files: DataFrame, root: str, path: str = "path", text: str = "value") -> int:
+    """One small file per row, its text at ``<root>/<path>``; returns how many were written.
+
+    Files go to any file system that pyarrow knows by its URI. A task that runs again writes the same
+    files again; paths must be unique.
+    """
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        made: set[str] = set()
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                folder, _, _ = f"{base}/{name}".rpartition("/")
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(f"{base}/{name}") as out:
+                    out.write((content or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return files.select(path, text).mapInArrow(put, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def write_documents(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 

@@ -353,6 +353,17 @@ def test_runs(spark, tmp_path):
     assert runs.filter("kind = 'metrics' and run = 'r1'").count() == 2
 
 
+def test_run_files(spark, tmp_path):
+    files = [(f"7/r{k}/{kind}", value) for k in range(30) for kind, value in (("metrics/a b", f"1700000000000 {k}.5 0"), ("params/c+d%20é", "x y"), ("tags/none", None))]
+    sources = spark.createDataFrame(files, "path string, value string").repartition(4)
+    root = str(tmp_path / "runs")
+    assert [sinks.write_files(sources, root) for _ in range(2)] == [90, 90]
+    got = readers.read_runs(spark, f"file://{root}")
+    assert rows(got.filter("run = 'r3'"), "experiment", "kind", "name", "value") == [("7", "metrics", "a b", "3.5"), ("7", "params", "c+d%20é", "x y")]
+    assert got.count() == 60  # the empty files have no row
+    assert sinks.write_files(sources.limit(0), root) == 0
+
+
 def test_lookups(spark):
     dim = spark.createDataFrame([("b", "X", 2), ("a", "X", 1), ("c", None, 3)], "id string, name string, n int")
     df = spark.createDataFrame([("X",), (None,), ("Y",)], "name string")

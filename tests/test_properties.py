@@ -127,6 +127,20 @@ def test_hot_key_updates(spark):
     assert one.count() == 900
 
 
+def test_first_of_twins(spark):
+    """Rows that agree in the order are told apart by their other columns; of equal rows one is changed."""
+    rows = [("a", "p", None, k, "old") for k in range(50)] + [("a", "q", "j", 0, "old")] + [("b", None, "j", 7, "old")] * 3 + [("c", "p", "j", 1, "old")]
+    target = spark.createDataFrame(rows, "id string, path string, json string, n int, v string")
+    updates = spark.createDataFrame([("a", "new"), ("b", None), ("d", "new")], "id string, v string")
+    order = ["path", "json"]
+    runs = [sorted(map(tuple, lookups.apply_updates(target.repartition(k), updates, "id", ["v"], order).collect()), key=repr) for k in (1, 5)]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+    changed = [r for r in runs[0] if r[4] != "old"]
+    assert [(r[0], r[1], r[4]) for r in changed] == [("a", "p", "new"), ("b", None, None)]
+    first = lookups.first_per_key(target, ["id"], [*order, lookups.tie_break(target, ["id", *order])])
+    assert first.filter("id = 'a'").first().n == changed[0][3]
+
+
 def weekly(values, region="A"):
     start = date(2018, 1, 7)
     return [(region, start + timedelta(weeks=i), float(v)) for i, v in enumerate(values)]
