@@ -19,21 +19,25 @@ first. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import arrow_map, pa_schema, slices, utf8
+from claimloom.llm.common import arrow_map, pa_schema, slices, worker_memory
 from claimloom.session import work_path
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())  # ASCII, neither letter nor digit
+MARK_BEHIND = re.compile(rb"([.,;:!?])(?<=[a-zA-Z].)(?=[ \n])")
+COMBINING = (b"\xcc", b"\xcd")  # the first bytes of U+0300 to U+037F
 LATIN = "ɐ"  # letters before this are letters to every library
 
 
@@ -100,6 +104,8 @@ class WordTokens(dict):
                 continue
             if plain not in self:
                 runs[plain] = run
+            if word == plain:
+                continue
             if mark and mark not in self:
                 self[mark] = self.whole([mark])[0]
             parts.append((word, plain, mark))
@@ -137,14 +143,42 @@ class WordTokens(dict):
 
 def word_tokens(path: str) -> WordTokens:
     """The memory of this process; workers that are used again keep it from task to task."""
-    import tokenizers
-
-    memories = vars(tokenizers).setdefault("_word_memories", {})
+    memories = worker_memory().setdefault("word tokens", {})
     if path not in memories:
         memories[path] = WordTokens(path)
     return memories[path]
 
 
+def part_marks(text: bytes) -> bytes:
+    """The text with its ASCII letters in lower case and a space between words and their marks.
+
+    The vocabulary's tokens are the same for both, and there are fewer distinct words. A text with combining
+    marks keeps its case: a few letters join with one in lower case only.
+    """
+    if not any(lead in text for lead in COMBINING):
+        text = text.lower()
+    return MARK_BEHIND.sub(rb" \1", text)
+
+
+def encode_texts(texts: pa.Array, words: WordTokens) -> tuple[pa.Array, np.ndarray]:
+    """The token ids of each text as binary, and the ends of their bytes.
+
+    Words are numbered by Arrow, so that each distinct one is looked up once, and taken in their order: the
+    values of the taken words, one after the other, are the ids of the texts.
+    """
+    plain = [part_marks(t) for t in texts.fill_null("").cast(pa.binary()).to_pylist()]
+    split = pc.ascii_split_whitespace(pa.array(plain, pa.binary()).view(pa.string()))
+    numbered = split.flatten().dictionary_encode()
+    known = numbered.dictionary.cast(pa.binary()).to_pylist()
+    words.learn(set(known))
+    ids = pa.array([words[w] for w in known], pa.binary()).take(numbered.indices)
+    first = split.offsets.to_numpy() - split.offsets[0].as_py()
+    if not len(ids):
+        return pa.array([b""] * len(texts), pa.binary()), first
+    ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset :][first]
+    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), ids.buffers()[2]]), ends
+
+
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n and ids (16-bit little-endian binary, without the end token) of each document."""
     kinds = pa_schema(docs.sparkSession, "doc_id bigint, n bigint, ids binary")
@@ -152,10 +186,8 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(tokenizer)
         for batch in slices(batches):
-            texts = [t.split() for t in utf8(batch)]
-            words.learn(set().union(*texts))
-            ids = [b"".join(map(words.__getitem__, t)) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(i) // 2 for i in ids], pa.int64()), pa.array(ids, pa.binary())], schema=kinds)
+            ids, ends = encode_texts(batch.column(1), words)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends) // 2, pa.int64()), ids], schema=kinds)
 
     path = work_path(docs.sparkSession, "pack-tokens")
     docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, ids binary").write.option("compression", "zstd").parquet(path)
@@ -189,7 +221,9 @@ def heaviest_terms(ids: np.ndarray, weight: np.ndarray, mean: float, k1: float,
     """The three heaviest terms of a document as one number; terms without a weight are left out."""
     terms, tf = counts_of(ids)
     heavy = weight[terms] * tf / (tf + k1 * (1 - b + b * len(ids) / mean))
-    best = terms[np.argsort(-heavy, kind="stable")[:3]][np.sort(-heavy)[:3] < 0].tolist()
+    near = np.flatnonzero(heavy >= np.partition(heavy, -3)[-3]) if len(heavy) > 3 else np.arange(len(heavy))
+    near = near[np.argsort(-heavy[near], kind="stable")[:3]]
+    best = terms[near][heavy[near] > 0].tolist()
     first, second, third = best + [(1 << 16) - 1] * (3 - len(best))
     return first << 32 | second << 16 | third
 
@@ -199,7 +233,7 @@ def deal_by_content(tokens: DataFrame, weight: np.ndarray, mean: float, k1: floa
 
     The cuts are set by the tokens of a sample of about ``per_shard`` documents a shard.
     """
-    salted = tokens.select("doc_id", "n", "ids", F.xxhash64("doc_id", "n").alias("salt"))
+    salted = tokens.select("doc_id", "n", "ids", F.xxhash64("doc_id", "n", "ids").alias("salt"))
 
     def places(batch: pa.RecordBatch) -> list[tuple[int, int]]:
         keys = [heaviest_terms(np.frombuffer(i, np.uint16), weight, mean, k1, b) for i in batch.column(2).to_pylist()]
@@ -241,6 +275,14 @@ class Index:
         self.post_doc, self.post_weight = owner[by_term].astype(np.int64), self.weights[by_term].astype(np.float64)
         self.post_first = np.searchsorted(self.terms[by_term], np.arange((1 << 16) + 1))
         self.size = len(docs)
+        # postings of terms that a quarter of the documents have are rows of numbers, at most four for each posting
+        frequent = np.flatnonzero(np.diff(self.post_first) * 4 > max(4, self.size))
+        self.row = np.full(1 << 16, -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), self.size), np.float32)
+        for k, t in enumerate(frequent.tolist()):
+            own = slice(self.post_first[t], self.post_first[t + 1])
+            self.rows[k, self.post_doc[own]] = self.post_weight[own]
 
     def neighbours(self, doc: int, query_terms: int | None, used: np.ndarray) -> Iterator[int]:
         """Unused documents that share a query term, best first; None asks with all terms."""
@@ -249,11 +291,16 @@ class Index:
             heavy = low + np.argpartition(-self.weights[low:high], query_terms - 1)[:query_terms]
         else:
             heavy = np.arange(low, high)
-        spans = [slice(self.post_first[t], self.post_first[t + 1]) for t in self.terms[heavy].tolist()]
-        if not spans:
+        terms = self.terms[heavy]
+        if not len(terms):
             return
-        where = np.concatenate([self.post_doc[s] for s in spans])
-        scores = np.bincount(where, np.concatenate([self.post_weight[s] for s in spans]), self.size)
+        row = self.row[terms]
+        rare = terms[row < 0].astype(np.int64)
+        start = self.post_first[rare]
+        many = self.post_first[rare + 1] - start
+        # the places of all postings of the rare terms
+        place = np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)
+        scores = np.bincount(self.post_doc[place], self.post_weight[place], self.size) + self.rows[row[row >= 0]].sum(axis=0)
         scores[used] = 0
         found = np.flatnonzero(scores)
         best = 32  # most windows need a few documents only
