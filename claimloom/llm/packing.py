@@ -94,6 +94,9 @@ class WordTokens(dict):
             if word in older:
                 self[word] = older[word]
                 continue
+            if word.islower() and word.isalpha():
+                runs[word] = word.decode()
+                continue
             # marks behind letters are a token run of their own
             stem = word.rstrip(MARKS)
             mark = word[len(stem) :]
@@ -169,9 +172,13 @@ def encode_texts(texts: pa.Array, words: WordTokens) -> tuple[pa.Array, np.ndarr
     plain = [part_marks(t) for t in texts.fill_null("").cast(pa.binary()).to_pylist()]
     split = pc.ascii_split_whitespace(pa.array(plain, pa.binary()).view(pa.string()))
     numbered = split.flatten().dictionary_encode()
-    known = numbered.dictionary.cast(pa.binary()).to_pylist()
-    words.learn(set(known))
-    ids = pa.array([words[w] for w in known], pa.binary()).take(numbered.indices)
+    known = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    found = list(map(words.get, known))
+    new = [k for k, value in enumerate(found) if value is None]
+    words.learn({known[k] for k in new})
+    for k in new:
+        found[k] = words[known[k]]
+    ids = pa.array(found, pa.binary()).take(numbered.indices)
     first = split.offsets.to_numpy() - split.offsets[0].as_py()
     if not len(ids):
         return pa.array([b""] * len(texts), pa.binary()), first
