@@ -7,12 +7,16 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from claimloom.llm import line_dedup
 from claimloom.llm.common import read_table, row_key
 from claimloom.llm.graph import components
-from claimloom.llm.line_dedup import cut_lines, drop_repeated_lines
+from claimloom.llm.line_dedup import chunk_batch, cut_lines, drop_repeated_lines
 from claimloom.llm.minhash import _links_between, near_duplicates
 from tests.llm.conftest import PASSAGE, document, prose
 
@@ -135,6 +139,57 @@ def test_line_dedup_finds_every_common_run(spark):
     assert all(passage not in text and len(text.split()) == 80 for passage, text in zip(passages, got[60:], strict=True))
 
 
+def brute_windows(rows, min_words=20):
+    """(id, key) -> text without the windows that stand earlier, by a dictionary of their lines."""
+    heads, out = {}, {}
+    for (doc_id, key), text in sorted(dict(((d, k), t) for d, k, t in rows).items(), key=lambda r: (r[0][0] is not None, *(x or 0 for x in r[0]))):
+        units = cut_lines(text.encode())
+        lines, counts = [u.strip() for u in units], [len(u.split()) for u in units]
+        runs = set()
+        for k in range(len(units)):
+            runs.update(itertools.islice(((k, e + 1) for e in range(k, len(units)) if sum(counts[k : e + 1]) >= min_words), 1))
+            runs.update(itertools.islice(((a, k + 1) for a in range(k, -1, -1) if sum(counts[a : k + 1]) >= min_words), 1))
+        gone = set()
+        for a, e in sorted(runs):
+            head = heads.setdefault(tuple(lines[a:e]), (doc_id, key, a, e))
+            if head[:2] != (doc_id, key) or a >= head[3]:
+                gone.update(range(a, e))
+        out[doc_id, key] = b"".join(u for k, u in enumerate(units) if k not in gone).decode()
+    return out
+
+
+@pytest.mark.parametrize("which", ["edge", "table"])
+def test_line_dedup_drops_every_repeated_window(spark, sf_dir, edge, which):
+    docs = edge if which == "edge" else read_table(spark, sf_dir, "documents")
+    rows = [tuple(r) for r in docs.select("doc_id", F.xxhash64("text", F.col("doc_id").isNull()), "text").collect()]
+    want = brute_windows([r for r in rows if r[2] is not None])
+    got = drop_repeated_lines(docs).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(((d, None if t is None else want[d, k]) for d, k, t in rows), key=repr)
+
+
+def test_line_dedup_compares_bytes(spark, monkeypatch):
+    """With rolling hashes that are all equal, only texts that are equal in bytes go."""
+    monkeypatch.setattr(line_dedup, "_run_hashes", lambda hashes, low, *_: np.zeros(len(low), np.uint64))
+    cloudpickle.register_pickle_by_value(line_dedup)
+    try:
+        texts = [prose(k, 70) for k in range(12)] + [f"{prose(50, 30)}\n{prose(3, 70)}"]
+        got = drop_repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(line_dedup)
+    assert [r.text for r in got] == common_runs(texts)
+    assert [r.removed_words for r in got] == [0] * 12 + [70]
+
+
+def test_chunks_depend_on_their_lines_only():
+    """A run that two texts share has a chunk of the same hash in both, whatever stands around it."""
+    draw = random.Random(5)
+    for k in range(200):
+        run = prose(k, draw.randint(40, 60)) + ".\n"
+        both = [cut_lines((prose(1000 + draw.randrange(999), draw.randint(1, 50)) + "\n" + run + prose(2000 + draw.randrange(999), 30)).encode()) for _ in range(2)]
+        owner, low, high, value = chunk_batch(both, 20)
+        assert (low < high).all() and set(value[owner == 0].tolist()) & set(value[owner == 1].tolist())
+
+
 def test_line_dedup_leaves_one_copy_of_a_repeated_line(spark):
     rows = [(1, "one two. " * 100), (2, "one two. " * 30)]
     got = [r.text for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("doc_id").collect()]
