@@ -465,3 +465,17 @@ def test_perplexity_brute_force(spark, sf_dir):
     want = brute_losses([(r.doc_id, r.text) for r in docs.collect()], trusted)
     got = {r.doc_id: r.loss for r in perplexities(docs, labels, shard_tokens=10_000).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_vocabulary_counts_exactly(spark):
+    """A word and a shape that are common, but rare in most partitions, under any layout."""
+    from claimloom.llm.kneser_ney import vocabulary
+
+    rows = [("xx9 " * 95 + " ".join(f"w{chr(97 + k % 26)}{k}" for k in range(905)),)] + [(f"{'xx9 '}" + "aa. " * 999,) for _ in range(9)]
+    want = None
+    for parts in (1, 3, 10):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "text string")
+        words, shapes, total = vocabulary(docs, 0.0104)
+        assert total == 10_000 and words == [b"aa.", b"xx9"]
+        want = want or (words, shapes)
+        assert (words, shapes) == want
