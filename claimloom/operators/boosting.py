@@ -7,8 +7,10 @@ per level sums gradients and hessians by (setting, class, node, answer). The sum
 model does not depend on partitions or their order. What comes to the driver, and what goes to the tasks, is
 the size of the models and does not grow with the rows.
 
-Rows are packed into blocks of coded answers, stored once; after every ``KEEP`` rounds the margins of all
-settings are stored beside them, so that a pass works out a few trees only and survives lost executors.
+Rows are packed into blocks of coded answers, as many rows as have ``BLOCK`` distinct answers or ``ROWS``;
+before every ``KEEP`` rounds one pass over the rows stores the margins of all settings and how many sampled
+rows each of these rounds has by distinct answers and label. The levels go over distinct answers only, and
+a lost executor costs a few trees.
 Rows are sampled per round by a hash of their keys, columns (of the one-hot table) per tree by a seed.
 
 Trees of fewer rounds are a prefix of more: a setting is fitted once with the most rounds, and its accuracy
@@ -44,7 +46,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SCALE = 1 << 24  # gradients are summed as whole numbers of this part
 KEEP = 8
-BLOCK = 1 << 14
+BLOCK, ROWS = 1 << 14, 1 << 20
 LEAF_PENALTY, LEAST_HESSIAN, LEAST_GAIN = 1.0, 1.0, 1e-6
 
 
@@ -134,7 +136,7 @@ def sampled_answers(setting: Setting, turn: int, part: int, n: int) -> np.ndarra
     return allowed
 
 
-BLOCKS = "n int, answers binary, place binary, label binary, hash binary, fold binary, margins binary"
+BLOCKS = "n int, answers binary, place binary, label binary, hash binary, fold binary, margins binary, counts binary"
 
 
 def pack_rows(df: DataFrame, answers: Mapping[str, Sequence[str]], labels: Sequence[str], label: str, keys: Sequence[str], fold: Column | None, seed: int) -> DataFrame:
@@ -145,14 +147,31 @@ def pack_rows(df: DataFrame, answers: Mapping[str, Sequence[str]], labels: Seque
     kept = df.where(F.col(f"`{label}`").isNotNull()).select(*[F.col(f"`{c}`").cast("string") for c in names], F.col(f"`{label}`").cast("string"), row, (F.lit(0) if fold is None else fold).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coded, cells = np.empty((0, len(names)), np.int32), []
         for whole in batches:
             for start in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(start, BLOCK)
-                coded, own = np.unique(codes_of([batch.column(k) for k in range(len(names))], answers), axis=0, return_inverse=True)
-                place = pc.index_in(batch.column(len(names)), pa.array(labels, pa.string())).to_numpy(zero_copy_only=False)
+                own, at = np.unique(codes_of([batch.column(k) for k in range(len(names))], answers), axis=0, return_inverse=True)
+                both, place = np.unique(np.vstack([coded, own]), axis=0, return_inverse=True)
+                place = place.ravel().astype(np.int32)
+                if cells and (len(both) > BLOCK or sum(len(c[0]) for c in cells) + batch.num_rows > ROWS):
+                    yield packed(coded, cells)
+                    coded, cells = own, []
+                    place = np.arange(len(own), dtype=np.int32)
+                else:  # the answers so far have new numbers
+                    for c in cells:
+                        c[0] = place[: len(coded)][c[0]]
+                    place, coded = place[len(coded) :], both
+                label = pc.index_in(batch.column(len(names)), pa.array(labels, pa.string())).to_numpy(zero_copy_only=False)
                 rest = [batch.column(len(names) + k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (1, 2)]
-                cells = [coded.astype(np.int32), own.ravel().astype(np.int32), place.astype(np.int32), *rest]
-                yield pa.RecordBatch.from_pydict({"n": pa.array([len(coded)], pa.int32())} | {k: pa.array([c.tobytes()], pa.binary()) for k, c in zip(("answers", "place", "label", "hash", "fold"), cells, strict=True)} | {"margins": pa.array([b""], pa.binary())})
+                cells.append([place[at.ravel()], label.astype(np.int32), *rest])
+        if cells:
+            yield packed(coded, cells)
+
+    def packed(coded: np.ndarray, cells: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [coded.astype(np.int32), *(np.concatenate(c) for c in zip(*cells, strict=True))]
+        row = dict(zip(("answers", "place", "label", "hash", "fold"), (c.tobytes() for c in columns), strict=True))
+        return pa.RecordBatch.from_pydict({"n": pa.array([len(coded)], pa.int32())} | {k: pa.array([c], pa.binary()) for k, c in row.items()} | {k: pa.array([b""], pa.binary()) for k in ("margins", "counts")})
 
     return stored(kept.mapInArrow(run, BLOCKS), "boost-rows")
 
@@ -163,8 +182,9 @@ class Block:
     def __init__(self, block: dict, pending: Sequence[Sequence[Sequence[Tree]]], classes: int, column_of: np.ndarray) -> None:
         n, self.classes = block["n"], classes
         self.answers = np.frombuffer(block["answers"], np.int32).reshape(n, -1)
-        self.place, self.label = np.frombuffer(block["place"], np.int32), np.frombuffer(block["label"], np.int32)
-        self.hashes, self.fold = np.frombuffer(block["hash"], np.uint64), np.frombuffer(block["fold"], np.int64)
+        # the levels read no rows
+        self.place, self.label, self.hashes, self.fold = (np.frombuffer(block.get(k, b""), kind) for k, kind in (("place", np.int32), ("label", np.int32), ("hash", np.uint64), ("fold", np.int64)))
+        self.drawn = np.frombuffer(block["counts"], np.int32).reshape(-1, n, classes).astype(np.int64)
         shape = (len(pending), n, 1 if classes <= 2 else classes)
         self.margins = np.frombuffer(block["margins"], np.float64).reshape(shape).copy() if block["margins"] else np.zeros(shape)
         for s, rounds in enumerate(pending):
@@ -186,6 +206,9 @@ class Boosting:
         self.column_of = columns_of(answers)
         self.parts = 1 if len(labels) <= 2 else len(labels)  # trees of a round
         self.trees: list[list[list[Tree]]] = [[] for _ in settings]  # by setting, round, part
+        draws = sorted({(x.left_out, x.rows, x.seed) for x in settings})
+        # what is counted before every KEEP rounds: the draws, and again for each round if they sample rows
+        self.slots = {slot: k for k, slot in enumerate((d, t) for d in draws for t in (range(KEEP) if d[1] < 1 else (0,)))}
 
     def histogram(self, blocks: DataFrame, since: int, turn: int, level: int, grown: dict[tuple[int, int], Tree]) -> tuple[np.ndarray, np.ndarray]:
         """Sums of gradients and hessians by (tree, node of the level, answer); the last answer is the node's total."""
@@ -194,6 +217,8 @@ class Boosting:
         wanted = sorted({s for s, _ in grown})
         # a task is sent what it needs, not all trees
         settings, parts, classes, column_of, pending = self.settings, self.parts, len(self.labels), self.column_of, [rounds[since:turn] for rounds in self.trees]
+        draws = [(x.left_out, x.rows, x.seed) for x in settings]
+        slots = [self.slots[d, turn - since if d[1] < 1 else 0] for d in draws]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((2, int(np.prod(shape))), np.int64)
@@ -201,12 +226,8 @@ class Boosting:
                 for block in (Block(row, pending, classes, column_of) for row in batch.to_pylist()):
                     cells = np.where(block.answers < 0, width - 2, block.answers)
                     cells = np.hstack([cells, np.full((len(cells), 1), width - 1)])
-                    counts: dict[tuple, np.ndarray] = {}
                     for s in wanted:
-                        sample = (settings[s].left_out, settings[s].rows, settings[s].seed)
-                        if sample not in counts:
-                            counts[sample] = block.counts((block.fold != sample[0]) & sampled(block.hashes, sample[1], sample[2], turn))
-                        both = gradients(block.margins[s], counts[sample])
+                        both = gradients(block.margins[s], block.drawn[slots[s]])
                         for k in range(parts):
                             if (s, k) not in index:
                                 continue
@@ -218,7 +239,7 @@ class Boosting:
             some = np.flatnonzero(sums.any(0))
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(sums[0, some]), pa.array(sums[1, some])], names=["cell", "g", "h"])
 
-        sums = blocks.mapInArrow(run, "cell bigint, g bigint, h bigint")
+        sums = blocks.select("n", "answers", "margins", "counts").mapInArrow(run, "cell bigint, g bigint, h bigint")
         found = sums.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
         out = np.zeros((2, int(np.prod(shape))))
         for side, name in enumerate("gh"):
@@ -242,7 +263,7 @@ class Boosting:
 
     def fit(self, blocks: DataFrame) -> DataFrame:
         """Grow all trees; returns the blocks."""
-        since, now = 0, blocks
+        since, now = 0, self.kept(blocks, 0, 0)
         rounds = max(s.rounds for s in self.settings)
         for turn in range(rounds):
             self.grow(now, since, turn)
@@ -251,13 +272,20 @@ class Boosting:
         return blocks
 
     def kept(self, blocks: DataFrame, since: int, until: int) -> DataFrame:
-        """The blocks with the margins after some rounds."""
-        classes, column_of, pending = len(self.labels), self.column_of, [rounds[since:until] for rounds in self.trees]
+        """The blocks with the margins after some rounds and the counts of the next ones."""
+        classes, column_of, pending, slots = len(self.labels), self.column_of, [rounds[since:until] for rounds in self.trees], list(self.slots)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                margins = [Block(row, pending, classes, column_of).margins.tobytes() for row in batch.to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(margins, pa.binary())], names=batch.schema.names)
+                for k, row in enumerate(batch.to_pylist()):
+                    block = Block(row, pending, classes, column_of)
+                    drawn, counts = {}, np.empty((len(slots), row["n"], classes), np.int32)
+                    for place, ((left_out, share, seed), t) in enumerate(slots):
+                        if (share, seed, t) not in drawn:
+                            drawn[share, seed, t] = sampled(block.hashes, share, seed, until + t)
+                        counts[place] = block.counts(drawn[share, seed, t] & (block.fold != left_out))
+                    cells = [pa.array([c.tobytes()], pa.binary()) for c in (block.margins, counts)]
+                    yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns[:-2], *cells], names=batch.schema.names)
 
         return stored(blocks.mapInArrow(run, BLOCKS), "boost-margins")
 

@@ -133,3 +133,13 @@ def test_one_class_and_no_rows(spark):
 
 def test_names():
     assert BoostedModel({"a": ["x"]}, ["l"], []).labels == ["l"]
+
+
+def test_rows_of_few_answers_are_one_block(spark):
+    """A pass of a level goes over distinct answers, not over rows."""
+    data = spark.createDataFrame(rows(25_000, 2), SCHEMA).coalesce(1)
+    fitted, blocks = fit_settings(data, COLUMNS, "label", [Setting(rounds=2, rows=0.8), Setting(rounds=2, left_out=1)], ["id"], F.pmod("id", F.lit(3)))
+    sizes = [r.n for r in blocks.select("n").collect()]
+    assert sizes == [32]
+    kept = fitted.kept(blocks, 0, 0).collect()
+    assert sum(int(np.frombuffer(r.counts, np.int32).reshape(-1, r.n, 2)[fitted.slots[(1, 1.0, 42), 0]].sum()) for r in kept) == sum(k % 3 != 1 for k in range(25_000))
