@@ -19,10 +19,12 @@ first. Extra columns are ignored.
 
 from __future__ import annotations
 
-import re
+import os
 import unicodedata
 from bisect import bisect_right
+from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,29 @@ from claimloom.session import work_path
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())  # ASCII, neither letter nor digit
-MARK_BEHIND = re.compile(rb"([.,;:!?])(?<=[a-zA-Z].)(?=[ \n])")
-COMBINING = (b"\xcc", b"\xcd")  # the first bytes of U+0300 to U+037F
+SPACES = b" \t\n\v\f\r"
+LOWER = bytes(range(256)).lower()
+OTHER, SPACE, LETTER, MARK = range(4)  # kinds of bytes
+KINDS = bytes(SPACE if b in SPACES else LETTER if bytes([b]).isalpha() else MARK if b in b".,;:!?" else OTHER for b in range(256))
+CASED = (b"\xcc", b"\xcd", b"<|")  # the first bytes of U+0300 to U+037F, and of control strings
+SPACES = b" \t\n\v\f\r"
+LOWER = bytes(range(256)).lower()
+# kinds of bytes; a lead and what may follow it make a letter from U+00C0 to U+023F
+OTHER, SPACE, LETTER, MARK, LEAD, FOLLOW = range(6)
+KINDS = bytearray(256)
+for _kind, _bytes in (
+    (SPACE, SPACES),
+    (LETTER, [b for b in range(128) if chr(b).isalpha()]),
+    (MARK, [b for b in MARKS if b not in b"|>"]),  # these two end control strings
+    (LEAD, range(0xC3, 0xC9)),
+    (FOLLOW, [b for b in range(0x80, 0xC0) if b not in b"\x97\xb7"]),  # no signs of times and division
+):
+    for _byte in _bytes:
+        KINDS[_byte] = _kind
+MOST_MARKS = 8  # longer tails of marks stay with their word
+RARE = 16
 LATIN = "ɐ"  # letters before this are letters to every library
+SMALL = np.array([c == " " or c.isalpha() and c == c.lower() for c in map(chr, range(ord(LATIN)))] + [False])
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -57,12 +79,11 @@ def byte_letters() -> list[str]:
 class WordTokens(dict):
     """The token ids of white-space separated words, as 16-bit binary.
 
-    ``learn`` encodes the words of a batch that are not known yet, all in one call. It is a memory of
-    two generations of about ``most`` words: when the younger one is full it becomes the older one, and
-    a word that is met again moves back.
+    ``learn`` encodes the words of a batch that are not known yet, all in one call. Once there are more than
+    about ``most`` words, only those of the last batch are kept.
     """
 
-    def __init__(self, path: str, most: int = 250_000) -> None:
+    def __init__(self, path: str, most: int = 500_000) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
@@ -71,96 +92,141 @@ class WordTokens(dict):
             raise ValueError("token ids must fit in 16 bits")
         self.plain = Tokenizer.from_file(path)  # for runs of letters, each one token run
         self.plain.normalizer = None
-        self.plain.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        self.plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.last = np.zeros(1 << 16, bool)  # ids that end a run
         for token, number in self.tokenizer.get_vocab().items():
             self.last[number] = token.endswith("</w>")
-        self.letters = byte_letters()
-        self.most, self.older = most, {}
+        letters = byte_letters()
+        self.letters = "".join([*letters[:32], " ", *letters[33:]])
+        self.most = most
 
     def __missing__(self, word: bytes) -> bytes:
-        self.learn({word})
-        return self[word]
+        return self.learn([word])[0]
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words that are not known yet, and remembers them."""
+        if not words:
+            return []
+        small = small_letters(words)
         parts: list[tuple[bytes, bytes, bytes]] = []
-        runs: dict[bytes, str] = {}
+        stems: set[bytes] = set()
         others: list[bytes] = []
-        older = self.older
-        for word in words.difference(self.keys()):
-            if word in older:
-                self[word] = older[word]
-                continue
-            if word.islower() and word.isalpha():
-                runs[word] = word.decode()
-                continue
+        for word in compress(words, [not s for s in small]):
             # marks behind letters are a token run of their own
             stem = word.rstrip(MARKS)
-            mark = word[len(stem) :]
-            plain = stem.lower()
-            run = plain.decode() if plain.isalpha() else self.as_run(plain)
+            run = as_run(stem)
             if run is None:
                 others.append(word)
                 continue
-            if plain not in self:
-                runs[plain] = run
-            if word == plain:
-                continue
+            parts.append((word, run, mark := word[len(stem) :]))
+            if run not in self:
+                stems.add(run)
             if mark and mark not in self:
                 self[mark] = self.whole([mark])[0]
-            parts.append((word, plain, mark))
-        self.encode_runs(runs)
-        for word, found in zip(others, self.whole(others), strict=True):
-            self[word] = found
-        for word, plain, mark in parts:
-            self[word] = self[plain] + self[mark] if mark else self[plain]
+        runs = [*compress(words, small), *stems]
+        found = self.encode_runs(runs)
+        self.update(zip(runs, found, strict=True))
+        self.update(zip(others, self.whole(others), strict=True))
+        for word, run, mark in parts:
+            self[word] = self[run] + self[mark] if mark else self[run]
+        ids = iter(found)
+        return [next(ids) if s else self[w] for w, s in zip(words, small, strict=True)]
+
+    def forget(self, words: list[bytes], ids: list[bytes]) -> None:
+        """Keeps only these words if there are too many."""
+        if len(self) > self.most:
+            self.clear()
+            self.update(zip(words, ids, strict=True))
 
     def whole(self, words: list[bytes]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, np.uint16).tobytes() for e in encoded]
 
-    def as_run(self, word: bytes) -> str | None:
-        """A word of letters, lower-cased and in the vocabulary's characters; None for other words."""
-        text = word.decode()
-        if text.isalpha() and max(text) < LATIN and unicodedata.is_normalized("NFC", text):
-            lower = text.lower()
-            if len(lower) == len(text):
-                return "".join([self.letters[b] for b in lower.encode()])
-        return None
-
-    def encode_runs(self, runs: dict[bytes, str], step: int = 256) -> None:
+    def encode_runs(self, runs: list[bytes], step: int = 256) -> list[bytes]:
         if not runs:
-            return
-        words = list(runs.values())
-        encoded = self.plain.encode_batch_fast([" ".join(words[k : k + step]) for k in range(0, len(words), step)], add_special_tokens=False)
+            return []
+        joined = b" ".join(runs)
+        text, _ = charmap_decode(joined, "strict", self.letters)  # one character a byte
+        cuts = [-1, *np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)[step - 1 :: step].tolist(), len(text)]
+        encoded = self.plain.encode_batch_fast([text[i + 1 : j] for i, j in pairwise(cuts)], add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, np.uint16) for e in encoded])
         ends = ((np.flatnonzero(self.last[ids]) + 1) * 2).tolist()
-        binary, start = ids.tobytes(), 0
-        for stem, end in zip(runs, ends, strict=True):
-            self[stem] = binary[start:end]
-            start = end
+        binary = ids.tobytes()
+        return [binary[i:j] for i, j in pairwise([0, *ends])]
+
+
+def small_letters(words: list[bytes]) -> list[bool]:
+    """Which words consist of small Latin letters; these are their own normal form."""
+    points = np.frombuffer(b" ".join(words).decode().encode("utf-32-le"), np.uint32)
+    first = np.concatenate([[0], np.flatnonzero(points == 32) + 1])
+    return np.logical_and.reduceat(SMALL[np.minimum(points, len(SMALL) - 1)], first).tolist()
+
+
+def as_run(word: bytes) -> bytes | None:
+    """A word of letters in lower case; None for other words."""
+    if word.isalpha():
+        return word.lower()
+    text = word.decode()
+    if text.isalpha() and max(text) < LATIN and unicodedata.is_normalized("NFC", text):
+        lower = text.lower()
+        if len(lower) == len(text):
+            return lower.encode()
+    return None
 
 
 def word_tokens(path: str) -> WordTokens:
     """The memory of this process; workers that are used again keep it from task to task."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     memories = worker_memory().setdefault("word tokens", {})
     if path not in memories:
         memories[path] = WordTokens(path)
     return memories[path]
 
 
-def part_marks(text: bytes) -> bytes:
-    """The text with its ASCII letters in lower case and a space between words and their marks.
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, and the number of words before each text and in all.
 
-    The vocabulary's tokens are the same for both, and there are fewer distinct words. A text with combining
-    marks keeps its case: a few letters join with one in lower case only.
+    ASCII letters are in lower case, and marks between a letter and white space are a word of their own: the
+    vocabulary's tokens are the same, and there are fewer distinct words. A text with combining marks or what
+    may be a control string keeps its case: a few letters join with one in lower case only.
     """
-    if not any(lead in text for lead in COMBINING):
-        text = text.lower()
-    return MARK_BEHIND.sub(rb" \1", text)
+    texts = texts.fill_null("").cast(pa.binary())
+    _, bounds, data = texts.buffers()
+    bounds = np.frombuffer(bounds, np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+    raw = data[int(bounds[0]) : int(bounds[-1])].to_pybytes() if data else b""
+    bounds -= bounds[0]
+    if not raw or raw.isspace():
+        return pa.array([], pa.binary()), np.zeros(len(texts) + 1, np.int64)
+    lower = raw.translate(LOWER)
+    if any(sign in raw for sign in CASED):
+        kept = bytearray(lower)
+        for i, j in pairwise(bounds.tolist()):
+            if any(raw.find(sign, i, j) >= 0 for sign in CASED):
+                kept[i:j] = raw[i:j]
+        lower = bytes(kept)
+    kind = np.frombuffer(raw.translate(KINDS), np.uint8)
+    # where words begin and end
+    inside = kind != SPACE
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    heads = bounds[(bounds > 0) & (bounds < len(raw))]
+    begins[heads], ends[heads - 1] = inside[heads], inside[heads - 1]
+    first, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    offsets = np.concatenate([[0], np.cumsum(end - first)])
+    # where their marks begin
+    marked = np.flatnonzero(kind[end - 1] == MARK)
+    at = end[marked] - 1
+    for _ in range(MOST_MARKS):
+        at -= (kind[at] == MARK) & (at > first[marked])
+    before = kind[np.maximum(at, 1) - 1]
+    letter = (kind[at] == LETTER) | (kind[at] == FOLLOW) & (before == LEAD) & (at > first[marked])
+    marked, at = marked[letter], at[letter]
+    tails = offsets[marked] + at + 1 - first[marked]
+    parted = np.sort(np.concatenate([offsets, tails]), kind="stable").astype(np.int32)
+    words = lower.translate(None, SPACES)
+    before_text = np.searchsorted(parted, offsets[np.searchsorted(first, bounds)])
+    return pa.Array.from_buffers(pa.binary(), len(parted) - 1, [None, pa.py_buffer(parted), pa.py_buffer(words)]), before_text
 
 
 def encode_texts(texts: pa.Array, words: WordTokens) -> tuple[pa.Array, np.ndarray]:
@@ -169,19 +235,17 @@ def encode_texts(texts: pa.Array, words: WordTokens) -> tuple[pa.Array, np.ndarr
     Words are numbered by Arrow, so that each distinct one is looked up once, and taken in their order: the
     values of the taken words, one after the other, are the ids of the texts.
     """
-    plain = [part_marks(t) for t in texts.fill_null("").cast(pa.binary()).to_pylist()]
-    split = pc.ascii_split_whitespace(pa.array(plain, pa.binary()).view(pa.string()))
-    numbered = split.flatten().dictionary_encode()
-    known = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    split, first = split_words(texts)
+    if not len(split):
+        return pa.array([b""] * len(texts), pa.binary()), first
+    numbered = split.dictionary_encode()
+    known = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
     found = list(map(words.get, known))
-    new = [k for k, value in enumerate(found) if value is None]
-    words.learn({known[k] for k in new})
-    for k in new:
-        found[k] = words[known[k]]
+    new = [k for k, ids in enumerate(found) if ids is None]
+    for k, ids in zip(new, words.learn([known[k] for k in new]), strict=True):
+        found[k] = ids
+    words.forget(known, found)
     ids = pa.array(found, pa.binary()).take(numbered.indices)
-    first = split.offsets.to_numpy() - split.offsets[0].as_py()
-    if not len(ids):
-        return pa.array([b""] * len(texts), pa.binary()), first
     ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset :][first]
     return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), ids.buffers()[2]]), ends
 
@@ -201,20 +265,41 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     return docs.sparkSession.read.parquet(path)
 
 
-def counts_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct token ids and how often each occurs."""
-    ordered = np.sort(ids, kind="stable")  # a radix sort for 16-bit numbers
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.empty(0, np.int64)
-    return ordered[first], np.diff(np.append(first, len(ordered)))
+def joined_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The token ids of all rows of a binary column, one after the other, and how many each row has."""
+    _, bounds, data = column.buffers()
+    bounds = np.frombuffer(bounds, np.int32, len(column) + 1, column.offset * 4).astype(np.int64) // 2
+    ids = np.frombuffer(data, np.uint16, bounds[-1])[bounds[0] :] if data else np.empty(0, np.uint16)
+    return ids, np.diff(bounds)
+
+
+def term_counts(ids: np.ndarray, lengths: np.ndarray, step: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct token ids of documents, in the order of documents and ids: their document, id and count.
+
+    Documents are sorted together, about ``step`` ids at once.
+    """
+    ends = np.cumsum(lengths)
+    found = [(np.empty(0, np.int64), np.empty(0, np.uint16), np.empty(0, np.int64))]
+    low = begin = 0
+    while low < len(lengths):
+        high = min(max(low + 1, int(np.searchsorted(ends, begin + step, "right"))), low + (1 << 16))
+        end = int(ends[high - 1])
+        keys = np.repeat(np.arange(high - low, dtype=np.uint32) << 16, lengths[low:high]) | ids[begin:end]
+        keys.sort()
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        own = keys[first]
+        found.append((low + (own >> 16).astype(np.int64), own.astype(np.uint16), np.diff(np.append(first, len(keys)))))
+        low, begin = high, end
+    owner, terms, counts = map(np.concatenate, zip(*found))
+    return owner, terms, counts
 
 
 def document_frequencies(tokens: DataFrame, size: int = 1 << 16) -> np.ndarray:
     """In how many documents each token id occurs; one number per id of the vocabulary."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        seen = np.zeros(size, np.int64)
-        for ids in batch.column(0).to_pylist():
-            seen[counts_of(np.frombuffer(ids, np.uint16))[0]] += 1
+        _, terms, _ = term_counts(*joined_ids(batch.column(0)))
+        seen = np.bincount(terms, minlength=size)
         found = np.flatnonzero(seen)
         return {"id": found, "n": seen[found]}
 
@@ -224,15 +309,24 @@ def document_frequencies(tokens: DataFrame, size: int = 1 << 16) -> np.ndarray:
     return out
 
 
-def heaviest_terms(ids: np.ndarray, weight: np.ndarray, mean: float, k1: float, b: float) -> int:
-    """The three heaviest terms of a document as one number; terms without a weight are left out."""
-    terms, tf = counts_of(ids)
-    heavy = weight[terms] * tf / (tf + k1 * (1 - b + b * len(ids) / mean))
-    near = np.flatnonzero(heavy >= np.partition(heavy, -3)[-3]) if len(heavy) > 3 else np.arange(len(heavy))
-    near = near[np.argsort(-heavy[near], kind="stable")[:3]]
-    best = terms[near][heavy[near] > 0].tolist()
-    first, second, third = best + [(1 << 16) - 1] * (3 - len(best))
-    return first << 32 | second << 16 | third
+def heaviest_terms(ids: np.ndarray, lengths: np.ndarray, weight: np.ndarray, mean: float, k1: float, b: float) -> list[int]:
+    """The three heaviest terms of each document as one number; terms without a weight are left out."""
+    owner, terms, tf = term_counts(ids, lengths)
+    heavy = weight[terms] * tf / (tf + (k1 * (1 - b + b * lengths / mean))[owner])
+    keys = np.zeros(len(lengths), np.int64)
+    own = np.unique(owner)  # documents with terms
+    first = np.searchsorted(owner, own)
+    sizes = np.diff(np.append(first, len(owner)))
+    for _ in range(3):
+        best = np.full(len(lengths), (1 << 16) - 1)
+        if len(own):
+            most = np.maximum.reduceat(heavy, first)
+            at = np.flatnonzero(heavy == np.repeat(most, sizes))
+            at = at[np.searchsorted(at, first)]  # the first one of a document
+            best[own[most > 0]] = terms[at[most > 0]]
+            heavy[at] = 0
+        keys = keys << 16 | best
+    return keys.tolist()
 
 
 def deal_by_content(tokens: DataFrame, weight: np.ndarray, mean: float, k1: float, b: float, shards: int, n_docs: int, per_shard: int = 64) -> DataFrame:
@@ -243,7 +337,7 @@ def deal_by_content(tokens: DataFrame, weight: np.ndarray, mean: float, k1: floa
     salted = tokens.select("doc_id", "n", "ids", F.xxhash64("doc_id", "n", "ids").alias("salt"))
 
     def places(batch: pa.RecordBatch) -> list[tuple[int, int]]:
-        keys = [heaviest_terms(np.frombuffer(i, np.uint16), weight, mean, k1, b) for i in batch.column(2).to_pylist()]
+        keys = heaviest_terms(*joined_ids(batch.column(2)), weight, mean, k1, b)
         return list(zip(keys, batch.column(3).to_pylist(), strict=True))
 
     def locate(batch: pa.RecordBatch) -> dict:
@@ -270,26 +364,36 @@ class Index:
     """BM25 inverted index of a shard."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float, k1: float, b: float) -> None:
-        counted = [counts_of(d) for d in docs]
-        sizes = np.array([len(t) for t, _ in counted], np.int64)
-        self.terms = np.concatenate([t for t, _ in counted] or [np.empty(0, np.uint16)])
-        tf = np.concatenate([c for _, c in counted] or [np.empty(0, np.int64)]).astype(np.float32)
-        owner = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
-        norm = (k1 * (1 - b + b * np.array([len(d) for d in docs]) / mean)).astype(np.float32)
-        self.weights = idf[self.terms] * tf * (k1 + 1) / (tf + norm[owner])
-        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        lengths = np.array([len(d) for d in docs], np.int64)
+        owner, self.terms, tf = term_counts(np.concatenate(docs or [np.empty(0, np.uint16)]), lengths)
+        norm = (k1 * (1 - b + b * lengths / mean)).astype(np.float32)
+        self.weights = idf[self.terms] * tf.astype(np.float32) * (k1 + 1) / (tf.astype(np.float32) + norm[owner])
+        self.first = np.searchsorted(owner, np.arange(len(docs) + 1))
         by_term = np.argsort(self.terms, kind="stable")
-        self.post_doc, self.post_weight = owner[by_term].astype(np.int64), self.weights[by_term].astype(np.float64)
+        self.post_doc, self.post_weight = owner[by_term], self.weights[by_term].astype(np.float64)
         self.post_first = np.searchsorted(self.terms[by_term], np.arange((1 << 16) + 1))
         self.size = len(docs)
-        # postings of terms that a quarter of the documents have are rows of numbers, at most four for each posting
-        frequent = np.flatnonzero(np.diff(self.post_first) * 4 > max(4, self.size))
+        # postings of terms that one in RARE documents has are rows of numbers, at most RARE for each posting
+        frequent = np.flatnonzero(np.diff(self.post_first) * RARE > max(RARE, self.size))
         self.row = np.full(1 << 16, -1)
         self.row[frequent] = np.arange(len(frequent))
         self.rows = np.zeros((len(frequent), self.size), np.float32)
         for k, t in enumerate(frequent.tolist()):
             own = slice(self.post_first[t], self.post_first[t + 1])
             self.rows[k, self.post_doc[own]] = self.post_weight[own]
+        # rows that are summed at once, few enough for a cache
+        self.block = np.empty((max(2, min(32, (1 << 16) // max(1, self.size))), self.size), np.float32)
+
+    def sum_rows(self, picked: np.ndarray) -> np.ndarray:
+        """The sum of some rows, added one by one in their order."""
+        total = np.zeros(self.size, np.float32)
+        step = len(self.block) - 1
+        for k in range(0, len(picked), step):
+            own = picked[k : k + step]
+            self.block[0] = total
+            self.rows.take(own, axis=0, out=self.block[1 : len(own) + 1], mode="clip")
+            self.block[: len(own) + 1].sum(axis=0, out=total)
+        return total
 
     def neighbours(self, doc: int, query_terms: int | None, used: np.ndarray) -> Iterator[int]:
         """Unused documents that share a query term, best first; None asks with all terms."""
@@ -307,7 +411,7 @@ class Index:
         many = self.post_first[rare + 1] - start
         # the places of all postings of the rare terms
         place = np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)
-        scores = np.bincount(self.post_doc[place], self.post_weight[place], self.size) + self.rows[row[row >= 0]].sum(axis=0)
+        scores = np.bincount(self.post_doc[place], self.post_weight[place], self.size) + self.sum_rows(row[row >= 0])
         scores[used] = 0
         found = np.flatnonzero(scores)
         best = 32  # most windows need a few documents only

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -23,7 +24,7 @@ from claimloom.llm.common import read_table
 from claimloom.llm.kneser_ney import classify, perplexities
 from claimloom.llm.merkle import differing_paragraphs, fingerprint_documents, merkle_tree
 from claimloom.llm.mixing import MIX_SQL, apportion, mix_sources
-from claimloom.llm.packing import Index, WordTokens, digest_pieces, pack_documents
+from claimloom.llm.packing import Index, WordTokens, digest_pieces, encode_texts, heaviest_terms, joined_ids, pack_documents, term_counts
 from claimloom.llm.packing import vocabulary_path as pack_vocabulary
 from claimloom.llm.rules import COUNTS, FEATURES, cover, judge, learn_rules, statistics
 from claimloom.llm.scanning import build_scanner, digest_spans, scan_documents, scan_texts
@@ -262,6 +263,50 @@ def check_packed(docs, got, window=2048):
             assert end == len(own[0])
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.none() | st.text(st.sampled_from("aBéÉ×÷ǀ'.,!*>|?1 \n\tsß漢İΣ\u0301\u0338=\u00a0<"), max_size=20), min_size=1, max_size=6), st.integers(0, 2))
+def test_encode_texts(texts, skip):
+    """Texts that are encoded together, also from the middle of an array, have the tokenizer's ids."""
+    texts = [*texts, "<|ENDOFTEXT|> Ab.<|endoftext|>!!", "É. Zöä!*. zöä×!! \u20ac!! x" + "!" * 12]
+    ids, ends = encode_texts(pa.array(texts, pa.string()).slice(skip), CODEC)
+    want = [CODEC.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[skip:]]
+    assert [np.frombuffer(i, np.uint16).tolist() for i in ids.to_pylist()] == want
+    assert (np.diff(ends) // 2).tolist() == [len(w) for w in want]
+
+
+def test_words_are_learned_without_marks():
+    """Words are encoded once, whatever marks stand behind them, and the memory of them is bounded."""
+    words = WordTokens(pack_vocabulary(), most=50)
+    encode_texts(pa.array([f"baobab{m} gemüsé{m}" for m in (".", "!!", "***", "##.", "")]), words)
+    assert sorted(words) == sorted([b"baobab", "gemüsé".encode(), b".", b"!!", b"***", b"##."])
+    for k in range(20):
+        encode_texts(pa.array(["".join(random.Random(n).choices("abcdefg", k=9)) for n in range(20 * k, 20 * k + 20)]), words)
+        assert len(words) <= 70
+
+
+def test_terms_of_documents():
+    """Counts, heaviest terms and scores of documents taken together are those of each by itself."""
+    draw = np.random.default_rng(3)
+    docs = [draw.integers(0, 60, n).astype(np.uint16) * 1000 for n in (0, 1, 2, 300, 0, 40, 7, 500, 0)]
+    lengths = np.array([len(d) for d in docs])
+    weight = np.where(np.arange(1 << 16) % 7000 == 0, 0, np.linspace(1, 2, 1 << 16)).astype(np.float32)
+    column = pa.array([b"xx", *(d.tobytes() for d in docs)], pa.binary()).slice(1)
+    assert [x.tolist() for x in joined_ids(column)] == [np.concatenate(docs).tolist(), lengths.tolist()]
+    for step in (1, 100, 1 << 17):
+        owner, terms, counts = term_counts(*joined_ids(column), step=step)
+        want = [(k, t, n) for k, d in enumerate(docs) for t, n in sorted(Counter(d.tolist()).items())]
+        assert list(zip(owner.tolist(), terms.tolist(), counts.tolist(), strict=True)) == want
+    for doc, key in zip(docs, heaviest_terms(*joined_ids(column), weight, 50.0, 1.2, 0.75), strict=True):
+        heavy = {t: float(weight[t]) * n / (n + 1.2 * (0.25 + 0.75 * len(doc) / 50)) for t, n in Counter(doc.tolist()).items() if weight[t] > 0}
+        best = [*sorted(heavy, key=lambda t: (-heavy[t], t))[:3], 65535, 65535, 65535]
+        assert key == best[0] << 32 | best[1] << 16 | best[2]
+    index = Index(docs, weight, 50.0, 1.2, 0.75)
+    for seed in range(len(docs)):
+        scores = [sum(float(weight[t]) * 2.2 * n / (n + 1.2 * (0.25 + 0.75 * len(d) / 50)) for t, n in Counter(d.tolist()).items() if t in docs[seed]) for d in docs]
+        found = list(index.neighbours(seed, None, np.arange(len(docs)) == seed))
+        assert found == sorted((k for k, x in enumerate(scores) if x and k != seed), key=lambda k: -scores[k])
+
+
 def test_packing(spark, sf_dir, edge, nothing):
     for docs in (edge, read_table(spark, sf_dir, "documents")):
         check_packed(docs.collect(), digest_pieces(pack_documents(docs)).collect())
