@@ -53,12 +53,12 @@ for _kind, _bytes in (
     (LETTER, [b for b in range(128) if chr(b).isalpha()]),
     (MARK, [b for b in MARKS if b not in b"|>"]),  # these two end control strings
     (LEAD, range(0xC3, 0xC9)),
-    (FOLLOW, [b for b in range(0x80, 0xC0) if b not in b"\x97\xb7"]),  # no signs of times and division
+    (FOLLOW, [b for b in range(0x80, 0xC0) if b not in b"\x97\xb7\xb0"]),  # no × and ÷, no İ, which becomes two characters
 ):
     for _byte in _bytes:
         KINDS[_byte] = _kind
 MOST_MARKS = 8  # longer tails of marks stay with their word
-RARE = 16
+RARE = 8
 LATIN = "ɐ"  # letters before this are letters to every library
 SMALL = np.array([c == " " or c.isalpha() and c == c.lower() for c in map(chr, range(ord(LATIN)))] + [False])
 
@@ -360,6 +360,25 @@ def deal_by_content(tokens: DataFrame, weight: np.ndarray, mean: float, k1: floa
     return arrow_map(salted, deal, "doc_id bigint, ids binary, shard bigint")
 
 
+class Rows:
+    """The postings of some terms as rows of numbers, one for each document of a shard."""
+
+    def __init__(self, n: int, size: int, kind: type, cached: int = 1 << 18) -> None:
+        self.rows = np.zeros((n, size), kind)
+        # rows that are summed at once, few enough for a cache
+        self.block = np.empty((2 + min(n, cached // max(1, self.rows.itemsize * size)), size), kind)
+
+    def sum(self, picked: np.ndarray) -> np.ndarray:
+        """The sum of some rows, added one by one in their order."""
+        block, step = self.block, len(self.block) - 1
+        block[0] = 0
+        for k in range(0, len(picked), step):
+            own = picked[k : k + step]
+            self.rows.take(own, axis=0, out=block[1 : len(own) + 1], mode="clip")
+            block[0] = block[: len(own) + 1].sum(axis=0)
+        return block[0]
+
+
 class Index:
     """BM25 inverted index of a shard."""
 
@@ -373,27 +392,21 @@ class Index:
         self.post_doc, self.post_weight = owner[by_term], self.weights[by_term].astype(np.float64)
         self.post_first = np.searchsorted(self.terms[by_term], np.arange((1 << 16) + 1))
         self.size = len(docs)
-        # postings of terms that one in RARE documents has are rows of numbers, at most RARE for each posting
-        frequent = np.flatnonzero(np.diff(self.post_first) * RARE > max(RARE, self.size))
+        # postings of terms that a quarter of the documents have are rows of numbers, at most four for each posting;
+        # so are those of one in RARE, in 64 bits like the sums of postings, which are exact in any order
+        many = np.diff(self.post_first)
         self.row = np.full(1 << 16, -1)
-        self.row[frequent] = np.arange(len(frequent))
-        self.rows = np.zeros((len(frequent), self.size), np.float32)
-        for k, t in enumerate(frequent.tolist()):
+        self.common = self.take_rows(np.flatnonzero(many * 4 > max(4, self.size)), np.float32)
+        self.medium = self.take_rows(np.flatnonzero((many * RARE > max(RARE, self.size)) & (self.row < 0)), np.float64)
+
+    def take_rows(self, terms: np.ndarray, kind: type) -> Rows:
+        """A row for each term, numbered by ``row`` behind those there are."""
+        self.row[terms] = self.row.max() + 1 + np.arange(len(terms))
+        found = Rows(len(terms), self.size, kind)
+        for k, t in enumerate(terms.tolist()):
             own = slice(self.post_first[t], self.post_first[t + 1])
-            self.rows[k, self.post_doc[own]] = self.post_weight[own]
-        # rows that are summed at once, few enough for a cache
-        self.block = np.empty((max(2, min(32, (1 << 16) // max(1, self.size))), self.size), np.float32)
-
-    def sum_rows(self, picked: np.ndarray) -> np.ndarray:
-        """The sum of some rows, added one by one in their order."""
-        total = np.zeros(self.size, np.float32)
-        step = len(self.block) - 1
-        for k in range(0, len(picked), step):
-            own = picked[k : k + step]
-            self.block[0] = total
-            self.rows.take(own, axis=0, out=self.block[1 : len(own) + 1], mode="clip")
-            self.block[: len(own) + 1].sum(axis=0, out=total)
-        return total
+            found.rows[k, self.post_doc[own]] = self.post_weight[own]
+        return found
 
     def neighbours(self, doc: int, query_terms: int | None, used: np.ndarray) -> Iterator[int]:
         """Unused documents that share a query term, best first; None asks with all terms."""
@@ -411,7 +424,9 @@ class Index:
         many = self.post_first[rare + 1] - start
         # the places of all postings of the rare terms
         place = np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)
-        scores = np.bincount(self.post_doc[place], self.post_weight[place], self.size) + self.sum_rows(row[row >= 0])
+        n = len(self.common.rows)
+        scores = np.bincount(self.post_doc[place], self.post_weight[place], self.size) + self.medium.sum(row[row >= n] - n)
+        scores += self.common.sum(row[(row >= 0) & (row < n)])
         scores[used] = 0
         found = np.flatnonzero(scores)
         best = 32  # most windows need a few documents only
