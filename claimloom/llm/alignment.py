@@ -23,11 +23,15 @@ length are read whole. Extra columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import json
 import re
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import chain, compress, count, islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +45,14 @@ from claimloom.session import stored
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 WORDS = re.compile(r"(?<=\S)(?=[ \n]\S)")  # where a word starts
+SPACES = re.compile(r"(\s(?:\s+|\Z))")  # white space in which none starts
 ALONE = re.compile(r"[ \n]\S(?:.*\S)?", re.DOTALL)  # may be encoded with others like it
 DOCUMENT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
 POSTING = "pair bigint, n bigint, links bigint, dense boolean, docs binary, planes array<binary>"
 BLOCKS = f"block bigint, place int, {DOCUMENT}, {POSTING}"
 MANY = 1 << 16
+LONG = 64  # words with more links are not kept when others need their room
+FAR = 1000  # longer words are encoded alone
 
 
 def ramp(lengths: np.ndarray) -> np.ndarray:
@@ -53,10 +60,26 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
+def rank_encoder(path: str, names: list[bytes]):
+    """The tokenizer of the rank file beside a byte-level JSON file, which is faster; None if it is not the same."""
+    file, made = Path(path).with_suffix(".tiktoken"), json.loads(Path(path).read_text())
+    cut = made["pre_tokenizer"] or {}
+    if not file.exists() or made["normalizer"] or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True):
+        return None
+    ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file.read_bytes().splitlines() if line)}
+    merged = [bytes(chain.from_iterable(names[made["model"]["vocab"][t]] for t in (m.split(" ") if isinstance(m, str) else m))) for m in made["model"]["merges"]]
+    if ranks != {names[k]: k for k in made["model"]["vocab"].values()} or merged != sorted((t for t in ranks if len(t) > 1), key=ranks.get):
+        return None
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    return tiktoken.Encoding(file.stem, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
-    """Both tokenizers, and the alignment of the words met so far (at most about ``most``, then anew)."""
+    """Both tokenizers, and the alignment of the words met so far (about ``most``, those used most often)."""
 
-    def __init__(self, path_a: str, path_b: str, most: int = 150_000) -> None:
+    def __init__(self, path_a: str, path_b: str, most: int = 200_000) -> None:
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -69,6 +92,7 @@ class Aligner:
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for token, number in self.a.get_vocab().items():
             self.bytes_a[number] = b"".join([letters.get(c, c.encode()) for c in token])
+        self.ranks = rank_encoder(path_a, self.bytes_a)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
@@ -76,18 +100,41 @@ class Aligner:
         self.space = self.b.piece_to_id("▁")
         # ids of A, then of B, in pairs: within a group, and at the end of its tokens of A or B
         self.names = [f"{k}{mark}".encode() for last in "|;" for k in range(MANY) for mark in (",", last)]
+        self.name_sizes = np.array([len(n) for n in self.names], np.int64)
         self.most = most
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}  # -1: the tokens of B do not spell the word
+        self.known: defaultdict[str, int] = defaultdict()  # -1: the tokens of B do not spell the word
+        self.kept: list[str] = []  # the words with groups, as they are numbered
         self.groups: list[bytes] = []
-        self.pairs, self.first = array("q"), array("q", [0])
-        self.counts = array("q")  # tokens of A, of B, and groups of each word
+        self.pairs, self.first = array("I"), array("q", [0])
+        self.counts = array("i")  # tokens of A, of B, and groups of each word
+        self.uses = array("q")
+
+    def forget(self) -> None:
+        """Keep three quarters of ``most`` words, those used most often; uses fade by half each time."""
+        first, uses = np.array(self.first), np.array(self.uses)
+        n_links = np.diff(first)
+        kept = np.argsort(-uses, kind="stable")[: self.most * 3 // 4]
+        kept = np.sort(kept[n_links[kept] <= LONG])
+        numbers = kept.tolist()
+        self.kept = list(map(self.kept.__getitem__, numbers))
+        self.known = defaultdict(None, zip(self.kept, range(len(numbers)), strict=True))
+        self.groups = list(map(self.groups.__getitem__, numbers))
+        links = np.repeat(first[kept], n_links[kept]) + ramp(n_links[kept])
+        self.pairs = array("I", np.array(self.pairs)[links].tobytes())
+        self.first = array("q", np.concatenate([[0], np.cumsum(n_links[kept])]).astype(np.int64).tobytes())
+        self.counts = array("i", np.array(self.counts).reshape(-1, 3)[kept].tobytes())
+        self.uses = array("q", (uses[kept] // 2).tobytes())
 
     def words(self, text: str) -> list[str]:
         """A space and the text, cut before each word that starts where both tokenizers start anew."""
-        return WORDS.split(" " + text) if self.by_word else [" " + text]
+        text = " " + text
+        if not self.by_word:
+            return [text]
+        if "\0" in text:
+            return WORDS.split(text)
+        parts = SPACES.split(text)
+        parts[::2] = [p.replace(" ", "\0 ").replace("\n", "\0\n") for p in parts[::2]]
+        return "".join(parts).removeprefix("\0").split("\0")
 
     def encode_b(self, words: list[str]) -> list[list[int]]:
         found = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1) if words else []
@@ -98,76 +145,94 @@ class Aligner:
 
     def learn(self, words: list[str], apart: set[str]) -> None:
         """Encode and align words, all at once; those ``apart`` may not be encoded behind another word."""
+        apart = apart.union([w for w in words if len(w) > FAR])
         words = [w for w in words if w not in apart] + [w for w in words if w in apart]
-        of_b, sizes = self.encode_b(words), np.array([len(w.encode()) for w in words], np.int64)
+        of_b, plain = self.encode_b(words), list(map(str.encode, words))
+        sizes = np.fromiter(map(len, plain), np.int64, len(plain))
         ids_b = np.fromiter(chain.from_iterable(of_b), np.int64)
         ends = np.cumsum(np.fromiter(map(len, of_b), np.int64, len(of_b)))
         spelt = np.concatenate([[0], np.cumsum(self.size_b[ids_b])])[np.concatenate([[0], ends])]
-        if (np.diff(spelt) != sizes).any() or b"".join(map(self.bytes_b.__getitem__, ids_b.tolist())) != "".join(words).encode():
-            right = [b"".join([self.bytes_b[i] for i in ids]) == w.encode() for ids, w in zip(of_b, words, strict=True)]
+        if (np.diff(spelt) != sizes).any() or b"".join(map(self.bytes_b.__getitem__, ids_b.tolist())) != b"".join(plain):
+            right = [b"".join([self.bytes_b[i] for i in ids]) == w for ids, w in zip(of_b, plain, strict=True)]
             self.known.update((w, -1) for w, r in zip(words, right, strict=True) if not r)
             words, sizes = [w for w, r in zip(words, right, strict=True) if r], sizes[right]
             ids_b = np.fromiter(chain.from_iterable(compress(of_b, right)), np.int64)
         if not words:
             return
         joined = len(words) - sum(w in apart for w in words) if self.by_word else 0
-        texts = ["".join(words[k : min(k + 256, joined)]) for k in range(0, joined, 256)] + words[joined:]
-        ids_a = np.concatenate([np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
-        self.align(words, sizes, ids_a, ids_b)
+        texts = ["".join(words[k : min(k + 256, joined)]) for k in range(0, joined, 256)]
+        of_a = [np.empty(0, np.int64)]
+        if self.ranks:
+            of_a += [self.ranks.encode_to_numpy(t, disallowed_special=()) for t in texts]
+            texts = []
+        of_a += [e.ids for e in self.a.encode_batch_fast(texts + words[joined:], add_special_tokens=False)]
+        self.align(words, sizes, np.concatenate(of_a).astype(np.int64), ids_b)
 
     def align(self, words: list[str], sizes: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> None:
         """Add words whose tokens stand one behind the other."""
         ends, end_a, end_b = np.cumsum(sizes), np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
-        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
-        if not np.isin(ends, cuts).all():
+        sides = [np.zeros(int(ends[-1]) + 1, bool) for _ in range(3)]
+        for side, at in zip(sides, (ends, end_a, end_b), strict=True):
+            side[at[at <= ends[-1]]] = True
+        cut = sides[1] & sides[2]
+        if not (cut[ends].all() and end_a[-1] == end_b[-1] == ends[-1]):
             raise ValueError("a vocabulary does not spell its words")
-        low, high = np.searchsorted(end_b, end_a - self.size_a[ids_a], "right"), np.searchsorted(end_b - self.size_b[ids_b], end_a, "left")
+        # how many words, tokens of A, of B, and groups end up to each byte
+        n_words, n_a, n_b, n_cuts = (np.cumsum(x) for x in (*sides, cut))
+        cuts = np.flatnonzero(cut)
+        low, high = n_b[end_a - self.size_a[ids_a]], n_b[end_a - 1] + 1
         of_a = np.repeat(np.arange(len(ids_a)), high - low)
-        self.pairs.frombytes((ids_a[of_a] << 16 | ids_b[np.repeat(low, high - low) + ramp(high - low)]).tobytes())
-        word_a, word_b, word_cut = (np.searchsorted(ends, x) for x in (end_a, end_b, cuts))
+        self.pairs.frombytes((ids_a[of_a] << 16 | ids_b[np.repeat(low, high - low) + ramp(high - low)]).astype(np.uint32).tobytes())
+        word_a, word_b, word_cut = (n_words[x - 1] for x in (end_a, end_b, cuts))
         self.first.frombytes((self.first[-1] + np.cumsum(np.bincount(word_a, high - low, len(words)).astype(np.int64))).tobytes())
         numbers = [np.bincount(x, minlength=len(words)) for x in (word_a, word_b, word_cut)]
-        self.counts.frombytes(np.stack(numbers, 1).astype(np.int64).tobytes())
+        self.counts.frombytes(np.stack(numbers, 1).astype(np.int32).tobytes())
+        self.uses.extend([0] * len(words))
 
         # the tokens of a group in the order of their names, each with the mark behind it
-        cut_a, cut_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-        until_a, until_b = np.searchsorted(end_a, cuts, "right"), np.searchsorted(end_b, cuts, "right")
+        cut_a, cut_b = n_cuts[end_a - 1], n_cuts[end_b - 1]
         codes = np.empty(len(ids_a) + len(ids_b), np.int64)
-        codes[np.arange(len(ids_a)) + np.concatenate([[0], until_b])[cut_a]] = 2 * ids_a + (end_a == cuts[cut_a])
-        codes[np.arange(len(ids_b)) + until_a[cut_b]] = 2 * (ids_b + MANY) + (end_b == cuts[cut_b])
-        said = list(map(self.names.__getitem__, codes.tolist()))
-        start = 0
-        for word, end in zip(words, np.cumsum(numbers[0] + numbers[1]).tolist(), strict=True):
-            self.known[word] = len(self.groups)
-            self.groups.append(b"".join(said[start:end]))
-            start = end
+        codes[np.arange(len(ids_a)) + np.concatenate([[0], n_b[cuts]])[cut_a]] = 2 * ids_a + cut[end_a]
+        codes[np.arange(len(ids_b)) + n_a[cuts][cut_b]] = 2 * (ids_b + MANY) + cut[end_b]
+        said = b"".join(map(self.names.__getitem__, codes.tolist()))
+        until = np.cumsum(self.name_sizes[codes])[np.cumsum(numbers[0] + numbers[1]) - 1].tolist()
+        self.known.update(zip(words, range(len(self.kept), len(self.kept) + len(words)), strict=True))
+        self.kept += words
+        self.groups += [said[start:end] for start, end in zip([0, *until], until, strict=False)]
 
     def documents(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Tokens of A, of B, groups and links of each text; digests of the groups; all links as (text, pair)."""
         cut = [self.words(t) if t else [] for t in texts]
-        fresh = set().union(*cut)
+        met, start = len(self.known), len(self.kept)
+        self.known.default_factory = count(start).__next__  # others take the next numbers
+        places = [list(map(self.known.__getitem__, words)) for words in cut]
+        self.known.default_factory = None
+        new = list(islice(reversed(self.known), len(self.known) - met))[::-1]
         apart = {w for words in cut if words for w in (words[0], words[-1]) if not ALONE.fullmatch(w)}
-        new = fresh.difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            self.clear()
-            new = fresh
-        self.learn(list(new), apart.intersection(new))
-        places = []
-        for text, words in zip(texts, cut, strict=True):
-            found = list(map(self.known.__getitem__, words))
-            if -1 in found:
-                found = self.unlike(text)
-            places.append(found)
-        # each word ends with a mark, the last one is left out
-        digests = [hashlib.sha256(b"".join(map(self.groups.__getitem__, found))[:-1]).hexdigest() if found else "" for found in places]
-        lengths = np.array([len(p) for p in places], np.int64)
+        self.learn(new, apart.intersection(new))
+        learned = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
         at = np.fromiter(chain.from_iterable(places), np.int64)
-        first, counts, pairs = np.array(self.first), np.array(self.counts).reshape(-1, 3), np.frombuffer(self.pairs, np.int64)
-        n_links = first[at + 1] - first[at]
-        running = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(np.concatenate([counts[at], n_links[:, None]], 1), 0)])
-        ends = np.cumsum(lengths)
-        owner = np.repeat(np.arange(len(texts)), lengths)
-        return running[ends] - running[ends - lengths], digests, np.repeat(owner, n_links), pairs[np.repeat(first[at], n_links) + ramp(n_links)]
+        at[at >= start] = learned[at[at >= start] - start]
+        lengths = np.array([len(p) for p in places], np.int64)
+        if (at < 0).any():
+            parts = np.split(at, np.cumsum(lengths)[:-1])
+            parts = [np.array(self.unlike(t), np.int64) if (p < 0).any() else p for t, p in zip(texts, parts, strict=True)]
+            at, lengths = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        # each word ends with a mark, the last one is left out
+        said, ends = list(map(self.groups.__getitem__, at.tolist())), np.cumsum(lengths).tolist()
+        digests = [hashlib.sha256(b"".join(said[low:high])[:-1]).hexdigest() if high > low else "" for low, high in zip([0, *ends], ends, strict=False)]
+        first, counts, pairs = np.array(self.first), np.array(self.counts).reshape(-1, 3), np.array(self.pairs)
+        uses = np.frombuffer(self.uses, np.int64)
+        uses += np.bincount(at, minlength=len(uses))
+        n_links = np.diff(first)[at]
+        some, sums = lengths > 0, np.zeros((len(texts), 4), np.int64)
+        if len(at):
+            begin = (np.cumsum(lengths) - lengths)[some]
+            sums[some] = np.stack([np.add.reduceat(x, begin, dtype=np.int64) for x in (*(c[at] for c in counts.T), n_links)], 1)
+        del uses
+        if len(self.known) > self.most:
+            self.forget()
+        return sums, digests, np.repeat(np.arange(len(texts)), sums[:, 3]), pairs[np.repeat(first[at], n_links) + ramp(n_links)].astype(np.int64)
 
     def unlike(self, text: str) -> list[int]:
         """A text with a word that B does not spell, taken whole; none if its tokens do not spell it."""

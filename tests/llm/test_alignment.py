@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from claimloom.llm.alignment import BYTE_LEVEL, PIECES, Aligner, align_documents, align_tokenizers, merged, pack_postings, pair_counts, unpack_postings
+from claimloom.llm.alignment import BYTE_LEVEL, PIECES, WORDS, Aligner, align_documents, align_tokenizers, merged, pack_postings, pair_counts, rank_encoder, unpack_postings
 from claimloom.llm.common import read_table
 from claimloom.llm.packing import vocabulary_path
 from tests.llm.conftest import document
@@ -144,3 +145,47 @@ def test_memory_is_bounded():
         for x, y in zip(small.documents([text, "six"]), large.documents([text, "six"]), strict=True):
             assert list(map(str, x)) == list(map(str, y))
     assert len(small.known) <= 8
+
+
+def test_common_words_are_encoded_once(monkeypatch):
+    tool, encoded = Aligner(vocabulary_path(BYTE_LEVEL), vocabulary_path(PIECES), 100), Counter()
+    learn = tool.learn
+    monkeypatch.setattr(tool, "learn", lambda words, apart: (encoded.update(words), learn(words, apart)))
+    common, rare = " ".join(f"common{k}" for k in range(40)), iter(range(10_000))
+    for _ in range(12):
+        tool.documents([f"{common} {common}", " ".join(f"rare{next(rare)}" for _ in range(50))])
+    assert sum(n for word, n in encoded.items() if word.startswith(" common")) == 40
+    assert len(tool.known) <= 100
+
+
+def test_whole_texts_and_words_without_tokens_are_forgotten():
+    small, large = (Aligner(vocabulary_path(BYTE_LEVEL), vocabulary_path(PIECES), most) for most in (8, 1000))
+    texts = ["one▁ two", "x▁y z one two", "one", "", None, "two one \x00 one", "three four five six seven", "word " * 90 + "x" * 5000]
+    for k in range(12):
+        part = texts[k % 8 :] + texts[: k % 5]
+        for x, y in zip(small.documents(part), large.documents(part), strict=True):
+            assert list(map(str, x)) == list(map(str, y))
+        assert len(small.known) <= 8 and len(small.known) == len(small.groups) == len(small.uses) == len(small.first) - 1
+
+
+def test_words_are_cut_as_the_pattern_says():
+    some, tool = random.Random(8), Aligner(vocabulary_path(BYTE_LEVEL), vocabulary_path(PIECES))
+    letters = [" ", "\n", "a", "bc", "\t", "\r", " ", "　", "\x00", "\x1c", "é", "▁"]
+    for text in [*ODD, *("".join(some.choices(letters, [9, 5, 9, 9, *[1] * 8], k=some.randrange(1, 12))) for _ in range(5000))]:
+        assert tool.words(text) == WORDS.split(" " + text)
+
+
+def test_ranks_are_the_vocabulary(encoders, tmp_path):
+    tool, some = Aligner(vocabulary_path(BYTE_LEVEL), vocabulary_path(PIECES)), random.Random(9)
+    assert tool.ranks is not None
+    texts = [f" {t}." for t in ODD] + [" ".join(f"a{chr(c)}b{chr(c)} {chr(c)}1" for c in range(low, low + 256)) for low in range(0, 0xD800, 256)]
+    names = [t.decode() for t in tool.bytes_a if t.isascii()]
+    texts += [" " + "".join(some.choices(names, k=6)) for _ in range(3000)]
+    for text in texts:
+        assert tool.ranks.encode_ordinary(text) == encoders[0].encode(text, add_special_tokens=False).ids
+    alone = tmp_path / "byte_bpe_50k.json"
+    alone.write_bytes(Path(vocabulary_path(BYTE_LEVEL)).read_bytes())
+    assert rank_encoder(str(alone), tool.bytes_a) is None
+    ranks = Path(vocabulary_path(BYTE_LEVEL)).with_suffix(".tiktoken").read_bytes().splitlines()
+    alone.with_suffix(".tiktoken").write_bytes(b"\n".join(ranks[:-1]))
+    assert rank_encoder(str(alone), tool.bytes_a) is None
