@@ -13,8 +13,9 @@ documents, and those of its planes to its links. The counts go back to the posti
 returns them to its documents; a task scores one block at a time, which is bounded.
 
 Both tokenizers work word by word here: neither has a token that goes on behind a letter with a space or a
-line feed. A word with what stands before it is encoded and aligned once and remembered; where a
-vocabulary breaks this rule, texts are taken whole.
+line feed. A word with what stands before it is encoded and aligned once and remembered while it is among
+those used most; where a vocabulary breaks this rule, texts are taken whole. Words of A are encoded by the
+rank file beside its JSON file where both hold the same vocabulary, long words and whole texts by the JSON file.
 
 Every row is a document of its own, repeated rows and null ids too. Texts that are null, empty, not UTF-8,
 or whose tokens do not spell a space and the text, have no tokens: zeros and an empty digest. Texts of any
@@ -63,12 +64,12 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
 def rank_encoder(path: str, names: list[bytes]):
     """The tokenizer of the rank file beside a byte-level JSON file, which is faster; None if it is not the same."""
     file, made = Path(path).with_suffix(".tiktoken"), json.loads(Path(path).read_text())
-    cut = made["pre_tokenizer"] or {}
-    if not file.exists() or made["normalizer"] or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True):
+    cut = made.get("pre_tokenizer") or {}
+    if not file.exists() or made.get("normalizer") or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True):
         return None
     ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file.read_bytes().splitlines() if line)}
-    merged = [bytes(chain.from_iterable(names[made["model"]["vocab"][t]] for t in (m.split(" ") if isinstance(m, str) else m))) for m in made["model"]["merges"]]
-    if ranks != {names[k]: k for k in made["model"]["vocab"].values()} or merged != sorted((t for t in ranks if len(t) > 1), key=ranks.get):
+    joined = [bytes(chain.from_iterable(names[made["model"]["vocab"][t]] for t in (m.split(" ") if isinstance(m, str) else m))) for m in made["model"]["merges"]]
+    if ranks != {names[k]: k for k in made["model"]["vocab"].values()} or joined != sorted((t for t in ranks if len(t) > 1), key=ranks.get):
         return None
     import tiktoken
     from public_tokenizers import PATTERN
